@@ -147,6 +147,24 @@ RUN_METRICS = {
     "error_message": "string", "recorded_at": "timestamp",
 }
 
+# --- fixed values: tables of the staging and analytics layers --------------
+
+
+def _types(columns: list[str], table: dict[str, str]) -> dict[str, str]:
+    return {c: table[c] for c in columns}
+
+
+STG_ORDERS = _types(STG_ORDER_COLUMNS, ORDERS_RAW)
+STG_USERS = _types(STG_USER_COLUMNS, USERS_RAW)
+STG_PRODUCTS = _types(STG_PRODUCT_COLUMNS, PRODUCTS_RAW)
+DIM_CUSTOMERS = _types(DIM_CUSTOMER_COLUMNS, USERS_RAW)
+DIM_PRODUCTS = _types(DIM_PRODUCT_COLUMNS, PRODUCTS_RAW)
+FACT_ORDERS = _types(FACT_ORDER_COLUMNS, ORDERS_RAW)
+AGG_DAILY_SALES = {
+    "sale_date": "date", "order_count": "bigint", "total_revenue_usd": "double",
+    "avg_order_value_usd": "double", "unique_customers": "bigint",
+}
+
 
 @dataclass(frozen=True)
 class Entity:

@@ -15,12 +15,14 @@ def to_number(value: Column, dtype: T.DataType) -> Column:
     A cast alone would also take the suffixes and hexadecimal forms of Java
     literals ("5d", "0x1p3"), hence the letter guard.
     """
+    if isinstance(dtype, (T.IntegralType, T.DecimalType)):
+        return value.cast("double")
     if isinstance(dtype, T.StringType):
-        number = strip(value).try_cast("double")
         plain = ~value.rlike("[dDfFxXpP]")
+        value = strip(value)
     else:
-        number = value.try_cast("double")
         plain = F.lit(True)
+    number = value.try_cast("double")
     finite = (number > F.lit(float("-inf"))) & (number < F.lit(float("inf")))
     return F.when(plain & finite, number)
 

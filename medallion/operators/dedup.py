@@ -12,23 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _arrival(order: list[str]) -> list[Column]:
+def _arrival(df: DataFrame, order: list[str]) -> list[Column]:
     """Sort key of arrival; an unknown time arrives after all known ones."""
     key = []
-    for name in order:
-        key += [F.col(name).isNull(), F.col(name)]
+    for i, name in enumerate(order):
+        if df.schema[name].nullable:
+            key.append(F.col(name).isNull().alias(f"_unknown_{i}"))
+        key.append(F.col(name))
     return key
 
 
+def _unpack(picked: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in columns])
+
+
 def _pick(df: DataFrame, keys: list[str], order: list[str], choose) -> DataFrame:
     rest = [c for c in df.columns if c not in keys and c not in order]
-    row = F.struct(
-        *[c.alias(f"_k{i}") for i, c in enumerate(_arrival(order))],
-        *[F.col(c) for c in order if c not in keys],
-        *[F.col(c) for c in rest],
-    )
-    picked = df.groupBy(*keys).agg(choose(row).alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in df.columns])
+    if not order and not rest:
+        return df.distinct()
+    row = F.struct(*_arrival(df, order), *rest)
+    return _unpack(df.groupBy(*keys).agg(choose(row).alias("_row")), keys, df.columns)
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -48,8 +51,8 @@ def keep_last_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """As ``keep_last``, for rows with values that have no order (variants,
     maps): ``order`` must then be total by itself."""
     row = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    last = df.groupBy(*keys).agg(F.max_by(row, F.struct(*_arrival(order))).alias("_last"))
-    return last.select(*[F.col(c) if c in keys else F.col(f"_last.{c}") for c in df.columns])
+    last = df.groupBy(*keys).agg(F.max_by(row, F.struct(*_arrival(df, order))).alias("_row"))
+    return _unpack(last, keys, df.columns)
 
 
 def _orderable(dtype: T.DataType) -> bool:

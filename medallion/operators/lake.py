@@ -1,8 +1,12 @@
 """Tables of the layers and the ways to load them.
 
-Tables are plain partitioned parquet tables of the session catalog, in one
-database per layer.  ``_part`` is the partition column: the period of the
-date key where the entity has one, else a hash bucket of the key.
+Tables are plain parquet tables of the session catalog, one database per
+layer, created once and then only written into.  ``_part`` is the partition
+column of the large ones: the period of the date key where the entity has
+one, else a hash bucket of the key.
+
+Steps of a load lie as parquet under ``<root>/_work``; what an interrupted
+load leaves there is overwritten by the next one.
 """
 
 from __future__ import annotations
@@ -14,11 +18,11 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion import contracts
 from medallion.contracts import Entity
 from medallion.functions.keys import bucket
-from medallion.operators.dedup import keep_first
 from medallion.operators.quality import gate_metrics
 
 LAYERS = ("raw", "staging", "analytics", "control")
@@ -54,13 +58,16 @@ class Lake:
         """Rows of a table, without the partition column."""
         return self.spark.table(self.name(layer, table)).drop(PART)
 
+    def work(self, entity: Entity, step: str) -> str:
+        return f"{self.root}/_work/{entity.table}/{step}"
+
     def part_of(self, entity: Entity) -> Column:
         if entity.date_key:
             return F.coalesce(F.date_format(entity.date_key, self.period), F.lit(NO_DATE))
         return bucket(list(entity.keys), self.buckets).cast("string")
 
     def setup(self) -> "Lake":
-        """Create databases, raw tables and control tables where absent."""
+        """Create the databases and tables that are absent."""
         for layer in LAYERS:
             self.spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} "
@@ -68,6 +75,15 @@ class Lake:
             )
         for entity in self.entities.values():
             self._create(self.raw(entity), entity.columns, partitioned=True)
+        for table, columns in (("stg_orders", contracts.STG_ORDERS),
+                               ("stg_users", contracts.STG_USERS),
+                               ("stg_products", contracts.STG_PRODUCTS)):
+            self._create(self.name("staging", table), columns, partitioned=True)
+        self._create(self.name("analytics", "fact_orders"), contracts.FACT_ORDERS,
+                     partitioned=True)
+        self._create(self.name("analytics", "dim_customers"), contracts.DIM_CUSTOMERS)
+        self._create(self.name("analytics", "dim_products"), contracts.DIM_PRODUCTS)
+        self._create(self.name("analytics", "agg_daily_sales"), contracts.AGG_DAILY_SALES)
         self._create(self.name("control", "etl_watermarks"), contracts.WATERMARKS)
         self._create(self.name("control", "pipeline_run_metrics"), contracts.RUN_METRICS)
         return self
@@ -82,13 +98,6 @@ class Lake:
             f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(fields)}) USING parquet{layout}"
         )
 
-    def drop(self, *names: str) -> None:
-        for name in names:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-    def exists(self, name: str) -> bool:
-        return self.spark.catalog.tableExists(name)
-
 
 @contextmanager
 def overwrite_mode(spark: SparkSession, mode: str):
@@ -107,9 +116,9 @@ def overwrite_mode(spark: SparkSession, mode: str):
             spark.conf.set(key, before)
 
 
-def write_counted(df: DataFrame, name: str, metrics: list[Column] | None = None,
-                  partitioned: bool = False) -> dict:
-    """Replace a table and return metrics of its rows, in one pass.
+def write_step(df: DataFrame, path: str, metrics: list[Column] | None = None,
+               partitioned: bool = False) -> tuple[DataFrame, dict]:
+    """Write a step of a load; returns it read back, and metrics of its rows.
 
     The metrics sit on top of the last stage of the write, whose tasks report
     once each, so a lost executor does not count rows twice.
@@ -118,8 +127,16 @@ def write_counted(df: DataFrame, name: str, metrics: list[Column] | None = None,
     writer = df.observe(seen, *(metrics or gate_metrics([]))).write.mode("overwrite")
     if partitioned:
         writer = writer.partitionBy(PART)
-    writer.saveAsTable(name)
-    return seen.get
+    writer.parquet(path)
+    return df.sparkSession.read.schema(nullable(df.schema)).parquet(path), seen.get
+
+
+def nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+
+
+def clear_step(spark: SparkSession, path: str) -> None:
+    spark.range(0).write.mode("overwrite").parquet(path)
 
 
 def conform(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -153,68 +170,38 @@ def sorted_in_files(df: DataFrame, entity: Entity) -> DataFrame:
     return df.sortWithinPartitions(PART, *entity.cluster)
 
 
-def overwrite_all(lake: Lake, stage: DataFrame, target: str) -> None:
-    with overwrite_mode(lake.spark, "static"):
-        stage.write.insertInto(target, overwrite=True)
+def overwrite_all(df: DataFrame, target: str) -> None:
+    with overwrite_mode(df.sparkSession, "static"):
+        df.write.insertInto(target, overwrite=True)
 
 
 def replace(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column,
             check=None) -> int:
     """Full replace.  Without rows the table stays as it is.
 
-    The rows go to a table of their own first: they are counted and checked
-    there, and only then take the place of the old ones.
+    The rows are written apart first: they are counted and checked there, and
+    only then take the place of the old ones.
     """
-    target, stage = lake.raw(entity), f"{lake.raw(entity)}__stage"
     rows = complete(conform(df, entity.columns), entity.columns, {"_loaded_at": loaded_at})
     rows = laid_out(rows.withColumn(PART, lake.part_of(entity)), entity)
-    try:
-        seen = write_counted(rows, stage, gate_metrics(list(entity.gate)), partitioned=True)
-        if check:
-            check(seen)
-        if seen["rows"]:
-            overwrite_all(lake, sorted_in_files(lake.spark.table(stage), entity), target)
-    finally:
-        lake.drop(stage)
+    path = lake.work(entity, "stage")
+    stage, seen = write_step(rows, path, gate_metrics(list(entity.gate)), partitioned=True)
+    if check:
+        check(seen)
+    if seen["rows"]:
+        overwrite_all(sorted_in_files(stage, entity), lake.raw(entity))
+    clear_step(lake.spark, path)
     return seen["rows"]
 
 
-def null_key(keys: list[str]) -> Column:
-    found = F.lit(False)
-    for key in keys:
-        found |= F.col(key).isNull()
-    return found
-
-
-def insert_if_absent(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column,
-                     order: list[str]) -> None:
-    """Append the rows whose key the table does not have; the first copy of a
-    key wins.  A null key equals no other, so such rows are all appended."""
-    keys = list(entity.keys)
-    target = lake.raw(entity)
-    rows = conform(df, entity.columns)
-    keyed = rows.where(~null_key(keys))
-    first = keep_first(keyed, keys, order)
-    known = lake.spark.table(target).select(*keys)
-    new = first.join(known, keys, "left_anti").unionByName(rows.where(null_key(keys)))
-    new = complete(new, entity.columns, {"_loaded_at": loaded_at})
-    laid_out(new.withColumn(PART, lake.part_of(entity)), entity).write.insertInto(target)
-
+def rebuild(df: DataFrame, name: str, cluster_by: list[str] | None = None) -> None:
+    """Replace all rows of a table by those of a query.
 
-def rebuild(df: DataFrame, name: str, cluster_by: list[str] | None = None,
-            partitioned: bool = False) -> None:
-    """Create a table from a query, or replace it.
-
-    ``partitioned`` keeps the partitions of the table the query reads: the
-    rows then are copied without a shuffle.  ``cluster_by`` sorts them into
+    A query over a partitioned table passes the partition column on: its rows
+    are then copied without a shuffle.  ``cluster_by`` sorts the rows into
     disjoint ranges instead.
     """
-    if cluster_by:
-        df = clustered(df, cluster_by)
-    writer = df.write.mode("overwrite")
-    if partitioned:
-        writer = writer.partitionBy(PART)
-    writer.saveAsTable(name)
+    overwrite_all(clustered(df, cluster_by) if cluster_by else df, name)
 
 
 def clustered(df: DataFrame, by: list[str]) -> DataFrame:

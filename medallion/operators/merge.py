@@ -1,7 +1,7 @@
-"""Upsert into a partitioned parquet table.
+"""Upsert into a partitioned parquet table, and insert of absent rows.
 
 Only the partitions that hold a changed row, before or after the change, are
-rewritten.  Steps:
+rewritten.  Steps of an upsert:
 
 1. stage   the source, counted and checked, so its lineage runs once
 2. hits    target rows with a source key: key, partition, unmentioned columns
@@ -14,14 +14,16 @@ an interrupted publish can be repeated (``recover``).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.contracts import Entity
+from medallion.operators.dedup import keep_first
 from medallion.operators.lake import (
-    PART, Lake, complete, conform, laid_out, null_key, overwrite_mode, sorted_in_files,
-    write_counted,
+    PART, Lake, clear_step, complete, conform, laid_out, nullable, overwrite_mode,
+    sorted_in_files, write_step,
 )
 from medallion.operators.quality import gate_metrics
 
@@ -34,13 +36,16 @@ class DuplicateKeyError(ValueError):
     """Two source rows claim the same target row."""
 
 
-def _temp(target: str) -> dict[str, str]:
-    return {k: f"{target}__{k}" for k in ("stage", "hits", "next", "touched")}
+def null_key(keys: list[str]) -> Column:
+    found = F.lit(False)
+    for key in keys:
+        found |= F.col(key).isNull()
+    return found
 
 
-def _key_stats(stage: DataFrame, keys: list[str]) -> dict:
+def _key_stats(keyed: DataFrame, keys: list[str]) -> dict:
     """Most copies of a key, and the range of each key, from the keys alone."""
-    per_key = stage.where(~null_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    per_key = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(
         F.max("n").alias("copies"),
         *[F.min(k).alias(f"low_{k}") for k in keys],
@@ -62,6 +67,10 @@ def _fixed_width(schema: T.StructType, keys: list[str]) -> bool:
     return all(isinstance(schema[k].dataType, types) for k in keys)
 
 
+def _is_small(stage: DataFrame, rows: int, keys: list[str]) -> bool:
+    return rows <= BROADCAST_ROWS and _fixed_width(stage.schema, keys)
+
+
 def _values(df: DataFrame) -> list[str]:
     """Partition names: as many as the table has partitions, at most."""
     return [r[0] for r in df.distinct().collect()]
@@ -73,54 +82,54 @@ def upsert(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column, check=N
     Columns the source does not have keep the target's value on update and
     get their default on insert.  A null key matches nothing.
     """
-    spark, target, keys = lake.spark, lake.raw(entity), list(entity.keys)
-    temp = _temp(target)
     recover(lake, entity)
-    try:
-        source = conform(df, entity.columns)
-        seen = write_counted(source, temp["stage"], gate_metrics(list(entity.gate)))
-        if check:
-            check(seen)
-        if seen["rows"] == 0:
-            return 0
-        stage = spark.table(temp["stage"])
-        stats = _key_stats(stage, keys)
-        if (stats["copies"] or 0) > 1:
-            raise DuplicateKeyError(f"{target}: source has up to {stats['copies']} rows per key")
+    source = conform(df, entity.columns)
+    path = lake.work(entity, "stage")
+    stage, seen = write_step(source, path, gate_metrics(list(entity.gate)))
+    if check:
+        check(seen)
+    if seen["rows"]:
         defaults = {"_loaded_at": loaded_at}
-        if spark.table(target).isEmpty():
-            rows = complete(stage, entity.columns, defaults)
-            rows = rows.withColumn(PART, lake.part_of(entity))
-            laid_out(rows, entity).write.insertInto(target)
+        keys = list(entity.keys)
+        stats = _key_stats(stage.where(~null_key(keys)), keys)
+        if (stats["copies"] or 0) > 1:
+            raise DuplicateKeyError(
+                f"{entity.table}: source has up to {stats['copies']} rows per key")
+        if lake.spark.table(lake.raw(entity)).isEmpty():
+            _append(lake, stage, entity, defaults)
         else:
-            _merge(lake, entity, stage, stats, seen["rows"], defaults)
-    finally:
-        lake.drop(temp["stage"], temp["hits"])
-        if not lake.exists(temp["touched"]):
-            lake.drop(temp["next"])
+            prepare(lake, entity, stage, stats, seen["rows"], defaults)
+            publish(lake, entity)
+    clear_step(lake.spark, path)
     return seen["rows"]
 
 
-def _merge(lake: Lake, entity: Entity, stage: DataFrame, stats: dict, rows: int,
-           defaults: dict[str, Column]) -> None:
-    spark, target, keys = lake.spark, lake.raw(entity), list(entity.keys)
-    temp = _temp(target)
-    table = spark.table(target)
-    unmentioned = [c for c in entity.columns if c not in stage.columns]
-    keyed = stage.where(~null_key(keys))
+def _append(lake: Lake, rows: DataFrame, entity: Entity, defaults: dict[str, Column]) -> None:
+    rows = complete(rows, entity.columns, defaults).withColumn(PART, lake.part_of(entity))
+    laid_out(rows, entity).write.insertInto(lake.raw(entity))
+
 
-    small = rows <= BROADCAST_ROWS and _fixed_width(stage.schema, keys)
+def _find_hits(lake: Lake, entity: Entity, keyed: DataFrame, stats: dict, small: bool,
+               columns: list[str]) -> DataFrame:
+    """Target rows with a source key.  Only the named columns are scanned, and
+    with broadcast keys the target is not shuffled."""
+    keys = list(entity.keys)
     source_keys = keyed.select(*keys)
-    if small:
-        source_keys = F.broadcast(source_keys)
+    target = lake.spark.table(lake.raw(entity)).where(_in_range(keys, stats, keyed.schema))
+    hits = target.select(*keys, F.col(PART).alias("_old_part"), *columns).join(
+        F.broadcast(source_keys) if small else source_keys, keys, "left_semi")
+    return write_step(hits, lake.work(entity, "hits"))[0]
+
 
-    (
-        table.where(_in_range(keys, stats, stage.schema))
-        .select(*keys, F.col(PART).alias("_old_part"), *unmentioned)
-        .join(source_keys, keys, "left_semi")
-        .write.mode("overwrite").saveAsTable(temp["hits"])
-    )
-    hits = spark.table(temp["hits"])
+def prepare(lake: Lake, entity: Entity, stage: DataFrame, stats: dict, rows: int,
+            defaults: dict[str, Column]) -> None:
+    """Write the touched partitions as they shall be, and their names."""
+    spark, keys = lake.spark, list(entity.keys)
+    table = spark.table(lake.raw(entity))
+    unmentioned = [c for c in entity.columns if c not in stage.columns]
+    keyed = stage.where(~null_key(keys))
+    small = _is_small(stage, rows, keys)
+    hits = _find_hits(lake, entity, keyed, stats, small, unmentioned)
 
     updates = keyed.join(hits.drop("_old_part"), keys)
     inserts = keyed.join(hits.select(*keys).distinct(), keys, "left_anti")
@@ -133,7 +142,9 @@ def _merge(lake: Lake, entity: Entity, stage: DataFrame, stats: dict, rows: int,
     before = table.where(F.col(PART).isin(touched))
     # Rows with a null key match nothing; taken apart, they cannot gather in
     # one task of a shuffled join.
-    kept = before.where(~null_key(keys)).join(source_keys, keys, "left_anti")
+    source_keys = keyed.select(*keys)
+    kept = before.where(~null_key(keys)).join(
+        F.broadcast(source_keys) if small else source_keys, keys, "left_anti")
     kept = kept.select(*table.columns).unionByName(before.where(null_key(keys)))
 
     # With broadcast keys the kept rows never leave their task, and only the
@@ -142,34 +153,62 @@ def _merge(lake: Lake, entity: Entity, stage: DataFrame, stats: dict, rows: int,
         after = sorted_in_files(kept.unionByName(changed.hint("rebalance", PART)), entity)
     else:
         after = laid_out(kept.unionByName(changed), entity)
-    write_counted(after, temp["next"], partitioned=True)
-    _list_parts(lake, touched).write.mode("overwrite").saveAsTable(temp["touched"])
-    publish(lake, entity)
-
-
-def _list_parts(lake: Lake, parts: list[str]) -> DataFrame:
-    one = lake.spark.range(1, numPartitions=1)
-    return one.select(F.explode(F.array(*[F.lit(p) for p in parts])).alias("part"))
+    write_step(after, lake.work(entity, "next"), partitioned=True)
+    one = spark.range(1, numPartitions=1)
+    names = one.select(F.explode(F.array(*[F.lit(p) for p in touched])).alias("part"))
+    names.write.mode("overwrite").parquet(lake.work(entity, "touched"))
 
 
 def publish(lake: Lake, entity: Entity) -> None:
     """Put ``next`` in place; may be repeated until it has succeeded."""
-    spark, target, temp = lake.spark, lake.raw(entity), _temp(lake.raw(entity))
-    after = spark.table(temp["next"])
-    touched = {r[0] for r in spark.table(temp["touched"]).collect()}
+    spark, target = lake.spark, lake.raw(entity)
+    schema = nullable(spark.table(target).schema)
+    after = spark.read.schema(schema).parquet(lake.work(entity, "next"))
     with overwrite_mode(spark, "dynamic"):
         sorted_in_files(after, entity).write.insertInto(target, overwrite=True)
     # A partition that lost its last row is not in ``next`` and is not
     # overwritten, so it has to be dropped.
-    for part in sorted(touched - set(_values(after.select(PART)))):
+    for part in sorted(set(_touched(lake, entity)) - set(_values(after.select(PART)))):
         spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({PART} = '{part}')")
-    lake.drop(temp["touched"], temp["next"])
+    for step in ("touched", "next", "hits"):
+        clear_step(spark, lake.work(entity, step))
+
+
+def _touched(lake: Lake, entity: Entity) -> list[str]:
+    """Partitions of a prepared upsert that is not known to be published."""
+    try:
+        names = lake.spark.read.schema("part string").parquet(lake.work(entity, "touched"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [r[0] for r in names.collect()]
 
 
 def recover(lake: Lake, entity: Entity) -> bool:
     """Finish an upsert that was interrupted while publishing."""
-    temp = _temp(lake.raw(entity))
-    if not lake.exists(temp["touched"]):
+    if not _touched(lake, entity):
         return False
     publish(lake, entity)
     return True
+
+
+def insert_if_absent(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column,
+                     order: list[str]) -> int:
+    """Append the rows whose key the table does not have; the first copy of a
+    key wins.  A null key equals no other, so such rows are all appended.
+    Returns the number of rows offered, each key counted once."""
+    keys = list(entity.keys)
+    rows = conform(df, entity.columns)
+    first = keep_first(rows.where(~null_key(keys)), keys, order)
+    path = lake.work(entity, "stage")
+    stage, seen = write_step(first.unionByName(rows.where(null_key(keys))), path)
+    keyed = stage.where(~null_key(keys))
+    stats = _key_stats(keyed, keys)
+    small = _is_small(stage, seen["rows"], keys)
+    hits = _find_hits(lake, entity, keyed, stats, small, [])
+    new = keyed.join(hits.select(*keys).distinct(), keys, "left_anti")
+    new = new.unionByName(stage.where(null_key(keys)))
+    _append(lake, new, entity, {"_loaded_at": loaded_at})
+    clear_step(lake.spark, path)
+    return seen["rows"]

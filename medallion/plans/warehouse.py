@@ -43,7 +43,7 @@ def build_staging(lake: Lake) -> None:
         (contracts.ORDERS, "stg_orders", contracts.STG_ORDER_COLUMNS),
     ):
         raw = lake.spark.table(lake.raw(entity))
-        rebuild(raw.select(*columns, PART), lake.name("staging", table), partitioned=True)
+        rebuild(raw.select(*columns, PART), lake.name("staging", table))
 
 
 def build_analytics(lake: Lake) -> None:
@@ -55,7 +55,7 @@ def build_analytics(lake: Lake) -> None:
     rebuild(dim_products(stg("stg_products")), lake.name("analytics", "dim_products"),
             cluster_by=["product_id"])
     rebuild(stg("stg_orders").select(*contracts.FACT_ORDER_COLUMNS, PART),
-            lake.name("analytics", "fact_orders"), partitioned=True)
-    # One row per day: a single sorted file.
+            lake.name("analytics", "fact_orders"))
+    # One row per day, so the full sort is a small one.
     rebuild(daily_sales(stg("stg_orders")).orderBy(F.col("sale_date")),
             lake.name("analytics", "agg_daily_sales"))

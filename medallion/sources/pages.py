@@ -33,18 +33,18 @@ def read_page_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("page bigint, body string").parquet(path)
 
 
-def records_of(body: Column) -> Column:
-    """Records of a response: a bare list, else the first listed key that
-    holds a list (an empty one counts), else none."""
-    parsed = F.try_parse_json(body)
-    found = [F.try_variant_get(parsed, "$", "array<variant>")]
-    found += [F.try_variant_get(parsed, f"$.{key}", "array<variant>") for key in ENVELOPE_KEYS]
-    return F.coalesce(*found)
-
-
 def unwrap(pages: DataFrame) -> DataFrame:
-    """Add ``records`` and their count ``n`` to each page."""
-    opened = pages.withColumn("records", records_of(F.col("body"))).drop("body")
+    """Add ``records`` and their count ``n`` to each page.
+
+    The records are a bare list, else the first listed key that holds a list
+    (an empty one counts), else none.  The parsed body is a column of its
+    own: it is looked at once per key, but parsed once.
+    """
+    body = F.col("_body")
+    found = [F.try_variant_get(body, path, "array<variant>")
+             for path in ["$", *[f"$.{key}" for key in ENVELOPE_KEYS]]]
+    parsed = pages.withColumn("_body", F.try_parse_json("body"))
+    opened = parsed.withColumn("records", F.coalesce(*found)).drop("body", "_body")
     return opened.withColumn("n", F.coalesce(F.size("records"), F.lit(0)))
 
 
@@ -55,19 +55,23 @@ def page_offset(page: Column, page_size: int = PAGE_SIZE) -> Column:
 def keep_wanted_pages(
     opened: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = None
 ) -> DataFrame:
-    """Pages up to and including the first short one, without empty pages.
+    """Pages up to and including the first short one.
 
-    The first short page is a scalar subquery, so the comparison needs no join.
+    The first short page is a scalar subquery, so no join is needed, and the
+    comparison reaches the scan.  Both are kept free of filters on ``n``:
+    such a filter would be pushed below the parsed column and parse again.
     """
-    first_short = opened.where(F.col("n") < page_size).agg(F.min("page")).scalar()
-    wanted = (F.col("n") > 0) & (F.col("page") <= F.coalesce(first_short, F.col("page")))
+    short = F.when(F.col("n") < page_size, F.col("page"))
+    first_short = opened.agg(F.min(short)).scalar()
+    wanted = F.col("page") <= F.coalesce(first_short, F.col("page"))
     if max_pages:
         wanted &= F.col("page") <= max_pages
     return opened.where(wanted)
 
 
 def explode_records(opened: DataFrame) -> DataFrame:
-    """One row per record, with its place of arrival ``_page``, ``_pos``."""
+    """One row per record, with its place of arrival ``_page``, ``_pos``;
+    empty pages have none."""
     return opened.select(
         F.col("page").alias("_page"), F.posexplode("records").alias("_pos", "_record")
     )

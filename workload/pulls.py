@@ -68,14 +68,14 @@ def unwrap_envelope(spark: SparkSession, sf: str) -> DataFrame:
     SELECT _page AS page, count(*) AS n FROM wanted GROUP BY 1""")
 def page_stop(spark: SparkSession, sf: str) -> DataFrame:
     responses = as_pages(table(spark, sf, "events"), "event_id", "data", page_size=64)
-    wanted = pages.keep_wanted_pages(pages.unwrap(responses), page_size=64)
-    return wanted.select("page", F.col("n").cast("bigint").alias("n"))
+    landed = pages.unwrap(land(spark, responses))
+    return pages.keep_wanted_pages(landed, page_size=64).select("page", F.col("n").cast("bigint").alias("n"))
 
 
 @query("""SELECT DISTINCT event_id // 100 + 1 AS page, event_id // 100 * 100 AS skip
     FROM events""")
 def page_offset(spark: SparkSession, sf: str) -> DataFrame:
-    return event_pages(spark, sf).select("page", pages.page_offset(F.col("page")).alias("skip"))
+    return land(spark, event_pages(spark, sf)).select("page", pages.page_offset(F.col("page")).alias("skip"))
 
 
 @query("""SELECT event_id, TIMESTAMP '2024-06-01' AS _extracted_at,
@@ -128,7 +128,7 @@ def read_events(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {page_rows('event_id', 'events')}
     SELECT event_id, _page, CAST(_pos AS INT) AS _pos FROM wanted""")
 def arrival_order(spark: SparkSession, sf: str) -> DataFrame:
-    opened = pages.keep_wanted_pages(pages.unwrap(event_pages(spark, sf)))
+    opened = pages.keep_wanted_pages(pages.unwrap(land(spark, event_pages(spark, sf))))
     rows = pages.typed(pages.explode_records(opened), "struct<event_id:bigint>")
     return rows.orderBy("_page", "_pos")
 

@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from medallion.contracts import EVENTS, ORDERS, PRODUCTS, USERS, Entity
 from medallion.functions.times import instant, to_utc
 from medallion.operators.dedup import drop_duplicates
-from medallion.operators.lake import (
-    Lake, clustered, export_csv as write_csv, insert_if_absent as add_absent, replace,
-)
+from medallion.operators.lake import Lake, clustered, export_csv as write_csv, replace
+from medallion.operators.merge import insert_if_absent as add_absent
 from medallion.operators.merge import upsert
 from medallion.plans import control, entities
 from medallion.plans.runs import run_full, run_incremental
