@@ -74,6 +74,8 @@ class Lake:
                 f"LOCATION '{self.root}/{layer}'"
             )
         for entity in self.entities.values():
+            if not self.spark.catalog.tableExists(self.raw(entity)):
+                clear_step(self.spark, self.work(entity, "touched"))  # nothing to recover
             self._create(self.raw(entity), entity.columns, partitioned=True)
         for table, columns in (("stg_orders", contracts.STG_ORDERS),
                                ("stg_users", contracts.STG_USERS),
