@@ -122,11 +122,13 @@ def write_step(df: DataFrame, path: str, metrics: list[Column] | None = None,
                partitioned: bool = False) -> tuple[DataFrame, dict]:
     """Write a step of a load; returns it read back, and metrics of its rows.
 
+    The whole step is replaced, whatever overwrite mode the session is in.
     The metrics sit on top of the last stage of the write, whose tasks report
     once each, so a lost executor does not count rows twice.
     """
     seen = Observation()
     writer = df.observe(seen, *(metrics or gate_metrics([]))).write.mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "static")
     if partitioned:
         writer = writer.partitionBy(PART)
     writer.parquet(path)
@@ -214,5 +216,5 @@ def clustered(df: DataFrame, by: list[str]) -> DataFrame:
 
 def export_csv(df: DataFrame, folder: str, name: str, run_ts: datetime) -> str:
     path = f"{folder}/{name}_{run_ts:%Y%m%d_%H%M%S}"
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path

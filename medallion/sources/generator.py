@@ -31,12 +31,18 @@ def _draw(digest: Column, slot: int, low: int, high: int) -> Column:
     return value % (high - low + 1) + low
 
 
-def _line(order_digest: Column, number: Column) -> Column:
-    digest = F.md5(F.concat_ws("|", order_digest, number.cast("string")))
-    product = _draw(digest, 0, 1, PRODUCTS)
-    quantity = _draw(digest, 1, 1, MAX_QUANTITY)
-    cents = _draw(digest, 2, *PRICE_CENTS)
-    discount = _draw(digest, 3, 0, MAX_DISCOUNT_PCT)
+def _draws(digest: Column) -> Column:
+    return F.struct(
+        _draw(digest, 0, 1, PRODUCTS).alias("product"),
+        _draw(digest, 1, 1, MAX_QUANTITY).alias("quantity"),
+        _draw(digest, 2, *PRICE_CENTS).alias("cents"),
+        _draw(digest, 3, 0, MAX_DISCOUNT_PCT).alias("discount"),
+    )
+
+
+def _line(drawn: Column) -> Column:
+    product, quantity = drawn["product"], drawn["quantity"]
+    cents, discount = drawn["cents"], drawn["discount"]
     # Half a cent rounds up, in whole numbers.
     total_cents = F.floor((cents * quantity * (100 - discount) + 50) / 100)
     unit_cents = F.floor((cents * (100 - discount) + 50) / 100)
@@ -51,16 +57,20 @@ def _line(order_digest: Column, number: Column) -> Column:
     )
 
 
+def _lines(order_digest: Column) -> Column:
+    """One to five lines.  Step by step, because a lambda evaluates anew each
+    use of a value: the digest of a line is made once, its draws once."""
+    numbers = F.sequence(F.lit(1), _draw(order_digest, 0, 1, MAX_LINES).cast("int"))
+    digests = F.transform(
+        numbers, lambda n: F.md5(F.concat_ws("|", order_digest, n.cast("string"))))
+    return F.transform(F.transform(digests, _draws), _line)
+
+
 def generate_orders(ids: DataFrame, today: datetime, seed: str = "orders") -> DataFrame:
     """One order per row of ``ids`` (column ``id``), as the source would hold it."""
     digest = F.md5(F.concat_ws("|", F.lit(seed), F.col("id").cast("string")))
     orders = ids.select("id", digest.alias("_digest")).withColumn(
-        "products",
-        F.transform(
-            F.sequence(F.lit(1), _draw(F.col("_digest"), 0, 1, MAX_LINES).cast("int")),
-            lambda n: _line(F.col("_digest"), n),
-        ),
-    )
+        "products", _lines(F.col("_digest")))
     total = F.aggregate(
         "products", F.lit(0).cast("decimal(10,2)"),
         lambda sum_, p: (sum_ + p["total"].cast("decimal(10,2)")).cast("decimal(10,2)"),

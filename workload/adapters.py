@@ -252,10 +252,25 @@ def as_pages(records: DataFrame, key: str, envelope: str, page_size: int = PAGE_
     return unique.groupBy(page.alias("page")).agg(body.alias("body"))
 
 
-def page_rows(key: str, source: str, page_size: int = PAGE_SIZE) -> str:
-    """SQL: rows on pages up to the first that is not full."""
-    return f"""paged AS (
-        SELECT *, {key} // {page_size} + 1 AS _page, {key} % {page_size} AS _pos FROM {source}),
+def page_rows(key: str, source: str, rest: list[str], page_size: int = PAGE_SIZE) -> str:
+    """SQL: rows on pages up to the first that is not full.  Of the rows with
+    one key the greatest by the other columns counts."""
+    ties = ", ".join(f"{c} DESC NULLS LAST" for c in rest)
+    return f"""single AS (SELECT * FROM {source}
+        QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {ties}) = 1),
+    numbered AS (SELECT *, {key} // {page_size} + 1 AS _page FROM single),
+    paged AS (SELECT *, row_number() OVER (PARTITION BY _page ORDER BY {key}) - 1 AS _pos
+        FROM numbered),
     page_sizes AS (SELECT _page, count(*) AS n FROM paged GROUP BY _page),
     wanted AS (SELECT * FROM paged WHERE _page <= coalesce(
         (SELECT min(_page) FROM page_sizes WHERE n < {page_size}), _page))"""
+
+
+USER_TIES = ["email", "username", "password", '"firstName"', '"lastName"', "phone",
+             "address_line1", "address_city", "address_state", "address_postal_code",
+             "address_lat", "address_lng"]
+EVENT_TIES = ["ts", "user_id", "event_type", "value", "props"]
+PRODUCT_TIES = ["title", "description", "rating", "reviews", "price", "cost",
+                '"discountPercentage"', '"discountedPrice"', "stock", "category", "brand",
+                "thumbnail", "sku", "weight", '"warrantyInformation"', '"returnPolicy"',
+                "updated_at"]

@@ -19,16 +19,12 @@ from workload.adapters import (
     products_source, run_log, table, users_source,
 )
 from workload.registry import RUN_1, query
-from workload.twins import DAILY, ORDERS, PRODUCTS, USERS, half_even, number, strip
+from workload.twins import DAILY, ORDERS, PRODUCTS, USERS, columns, half_even, number, ranked, strip
 
 MARK = datetime(1998, 6, 1)
 MARK_SQL = "TIMESTAMP '1998-06-01 00:00:00'"
 
 
-def columns(*names: str) -> str:
-    return ", ".join(names)
-
-
 # --- relational source -----------------------------------------------------
 
 _NINE = ORDER_SOURCE_COLUMNS.copy()
@@ -88,13 +84,14 @@ def _draw(digest: str, slot: int, low: int, high: int) -> str:
     return _DRAW.format(d=digest, a=4 * slot + 1, n=high - low + 1, low=low)
 
 
-@query(f"""WITH seeds AS (SELECT o_orderkey AS id, md5('orders|' || o_orderkey) AS d FROM orders),
-    numbered AS (SELECT id, d, unnest(range(1, {_draw('d', 0, 1, 5)} + 1)) AS j FROM seeds),
-    drawn AS (SELECT id, d, md5(d || '|' || j) AS e FROM numbered),
+@query(f"""WITH seeds AS (SELECT row_number() OVER () AS r, o_orderkey AS id,
+        md5('orders|' || o_orderkey) AS d FROM orders),
+    numbered AS (SELECT r, id, d, unnest(range(1, {_draw('d', 0, 1, 5)} + 1)) AS j FROM seeds),
+    drawn AS (SELECT r, id, d, md5(d || '|' || j) AS e FROM numbered),
     lines AS (SELECT id, any_value(d) AS d, count(*) AS n, sum({_draw('e', 1, 1, 3)}) AS q,
         sum(CAST(((({_draw('e', 2, 1000, 50000)}) * ({_draw('e', 1, 1, 3)})
             * (100 - ({_draw('e', 3, 0, 30)})) + 50) // 100) AS DECIMAL(18,0))) / 100 AS total
-        FROM drawn GROUP BY id)
+        FROM drawn GROUP BY r, id)
     SELECT id, {_draw('d', 1, 1, 100)} AS user_id, CAST(total AS DOUBLE) AS total,
         CAST(CAST(CAST(total AS DECIMAL(10,2)) * CAST(0.95 AS DECIMAL(3,2)) AS DECIMAL(10,2))
              AS DOUBLE) AS discounted_total,
@@ -128,23 +125,23 @@ def alias_products(spark: SparkSession, sf: str) -> DataFrame:
         "return_policy", "warranty_months")
 
 
-@query(f"WITH {ORDERS} SELECT * FROM orders_clean")
+@query(f"WITH {ORDERS} SELECT * FROM orders_enriched")
 def align_orders(spark: SparkSession, sf: str) -> DataFrame:
     return entities.align_orders(entities.enrich_orders(orders_source(spark, sf), RUN_1))
 
 
-@query(f"WITH {USERS} SELECT * FROM users_clean")
+@query(f"WITH {USERS} SELECT * FROM users_enriched")
 def align_users(spark: SparkSession, sf: str) -> DataFrame:
     return entities.align_users(entities.enrich_users(users_source(spark, sf), RUN_1))
 
 
-@query(f"WITH {PRODUCTS} SELECT * FROM products_clean")
+@query(f"WITH {PRODUCTS} SELECT * FROM products_enriched")
 def align_products(spark: SparkSession, sf: str) -> DataFrame:
     return entities.align_products(entities.enrich_products(products_source(spark, sf), RUN_1))
 
 
 @query(f"""WITH {USERS} SELECT user_id, email, username, password_masked, first_name, last_name,
-    full_name, address_city, address_lat, phone_masked FROM users_clean""")
+    full_name, address_city, address_lat, phone_masked FROM users_enriched""")
 def clean_users(spark: SparkSession, sf: str) -> DataFrame:
     clean = entities.clean_users(users_source(spark, sf))
     return clean.select("user_id", "email", "username", "password_masked", "first_name",
@@ -187,14 +184,6 @@ _LINE = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedpric
          "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def ranked(source: str, keys: list[str], order: list[str], rest: list[str]) -> str:
-    """SQL: last row per key; unknown times win, ties by the other columns."""
-    by = [f"({c} IS NULL) DESC, {c} DESC" for c in order]
-    by += [f"{c} DESC NULLS LAST" for c in rest]
-    return f"""SELECT {columns(*keys, *order, *rest)} FROM (SELECT *, row_number() OVER (
-        PARTITION BY {columns(*keys)} ORDER BY {columns(*by)}) AS rn FROM {source}) WHERE rn = 1"""
-
-
 _CHANGES = "CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE l_shipdate END AS updated_at"
 
 
@@ -358,7 +347,7 @@ def explode_order_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {ORDERS} SELECT order_id, discounted_total AS order_value,
     total - discounted_total AS discount_amount,
-    total / nullif(total_products, 0) AS avg_product_value FROM orders_clean""")
+    total / nullif(total_products, 0) AS avg_product_value FROM orders_enriched""")
 def order_metrics(spark: SparkSession, sf: str) -> DataFrame:
     clean = entities.enrich_orders(orders_source(spark, sf), RUN_1)
     return entities.order_metrics(clean).select(

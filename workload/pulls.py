@@ -9,7 +9,8 @@ from medallion.contracts import USER_RECORD
 from medallion.functions.times import to_utc
 from medallion.sources import pages
 from workload.adapters import (
-    PRODUCTS_SOURCE, USERS_SOURCE, as_pages, page_rows, products_source, table, users_source,
+    EVENT_TIES, PRODUCT_TIES, PRODUCTS_SOURCE, USER_TIES, USERS_SOURCE, as_pages, page_rows,
+    products_source, table, users_source,
 )
 from workload.registry import RUN_1, new_folder, query
 
@@ -31,7 +32,7 @@ def event_pages(spark: SparkSession, sf: str) -> DataFrame:
     return as_pages(table(spark, sf, "events"), "event_id", "data")
 
 
-@query(f"""WITH {USERS_SOURCE}, {page_rows('id', 'users_source')}
+@query(f"""WITH {USERS_SOURCE}, {page_rows('id', 'users_source', USER_TIES)}
     SELECT id, email, username, "firstName" AS first, address_city AS city, address_lat AS lat,
         _page, CAST(_pos AS INT) AS _pos FROM wanted""")
 def scan_paged_json(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +65,7 @@ def unwrap_envelope(spark: SparkSession, sf: str) -> DataFrame:
     return pages.unwrap(bodies).select("page", "n", first.alias("first_id"))
 
 
-@query(f"""WITH {page_rows('event_id', 'events', 64)}
+@query(f"""WITH {page_rows('event_id', 'events', EVENT_TIES, 64)}
     SELECT _page AS page, count(*) AS n FROM wanted GROUP BY 1""")
 def page_stop(spark: SparkSession, sf: str) -> DataFrame:
     responses = as_pages(table(spark, sf, "events"), "event_id", "data", page_size=64)
@@ -91,7 +92,7 @@ def extract_since_events(spark: SparkSession, sf: str) -> DataFrame:
     return pages.changed_since(events, SINCE, "ts")
 
 
-@query(f"""WITH {USERS_SOURCE}, {page_rows('id', 'users_source')}
+@query(f"""WITH {USERS_SOURCE}, {page_rows('id', 'users_source', USER_TIES)}
     SELECT id, email, username, password, "firstName", "lastName", phone,
         address_state AS state, _page, CAST(_pos AS INT) AS _pos,
         TIMESTAMP '2024-06-01' AS _extracted_at, '/users' AS _source FROM wanted""")
@@ -100,7 +101,7 @@ def read_users(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("state", F.col("address.state")).drop("address", "updated_at")
 
 
-@query(f"""WITH {PRODUCTS_SOURCE}, {page_rows('id', 'products_source')}
+@query(f"""WITH {PRODUCTS_SOURCE}, {page_rows('id', 'products_source', PRODUCT_TIES)}
     SELECT id, title, description, rating, reviews, CAST(price AS DOUBLE) AS price,
         "discountPercentage", "discountedPrice", stock, category, weight, "warrantyInformation",
         updated_at, _page, CAST(_pos AS INT) AS _pos,
@@ -117,7 +118,7 @@ def read_products(spark: SparkSession, sf: str) -> DataFrame:
         "_page", "_pos", "_extracted_at", "_source")
 
 
-@query(f"""WITH {page_rows('event_id', 'events')}
+@query(f"""WITH {page_rows('event_id', 'events', EVENT_TIES)}
     SELECT event_id, ts, user_id, event_type, value, props, _page, CAST(_pos AS INT) AS _pos,
         TIMESTAMP '2024-06-01' AS _extracted_at, '/events' AS _source FROM wanted""")
 def read_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,7 +126,7 @@ def read_events(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("ts", to_utc(F.col("ts"), rows.schema["ts"].dataType))
 
 
-@query(f"""WITH {page_rows('event_id', 'events')}
+@query(f"""WITH {page_rows('event_id', 'events', EVENT_TIES)}
     SELECT event_id, _page, CAST(_pos AS INT) AS _pos FROM wanted""")
 def arrival_order(spark: SparkSession, sf: str) -> DataFrame:
     opened = pages.keep_wanted_pages(pages.unwrap(land(spark, event_pages(spark, sf))))

@@ -23,10 +23,9 @@ from workload.adapters import (
     MARK_LOG, ORDERS_SOURCE, RUN_LOG, mark_log, orders_source, products_source, run_log, table,
     users_source,
 )
-from workload.frames import ranked
 from workload.registry import RUN_1, RUN_2, new_folder, new_lake, query
 from workload.twins import DAILY, ORDERS as ORDERS_SQL, PRODUCTS as PRODUCTS_SQL, \
-    USERS as USERS_SQL
+    USERS as USERS_SQL, ranked
 
 T1, T2 = "TIMESTAMP '2024-06-01'", "TIMESTAMP '2024-06-02'"
 
@@ -107,9 +106,10 @@ def upsert_composite_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {USERS_SQL}
-    SELECT user_id, CASE WHEN c_acctbal < 0 THEN 'changed@example.com' ELSE email END AS email,
+    SELECT user_id, CASE WHEN user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
+            THEN 'changed@example.com' ELSE email END AS email,
         full_name, phone_masked, CAST(address_lat AS DOUBLE) AS address_lat, sk_user,
-        {T1} AS _loaded_at FROM users_clean JOIN customer ON c_custkey = user_id
+        {T1} AS _loaded_at FROM users_clean
     UNION ALL SELECT -1 - s_suppkey, lower(s_name) || '@example.com', s_name, NULL, NULL,
         substr(sha256('user|' || (-1 - s_suppkey)), 1, 16), {T2} FROM supplier""")
 def upsert_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,7 +171,7 @@ def clustered_orders(spark: SparkSession, sf: str) -> DataFrame:
 def export_csv(spark: SparkSession, sf: str) -> DataFrame:
     rows = entities.transform_orders(orders_source(spark, sf), RUN_1).drop("_transformed_at")
     path = write_csv(rows, new_folder(spark), "orders_transformed", RUN_1)
-    return spark.read.option("header", True).option("escape", '\\').schema(rows.schema).csv(path)
+    return spark.read.option("header", True).option("escape", '"').schema(rows.schema).csv(path)
 
 
 # --- control tables --------------------------------------------------------
@@ -272,8 +272,8 @@ def incremental_orders_e2e(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {ORDERS_SOURCE}
     SELECT 'incremental_orders' AS pipeline_name, max(updated_at) AS watermark_value,
-        count(*) AS rows_loaded FROM orders_source WHERE updated_at <= {LATE_SQL}
-    UNION ALL SELECT 'incremental_orders', max(updated_at), count(*) FROM orders_source
+        count(DISTINCT id) AS rows_loaded FROM orders_source WHERE updated_at <= {LATE_SQL}
+    UNION ALL SELECT 'incremental_orders', max(updated_at), count(DISTINCT id) FROM orders_source
         WHERE updated_at > {LATE_SQL}""")
 def advance_watermarks(spark: SparkSession, sf: str) -> DataFrame:
     return _two_increments(spark, sf).table("control", "etl_watermarks").select(
