@@ -1,4 +1,4 @@
-"""Instants, all in UTC (the session zone is UTC, see ``session.use_utc``)."""
+"""Instants, all in UTC (the session zone is UTC, see ``session.prepare``)."""
 
 from __future__ import annotations
 

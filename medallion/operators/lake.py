@@ -23,7 +23,9 @@ from pyspark.sql import types as T
 from medallion import contracts
 from medallion.contracts import Entity
 from medallion.functions.keys import bucket
+from medallion.functions.nested import json_text
 from medallion.operators.quality import gate_metrics
+from medallion.session import prepare
 
 LAYERS = ("raw", "staging", "analytics", "control")
 PART = "_part"
@@ -68,6 +70,7 @@ class Lake:
 
     def setup(self) -> "Lake":
         """Create the databases and tables that are absent."""
+        prepare(self.spark)
         for layer in LAYERS:
             self.spark.sql(
                 f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} "
@@ -215,6 +218,10 @@ def clustered(df: DataFrame, by: list[str]) -> DataFrame:
 
 
 def export_csv(df: DataFrame, folder: str, name: str, run_ts: datetime) -> str:
+    """One folder of CSV files with headers; nested values as JSON text."""
+    nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+    df = df.withColumns({f.name: json_text(F.col(f.name), f.dataType)
+                         for f in df.schema.fields if isinstance(f.dataType, nested)})
     path = f"{folder}/{name}_{run_ts:%Y%m%d_%H%M%S}"
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return path

@@ -26,10 +26,24 @@ def build_session(app: str = "medallion", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Every instant of the library is read and written in UTC."""
+# Reduce tasks per core: enough that a shuffle of many terabytes is cut into
+# pieces that fit a task; AQE joins the pieces of small shuffles again.
+REDUCERS_PER_CORE = 4
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Read and write instants in UTC, and let shuffles grow with the cluster.
+
+    Spark's default of 200 reduce tasks suits neither eight cores nor eight
+    thousand.  A number that is set on the session and larger is kept.
+    """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(initial, None) is None:
+        wanted = REDUCERS_PER_CORE * spark.sparkContext.defaultParallelism
+        if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            spark.conf.set(initial, wanted)
     return spark
 
 

@@ -189,6 +189,22 @@ def test_overwrite_mode_is_restored(spark, lake):
     assert spark.conf.get(key) == before
 
 
+def test_loads_work_in_a_session_with_dynamic_overwrite(spark, lake):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        upsert(lake, frame(spark, [(1, "2024-01-05", "a", 1), (2, "2024-02-05", "b", 2)]), ITEMS,
+               instant(T1))
+        upsert(lake, frame(spark, [(1, "2024-01-05", "A", 1)]), ITEMS, instant(T1))
+        upsert(lake, frame(spark, [(2, "2024-02-05", "B", 2)]), ITEMS, instant(T1))
+        assert content(lake, ITEMS, "k", "v") == [(1, "A"), (2, "B")]
+        replace(lake, frame(spark, [(2, "2024-02-05", "c", 2)]), ITEMS, instant(T1))
+        assert content(lake, ITEMS, "k", "v") == [(2, "c")]
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_replace(spark, lake):
     first = frame(spark, [(1, "2024-01-05", "a", 1), (2, "2024-02-05", "b", 2)])
     assert replace(lake, first, ITEMS, instant(T1)) == 2
@@ -285,3 +301,7 @@ def test_rebuild_and_csv(spark, lake, folder):
     path = export_csv(df, folder, "users", T1)
     assert path.endswith("users_20240601_000000")
     assert spark.read.option("header", True).csv(path).columns == df.columns
+    nested = spark.sql("""SELECT 1 AS id, array('a "b"', 'c') AS v""")
+    path = export_csv(nested, folder, "nested", T1)
+    back = spark.read.option("header", True).option("escape", '"').csv(path).first()
+    assert back["v"] == '["a \\"b\\"","c"]'

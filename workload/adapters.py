@@ -19,16 +19,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # --- orders ----------------------------------------------------------------
 
-_ITEM = """named_struct(
-    'id', (o_custkey + 7 * j) % 100 + 1,
-    'title', concat('Product ', (o_custkey + 7 * j) % 100 + 1),
-    'price', ((o_orderkey * 31 + j * 17) % 49000 + 1000) / 100,
-    'quantity', cast((o_orderkey + j) % 3 + 1 as int),
-    'total', ((o_orderkey * 31 + j * 17) % 49000 + 1000) * ((o_orderkey + j) % 3 + 1) / 100,
-    'discountPercentage', cast((o_orderkey + 3 * j) % 31 as double),
-    'discountedPrice',
-        ((o_orderkey * 31 + j * 17) % 49000 + 1000) * (100 - (o_orderkey + 3 * j) % 31) / 10000
-)"""
+MAX_ITEMS = 5
+
+
+def _item(j: int) -> str:
+    cents = f"((o_orderkey * 31 + {j * 17}) % 49000 + 1000)"
+    product = f"(o_custkey + {7 * j}) % 100 + 1"
+    discount = f"(o_orderkey + {3 * j}) % 31"
+    return f"""named_struct(
+        'id', {product}, 'title', concat('Product ', {product}),
+        'price', {cents} / 100, 'quantity', CAST({_quantity(j)} AS int),
+        'total', {cents} * ({_quantity(j)}) / 100,
+        'discountPercentage', CAST({discount} AS double),
+        'discountedPrice', {cents} * (100 - {discount}) / 10000)"""
+
+
+def _quantity(j: int) -> str:
+    return f"(o_orderkey + {j}) % 3 + 1"
+
+
+# Written out item by item: unlike a lambda, this is compiled with the rest.
+_ITEMS = ", ".join(_item(j) for j in range(1, MAX_ITEMS + 1))
+_QUANTITIES = " + ".join(f"IF(o_orderkey % {MAX_ITEMS} + 1 >= {j}, {_quantity(j)}, 0)"
+                         for j in range(1, MAX_ITEMS + 1))
 
 
 def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,15 +50,14 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS id",
         "o_custkey AS user_id",
-        f"transform(sequence(1L, o_orderkey % 5 + 1), j -> {_ITEM}) AS products",
+        f"slice(array({_ITEMS}), 1, CAST(o_orderkey % 5 + 1 AS int)) AS products",
         """CAST(CASE WHEN o_orderkey % 13 = 0 THEN NULL
                      WHEN o_orderkey % 7 = 0 THEN -o_totalprice
                      ELSE o_totalprice END AS decimal(10,2)) AS total""",
         """CAST(CAST(o_totalprice AS decimal(12,2)) * CAST(0.95 AS decimal(3,2))
                 AS decimal(10,2)) AS discounted_total""",
         "CAST(o_orderkey % 5 + 1 AS int) AS total_products",
-        """CAST(aggregate(sequence(1L, o_orderkey % 5 + 1), 0L,
-                (s, j) -> s + (o_orderkey + j) % 3 + 1) AS int) AS total_quantity""",
+        f"CAST({_QUANTITIES} AS int) AS total_quantity",
         "o_orderdate AS created_at",
         "o_orderdate + make_dt_interval(0, CAST(o_orderkey % 25 AS int)) AS updated_at",
         "CASE WHEN o_orderstatus = 'F' THEN 'CANCELLED' ELSE 'COMPLETED' END AS status",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.operators.lake import Lake
-from medallion.session import shared_dir, use_utc
+from medallion.session import prepare, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,7 +41,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
     def register(work: Query) -> Query:
         @functools.wraps(work)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(work(use_utc(spark), sf_dir))
+            return comparable(work(prepare(spark), sf_dir))
 
         key = name or work.__name__
         QUERIES[key] = run

@@ -45,7 +45,7 @@ def replace_products(spark: SparkSession, sf: str) -> DataFrame:
     clean = entities.transform_products(products_source(spark, sf), RUN_1)
     replace(lake, clean.withColumn("stock", F.lit(0)), PRODUCTS, instant(RUN_1))
     replace(lake, clean, PRODUCTS, instant(RUN_2))
-    replace(lake, clean.limit(0), PRODUCTS, instant(RUN_2))  # no rows: nothing happens
+    replace(lake, clean.where(F.lit(False)), PRODUCTS, instant(RUN_2))  # no rows: nothing happens
     return lake.table("raw", PRODUCTS.table).select(
         "product_id", "product_name", "rating", "reviews", "price", "stock", "category",
         "sk_product", "_loaded_at")
