@@ -138,7 +138,11 @@ def prepare(lake: Lake, entity: Entity, stage: DataFrame, stats: dict, rows: int
         complete(inserts, entity.columns, defaults)
     ).withColumn(PART, lake.part_of(entity))
 
-    touched = _values(hits.select("_old_part").union(changed.select(PART)))
+    # The partitions of the changed rows follow from the source alone, unless
+    # it does not mention the date that decides them.
+    dated = changed if entity.date_key in unmentioned else stage.withColumn(
+        PART, lake.part_of(entity))
+    touched = _values(hits.select("_old_part").union(dated.select(PART)))
     before = table.where(F.col(PART).isin(touched))
     # Rows with a null key match nothing; taken apart, they cannot gather in
     # one task of a shuffled join.
@@ -154,9 +158,8 @@ def prepare(lake: Lake, entity: Entity, stage: DataFrame, stats: dict, rows: int
     else:
         after = laid_out(kept.unionByName(changed), entity)
     write_step(after, lake.work(entity, "next"), partitioned=True)
-    one = spark.range(1, numPartitions=1)
-    names = one.select(F.explode(F.array(*[F.lit(p) for p in touched])).alias("part"))
-    names.write.mode("overwrite").parquet(lake.work(entity, "touched"))
+    names = spark.createDataFrame([(p,) for p in touched], "part string")
+    names.coalesce(1).write.mode("overwrite").parquet(lake.work(entity, "touched"))
 
 
 def publish(lake: Lake, entity: Entity) -> None:

@@ -71,10 +71,15 @@ def keep_wanted_pages(
 
 def explode_records(opened: DataFrame) -> DataFrame:
     """One row per record, with its place of arrival ``_page``, ``_pos``;
-    empty pages have none."""
-    return opened.select(
-        F.col("page").alias("_page"), F.posexplode("records").alias("_pos", "_record")
+    empty pages have none.
+
+    The outer form, because for the inner one Spark infers a filter on the
+    size of the list, pushes it below the parsed column and parses again.
+    """
+    rows = opened.select(
+        F.col("page").alias("_page"), F.posexplode_outer("records").alias("_pos", "_record")
     )
+    return rows.where(F.col("_pos").isNotNull())
 
 
 def typed(records: DataFrame, record_type: str) -> DataFrame:

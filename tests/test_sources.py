@@ -173,3 +173,13 @@ def test_wholetext_names_without_digits(spark, tmp_path):
     os.makedirs(tmp_path / "p")
     (tmp_path / "p" / "7.json").write_text("[]")
     assert pages.read_page_files(spark, str(tmp_path / "p")).first()["page"] == 7
+
+
+def test_a_body_is_parsed_once_per_pass(spark, folder):
+    bodies = spark.sql("SELECT 1L AS page, '{\"users\": [{\"id\": 1}]}' AS body")
+    bodies.write.parquet(folder)
+    opened = pages.unwrap(pages.read_page_table(spark, folder))
+    rows_ = pages.typed(pages.explode_records(pages.keep_wanted_pages(opened)), "struct<id:bigint>")
+    assert rows(rows_.select("id")) == [(1,)]
+    scan = plan_of(rows_).split("Subquery")[0] + plan_of(pages.explode_records(opened))
+    assert scan.count("parseJson") == 2  # one in each of the two plans
