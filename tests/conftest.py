@@ -14,7 +14,9 @@ from medallion.session import build_session, shared_dir  # noqa: E402
 def spark():
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
+           "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4",
+           "spark.sql.sources.parallelPartitionDiscovery.threshold": "1000",
            "spark.driver.memory": "8g"},
     )
     session.sparkContext.setLogLevel("ERROR")

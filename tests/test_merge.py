@@ -286,7 +286,7 @@ def test_clustered_files_have_disjoint_ranges(spark, folder):
     spans = rows(spark.read.parquet(folder).groupBy("_metadata.file_path").agg(
         F.min("k"), F.max("k")).select("min(k)", "max(k)"))
     spans.sort()
-    assert len(spans) == 8
+    assert len(spans) == 4
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
