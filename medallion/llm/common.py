@@ -7,8 +7,12 @@ and an empty table gives an empty result with the same schema.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +37,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, unless PYTHONPATH says that they have it."""
+    root, context = Path(__file__).resolve().parents[2], spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(":") or getattr(context, "_medallion_sent", False):
+        return
+    # The driver serves this file to the executors as long as it runs.
+    with zipfile.ZipFile(f"{tempfile.mkdtemp(prefix='medallion-code-')}/medallion_code.zip", "w") as held:
+        for path in sorted(root.glob("medallion/**/*.py")):
+            held.write(path, path.relative_to(root))
+    context.addPyFile(held.filename)
+    context._medallion_sent = True
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound the bytes of a batch that goes to Python, unless the user has set it."""
+    """Bound the bytes of a batch that goes to Python, unless the user has set it; see also ``ship_code``."""
+    ship_code(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, None) is None:
         spark.conf.set(key, str(BATCH_BYTES))
