@@ -4,18 +4,19 @@ A signature is ``SYMBOLS`` MinHash values of ``BITS`` bits each; its distance co
 Symbols are dealt to chunks of ``CHUNK``.  By the pigeonhole principle two signatures that differ in at most
 ``MAX_DISTANCE`` symbols agree in some chunk but for at most ``ERRORS`` symbols, so enumerating each chunk with
 every set of ``ERRORS`` symbols left out gives keys of which such a pair shares one.  A pair at a similarity of
-exactly 0.75 shares no key with a probability of 1e-7 (all twelve chunks would need two errors or more); every
-pair that shares a key is a candidate, however far its signatures are apart, when the key's star is checked.
+exactly 0.75 shares no key with a probability of 2e-6 (all ten chunks would need two errors or more).
 
 Keys of many documents are never expanded into pairs:
 
 1. documents with the same shingle set are one class, of which the smallest id stands for all;
-2. for each key, its smallest class is compared with the others (a star); most groups are one component now;
-3. only keys whose classes still lie in several components go on.  Their members are cut into blocks in order of
-   set size; a block meets itself and those blocks whose sizes allow a similarity of 0.75, and only pairs
-   of different components whose signatures are near enough leave the task.
-
-Candidates are confirmed on full shingle sets, links go through connected components.
+2. for each key, its smallest class (the hub) is compared with the others; most groups are one component now;
+3. only keys whose classes still lie in several components go on, without their hubs.  Their members are cut into
+   blocks by set size and hash; a block meets those blocks whose sizes allow a similarity of 0.75, and a pair
+   leaves the task only if its components differ, this is the first key it shares, and its bottom-k sketches
+   (the whole sets, where those are small) allow 0.75.
+
+Sketches only turn pairs away far below 0.75 (five standard deviations); links are confirmed on full shingle
+sets and go through connected components.
 """
 
 from __future__ import annotations
@@ -27,16 +28,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm.common import (CONTINUES, LOWER, SPACE, U, arrow_map, gram_hashes, mix, span_hashes, spans, stored,
+from medallion.llm.common import (LOWER, SPACE, U, arrow_map, gram_hashes, mix, span_hashes, spans, stored,
                                   table, text_runs)
 from medallion.llm.components import components
 from medallion.llm.registry import query
 
 SHINGLE = 5
-SYMBOLS, BITS, CHUNK, ERRORS = 48, 16, 4, 1
+SYMBOLS, BITS, CHUNK, ERRORS = 40, 16, 4, 1
 CHUNKS = SYMBOLS // CHUNK
 # The largest distance that the pigeonhole covers: one error more than ERRORS in every chunk would exceed it.
 MAX_DISTANCE = CHUNKS * (ERRORS + 1) - 1
+# Symbols that may differ before a pair is turned away unconfirmed: 5 deviations above the mean at 0.75.
+FAR = int(SYMBOLS / 4 + 5 * (SYMBOLS * 3 / 16) ** 0.5 + 1)
+# Smallest hashes of a set that a sketch keeps.
+SKETCH = 256
+# Rows of 64 bits in the table that turns texts away.
+FILTER_WORDS = 1 << 17
 # Members of a block in step 3, which bounds a task's memory and leaves no pair out.
 BLOCK = 512
 SEED = 20240601
@@ -91,17 +98,32 @@ def _sketch(batch: pa.RecordBatch) -> pa.Table:
         for found in shingle_sets(batch.column("text")):
             sizes.append(len(found))
             # two sums over the set stand for the whole set
-            marks.append((mix(found).sum(), mix(found ^ U(SEED)).sum()))
-            signatures.append(signature(found))
-        signatures = np.stack(signatures)
-        keys = chunk_keys(signatures).view(np.int64)
-        marks = np.array(marks, np.uint64).reshape(-1, 2).view(np.int64)
-    return pa.table({
-        "doc_id": batch.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()),
-        "mark": pa.array([m.tobytes() for m in marks], pa.binary()),
-        "signature": pa.array([s.tobytes() for s in signatures], pa.binary()),
-        "keys": pa.ListArray.from_arrays(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32), keys.ravel()),
-    })
+            marks.append(np.array([mix(found).sum(), mix(found ^ U(SEED)).sum()], np.uint64).tobytes())
+            signatures.append(signature(found).tobytes())
+    return pa.table({"doc_id": batch.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()),
+                     "mark": pa.array(marks, pa.binary()), "signature": pa.array(signatures, pa.binary())})
+
+
+def _signatures(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+
+
+def _keys(batch: pa.RecordBatch) -> pa.Table:
+    with np.errstate(over="ignore"):
+        keys = chunk_keys(_signatures(batch.column("signature"))).view(np.int64)
+    n = keys.shape[1]
+    return pa.table({"id": np.repeat(batch.column("id").to_numpy(), n), "key": keys.ravel(),
+                     "place": np.tile(np.arange(n, dtype=np.int32), len(keys))})
+
+
+def _bottom(batch: pa.RecordBatch) -> pa.Table:
+    found = [x[:SKETCH].tobytes() for x in shingle_sets(batch.column("text"))]
+    return pa.table({"id": batch.column("doc_id"), "bottom": pa.array(found, pa.binary())})
+
+
+def _near(batch: pa.RecordBatch) -> pa.Table:
+    differ = (_signatures(batch.column("sa")) != _signatures(batch.column("sb"))).sum(axis=1)
+    return pa.Table.from_batches([batch]).select(["a", "b"]).filter(pa.array(differ <= FAR))
 
 
 def _sets(batch: pa.RecordBatch) -> pa.Table:
@@ -112,11 +134,9 @@ def _sets(batch: pa.RecordBatch) -> pa.Table:
 
 
 def _confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` whose full sets have a similarity of 0.75 or more."""
-    pairs = stored(pairs)
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sets = arrow_map(texts, _sets, "id long, shingles array<long>")
+    """Pairs ``a, b`` (stored) whose full sets have a similarity of 0.75 or more."""
+    sets = arrow_map(_texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), _sets,
+                     "id long, shingles array<long>")
     sets = stored(sets)
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
@@ -125,8 +145,22 @@ def _confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
         100 * common >= 75 * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """One text (the smallest) for each id.
+
+    A bit table of the ids' hashes, of a fixed size, turns most other documents away before their texts are shuffled.
+    """
+    ids = stored(ids.distinct())
+    place, bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS)), F.pmod(F.hash("doc_id"), F.lit(64)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bits = ids.groupBy(place.alias("place")).agg(F.bit_or(one).alias("bits"))
+    # at most FILTER_WORDS rows of 16 bytes
+    seen = docs.withColumn("place", place).join(F.broadcast(bits), "place").where(F.col("bits").bitwiseAND(one) != 0)
+    return seen.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+
+
 def _blocks(keys: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of step 3.  keys: ``key, id`` of unresolved keys; found: ``id, n_shingles, signature, component``."""
+    """Pairs of step 3.  keys: ``key, place, id``; found: ``id, n_shingles, signature, component, bottom``."""
     rows = keys.join(found, "id")
     # Blocks follow set size: classes (by powers of 4/3) cut by a hash, so that a hot key is many small blocks.
     rows = rows.withColumn("band", F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(4 / 3))).cast("int"))
@@ -150,26 +184,46 @@ def _blocks(keys: DataFrame, found: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.coalesce("prior_cuts", F.lit(1)) - 1),
         lambda o: F.struct((F.col("band") - 1).alias("x"), o.alias("i"), F.col("band").alias("y"), below.alias("j")))).otherwise(F.array())
     rows = rows.join(prior, ["key", "band"], "left").withColumn("meet", F.explode(F.concat(own, up, down)))
-    rows = rows.select("key", "meet.*", "id", "n_shingles", "signature", "component")
+    rows = rows.select("key", "place", "meet.*", "id", "n_shingles", "signature", "component", "bottom")
 
     def near_pairs(group: pa.Table) -> pa.Table:
-        ids = group.column("id").to_numpy()
-        sizes, parts = group.column("n_shingles").to_numpy(), group.column("component").to_numpy()
-        signs = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint16).reshape(len(ids), SYMBOLS)
+        ids, parts = group.column("id").to_numpy(), group.column("component").to_numpy()
         a, b = [], []
         if (parts != parts[:1]).any():
+            sizes = group.column("n_shingles").to_numpy()
+            signs = _signatures(group.column("signature"))
+            bottoms = [np.frombuffer(x, np.uint64) for x in group.column("bottom").to_pylist()]
+            chunk, left_out = group.column("place")[0].as_py() % CHUNKS, group.column("place")[0].as_py() // CHUNKS
             for i in range(len(ids)):
-                near = (parts != parts[i]) & (ids > ids[i]) & (100 * np.minimum(sizes, sizes[i]) >= 75 * np.maximum(sizes, sizes[i]))
+                near = (parts != parts[i]) & (ids > ids[i]) & (
+                    100 * np.minimum(sizes, sizes[i]) >= 75 * np.maximum(sizes, sizes[i]))
                 rest = np.flatnonzero(near)
-                rest = rest[(signs[rest] != signs[i]).sum(axis=1) <= MAX_DISTANCE] if len(rest) else rest
-                a += [np.full(len(rest), ids[i])]
-                b += [ids[rest]]
-        joined = [np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (a, b)]
-        return pa.table({"a": joined[0], "b": joined[1]})
+                if not len(rest):
+                    continue
+                differ = (signs[rest] != signs[i]).reshape(-1, CHUNKS, CHUNK)
+                first = (differ.sum(axis=2) <= ERRORS).argmax(axis=1)
+                odd = differ[:, chunk]
+                kept = ~np.stack([odd[:, list(k)].any(axis=1) for k in _KEPT], axis=1)
+                rest = rest[(first == chunk) & (kept.argmax(axis=1) == left_out) & (differ.sum(axis=(1, 2)) <= FAR)]
+                for j in rest:
+                    if possible(bottoms[i], bottoms[j]):
+                        a.append(ids[i])
+                        b.append(ids[j])
+        return pa.table({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
     return rows.groupBy("key", "x", "i", "y", "j").applyInArrow(near_pairs, "a long, b long").distinct()
 
 
+def possible(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two bottom-k sketches (sorted) allow a similarity of 0.75; exact where both hold whole sets."""
+    both = np.union1d(x, y)
+    if len(x) == SKETCH or len(y) == SKETCH:
+        both = both[:SKETCH]
+        shared = len(np.intersect1d(np.intersect1d(x, y, True), both, True))
+        return shared >= 0.75 * len(both) - 5 * (len(both) * 3 / 16) ** 0.5
+    return 100 * (len(x) + len(y) - len(both)) >= 75 * len(both)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (``doc_id`` long, ``text``).
 
@@ -177,36 +231,39 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     or its whole sequence if it is shorter.  Documents with 75 % of their shingles in common (intersection by
     union) are linked; ``component_id`` is the smallest id reachable and ``kept`` marks that document.
     A null or empty text has no shingles and is linked with nothing.  Rows that repeat an id are each returned;
-    rows with different texts under one id count as one document (links of any of them hold for the id),
-    and only the first row by text is kept.  Rows with a null id are returned unlinked and kept.
+    rows with different texts under one id count as one document: copies of any of them link it, near links are
+    confirmed on its smallest text, and ``kept`` holds for all its rows or none.  Rows with a null id are returned unlinked and kept.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketches = stored(arrow_map(docs, _sketch, "doc_id long, n_shingles long, mark binary, signature binary, keys array<long>"))
+    sketches = stored(arrow_map(docs, _sketch, "doc_id long, n_shingles long, mark binary, signature binary"))
     full = sketches.where("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("mark").agg(F.min("doc_id").alias("id"))
-    # ids with one mark only are the usual case; an id with several links its classes
-    member = full.select("doc_id", "mark").join(classes, "mark").select("doc_id", "id")
-    stands = full.join(classes, (full.mark == classes.mark) & (full.doc_id == classes.id), "left_semi").dropDuplicates(["doc_id", "mark"])
-    keys = stands.select(F.col("doc_id").alias("id"), F.explode("keys").alias("key"))
-    stars = keys.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a != z")
-    shared = stored(keys.join(stars, "key").select("key", "id", "a"))
+    member = stored(full.select("doc_id", "mark").join(classes, "mark").select("doc_id", "mark", "id"))
+    stands = stored(full.join(member.where("doc_id = id").select("doc_id", "mark").distinct(), ["doc_id", "mark"], "left_semi")
+                    .groupBy(F.col("doc_id").alias("id"), "mark")
+                    .agg(F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")).drop("mark"))
+    keys = arrow_map(stands, _keys, "id long, key long, place int")
+    hubs = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
+    shared = stored(keys.join(hubs, "key"))
 
     pairs = shared.where("a != id").select("a", F.col("id").alias("b")).distinct()
-    signs = stands.select("doc_id", "n_shingles")
-    sizes_a, sizes_b = (signs.groupBy(F.col("doc_id").alias(x)).agg(F.max("n_shingles").alias(f"n{x}"), F.min("n_shingles").alias(f"m{x}")) for x in "ab")
-    pairs = pairs.join(sizes_a, "a").join(sizes_b, "b").where("100 * least(na, nb) >= 75 * greatest(ma, mb)").select("a", "b")
-    same_id = member.where("doc_id != id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
+    for x in "ab":
+        pairs = pairs.join(stands.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("signature").alias(f"s{x}")), x)
+    pairs = pairs.where("100 * least(na, nb) >= 75 * greatest(na, nb)").select("a", "b", "sa", "sb")
+    pairs = stored(arrow_map(pairs, _near, "a long, b long").distinct())
     star_links = stored(_confirm(docs, pairs))
     parts = components(star_links)
 
-    found = stored(stands.select(F.col("doc_id").alias("id"), "n_shingles", "signature").join(parts, "id", "left")
-                   .withColumn("component", F.coalesce("component", "id")))
-    labelled = shared.join(found.select("id", "component").distinct(), "id")
-    open_keys = labelled.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-    rest = _blocks(shared.join(open_keys, "key", "left_semi").select("key", "id").distinct(), found)
-    links = star_links.union(_confirm(docs, rest))
-    several = same_id.join(full.groupBy("doc_id").agg(F.count_distinct("mark").alias("n")).where("n > 1")
-                           .select(F.col("doc_id").alias("b")), "b", "left_semi").select("a", "b")
+    found = stored(stands.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")))
+    # A hub has met all others of its key, so keys of two are done.
+    rest = shared.where("n > 2 and id != a").select("key", "place", "id")
+    open_keys = (rest.join(found.select("id", "component"), "id").groupBy("key")
+                 .agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key"))
+    rest = stored(rest.join(open_keys, "key", "left_semi").distinct())
+    bottoms = arrow_map(_texts_of(docs, rest.select(F.col("id").alias("doc_id"))), _bottom, "id long, bottom binary")
+    links = star_links.union(_confirm(docs, stored(_blocks(rest, found.join(bottoms, "id")))))
+    several = member.groupBy("doc_id").agg(F.min("id").alias("a"), F.count_distinct("mark").alias("n")).where("n > 1")
+    several = member.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("id").alias("b"))
     parts = stored(components(links.union(several)))
 
     label = (member.groupBy("doc_id").agg(F.min("id").alias("id")).join(parts, "id", "left")
@@ -217,7 +274,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document is kept, with all their columns; one row for each id."""
+    """The rows of ``docs`` whose document is kept, with all their columns."""
     out = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(out, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
 
