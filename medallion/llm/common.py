@@ -77,11 +77,14 @@ def scratch_mark() -> int:
     return len(_scratch)
 
 
-def drop_scratch(spark: SparkSession, upto: int | None = None) -> None:
-    """Delete scratch tables whose results have been written; the oldest ``upto`` of them, or all."""
-    done = _scratch[:upto]
-    del _scratch[:upto]
-    for path in done:
+def scratch_since(mark: int) -> list[str]:
+    """Scratch folders made since a mark."""
+    return _scratch[mark:]
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders whose results have been written elsewhere."""
+    for path in paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
