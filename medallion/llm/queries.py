@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing an operator registers its query."""
 
-from medallion.llm import hamming_dedup, mixing, packing, secrets, toxicity  # noqa: F401
+from medallion.llm import hamming_dedup, language_model, mixing, packing, secrets, toxicity  # noqa: F401
 from medallion.llm.registry import QUERIES, SQL  # noqa: F401
