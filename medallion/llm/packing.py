@@ -86,7 +86,8 @@ def plan(lengths: dict[int, int], capacity: int) -> np.ndarray:
 
 def pack(found: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``found`` (pieces with a positive ``length`` of at most ``capacity``) with ``sequence_id`` and ``offset``."""
-    ranked = stored(running_start(found, [F.desc("length"), "doc_id", "piece", "ids_crc32"], F.lit(1), "_rank"))
+    # stored first: the range-sort reads it twice
+    ranked = stored(running_start(stored(found), [F.desc("length"), "doc_id", "piece", "ids_crc32"], F.lit(1), "_rank"))
     # at most ``capacity`` rows
     counts = {r["length"]: r["count"] for r in ranked.groupBy("length").count().collect()}
     moves = plan(counts, capacity)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -10,61 +11,67 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 TOKENIZER = "word_bpe_49k.json"
-# Words a process keeps with their ids; beyond that it starts anew.
-KEPT_WORDS = 400_000
+# Words a process keeps with their ids (about 200 bytes each); beyond that it starts anew.
+KEPT_WORDS = 1_200_000
 
 # ASCII punctuation behind letters is a word of its own for this tokenizer, unless it begins with an apostrophe.
-_TAIL = re.compile(r"([.,!?;:#$%&*|()\"\-]+)$")
+_TAIL = re.compile(r"[.,!?;:#$%&*|()\"\-]+$")
 # Characters that str.split takes for white space and the tokenizer does not, and the start of a special token.
 _ODD = re.compile("[\x1c-\x1f]|<\\|")
+# Letters below this are the same in all versions of Unicode that matter.
+_SETTLED = "\u0530"
 
 
-class WordIds:
-    """Ids of texts, as ``encode(text, add_special_tokens=False)`` gives them.
+def _byte_letters() -> dict[int, str]:
+    """The printable stand-ins of bytes in byte-level vocabularies: printable ones for themselves, others from 256 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + n) for n, b in enumerate(others)}
 
-    The tokenizer normalises and cuts at white space before anything else, so a text's ids are those of its
-    words in turn.  Texts with special tokens or odd separators are encoded whole.
+
+class WordIds(dict):
+    """Ids of words, learned as they come, and of texts, as ``encode(text, add_special_tokens=False)`` gives them.
+
+    The tokenizer normalises and cuts at white space before anything else, so a text's ids are those of its words
+    in turn.  A word of letters goes to the tokenizer's model at once; other words go through the whole tokenizer,
+    and so do texts with special tokens or odd separators.
     """
 
     def __init__(self, name: str = TOKENIZER):
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.model = self.tokenizer.model
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.ids: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _learn(self, words: set[str]) -> None:
-        ids, cut, plain = self.ids, {}, []
-        for word in words:
-            tail = _TAIL.search(word)
-            core = word[:tail.start()] if tail else ""
-            if core and core.isalpha():
-                cut[word] = (core, tail[1])
-            else:
-                plain.append(word)
-        parts = {p for pair in cut.values() for p in pair if p not in ids}
-        fresh = list(parts.union(plain))
-        ids.update(zip(fresh, self._encode(fresh)))
-        for word, (core, tail) in cut.items():
-            ids[word] = ids[core] + ids[tail]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian ids of each text, two bytes each (four, if the vocabulary needs it)."""
-        if len(self.ids) > KEPT_WORDS:
-            self.ids.clear()
-        split = [(text or "").split() for text in texts]
-        odd = [i for i, text in enumerate(texts) if text and _ODD.search(text)]
-        for i in odd:
-            split[i] = []
-        new = set().union(*split).difference(self.ids)
-        if new:
-            self._learn(new)
-        known = self.ids
-        found = [b"".join([known[w] for w in words]) for words in split]
-        for i in odd:
-            found[i] = self._encode([texts[i]])[0]
-        return found
+        self.stand_ins = _byte_letters()
+        self.direct = name == TOKENIZER
+
+    def __missing__(self, word: str) -> bytes:
+        ids = None
+        if self.direct:
+            if word.isalpha():
+                plain = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
+                if word.isascii() or (plain.isalpha() and "\u03a3" not in word and max(plain) < _SETTLED):
+                    letters = plain if word.isascii() else plain.encode().decode("latin-1").translate(self.stand_ins)
+                    ids = np.array([t.id for t in self.model.tokenize(letters)], self.dtype).tobytes()
+            elif (tail := _TAIL.search(word)) and (core := word[:tail.start()]).isalpha():
+                ids = self[core] + self[tail[0]]
+        if ids is None:
+            ids = self.whole(word)
+        self[word] = ids
+        return ids
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def encode(self, text: str | None) -> bytes:
+        """Little-endian ids of a text, two bytes each (four, if the vocabulary needs it)."""
+        if not text:
+            return b""
+        if not self.direct or _ODD.search(text):
+            return self.whole(text)
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 @lru_cache(2)
@@ -73,9 +80,8 @@ def word_ids(name: str = TOKENIZER) -> WordIds:
     return WordIds(name)
 
 
-def encoded(column, name: str = TOKENIZER, rows: int = 256):
-    """Arrays of ids of a text column, a few texts at a time."""
+def encoded(column, name: str = TOKENIZER):
+    """Arrays of ids of a text column, one text after another."""
     held = word_ids(name)
-    for at in range(0, len(column), rows):
-        for ids in held.encode(column[at:at + rows].to_pylist()):
-            yield np.frombuffer(ids, held.dtype)
+    for text in column:
+        yield np.frombuffer(held.encode(text.as_py()), held.dtype)
