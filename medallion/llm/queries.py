@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing an operator registers its query."""
 
-from medallion.llm import hamming_dedup, language_model, line_quality, mixing, packing, secrets, toxicity, winnowing  # noqa: F401
+from medallion.llm import hamming_dedup, language_model, line_quality, mixing, packing, secrets, token_files, toxicity, winnowing  # noqa: F401
 from medallion.llm.registry import QUERIES, SQL  # noqa: F401
