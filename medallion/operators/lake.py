@@ -1,18 +1,16 @@
 """Tables of the layers and the ways to load them.
 
 Tables are plain parquet tables of the session catalog, one database per
-layer, created once and then only written into.  ``_part`` is the partition
-column of the large ones: the period of the date key where the entity has
-one, else a hash bucket of the key.
+layer.  ``_part`` is the partition column of the large ones: the period of
+the date key where the entity has one, else a hash bucket of the key.
 
-Steps of a load lie as parquet under ``<root>/_work``; what an interrupted
-load leaves there is overwritten by the next one.
+Every load writes a version of its own and then switches to it; see
+``medallion.operators.commit``.
 """
 
 from __future__ import annotations
 
-import threading
-from contextlib import contextmanager
+import math
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -24,14 +22,13 @@ from medallion import contracts
 from medallion.contracts import Entity
 from medallion.functions.keys import bucket
 from medallion.functions.nested import json_text
+from medallion.operators.commit import PART, Place, commit, writing
 from medallion.operators.quality import gate_metrics
 from medallion.session import prepare
 
 LAYERS = ("raw", "staging", "analytics", "control")
-PART = "_part"
 NO_DATE = "none"
-
-_settings = threading.RLock()
+BUCKETS = "medallion.buckets"
 
 
 @dataclass(frozen=True)
@@ -39,15 +36,17 @@ class Lake:
     """Where the tables are.
 
     ``period`` is the date pattern of the date partitions (``yyyy-MM`` or,
-    for tables whose months are too large to rewrite, ``yyyy-MM-dd``);
-    ``buckets`` is the number of hash partitions of the other tables.
+    for tables whose months are too large to rewrite, ``yyyy-MM-dd``).  Tables
+    without a date have hash buckets of about ``bucket_rows`` rows: their first
+    load, and every full replace, sets the number, which the table keeps as a
+    property.
     """
 
     spark: SparkSession
     root: str
     prefix: str = ""
     period: str = "yyyy-MM"
-    buckets: int = 8
+    bucket_rows: int = 250_000
     entities: dict[str, Entity] = field(default_factory=lambda: contracts.ENTITIES)
 
     def name(self, layer: str, table: str) -> str:
@@ -60,13 +59,27 @@ class Lake:
         """Rows of a table, without the partition column."""
         return self.spark.table(self.name(layer, table)).drop(PART)
 
-    def work(self, entity: Entity, step: str) -> str:
-        return f"{self.root}/_work/{entity.table}/{step}"
+    def place(self, layer: str, table: str) -> Place:
+        name = self.name(layer, table)
+        return Place(self.spark, name, f"{self.root}/_versions/{layer}/{table}", f"{self.root}/_work/{layer}/{table}",
+                     PART in self.spark.table(name).columns)
+
+    def raw_place(self, entity: Entity) -> Place:
+        return self.place("raw", entity.table)
+
+    def bucket_count(self, entity: Entity) -> int:
+        """Buckets that the table has now."""
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.raw(entity)} ('{BUCKETS}')").first()["value"]
+        return int(found) if found.isdigit() else 1
+
+    def buckets_for(self, rows: int) -> int:
+        """A power of two, so that a table that grows can double them."""
+        return 1 << max(0, math.ceil(math.log2(max(1, rows / self.bucket_rows))))
 
-    def part_of(self, entity: Entity) -> Column:
+    def part_of(self, entity: Entity, buckets: int | None = None) -> Column:
         if entity.date_key:
             return F.coalesce(F.date_format(entity.date_key, self.period), F.lit(NO_DATE))
-        return bucket(list(entity.keys), self.buckets).cast("string")
+        return bucket(list(entity.keys), buckets or self.bucket_count(entity)).cast("string")
 
     def setup(self) -> "Lake":
         """Create the databases and tables that are absent."""
@@ -77,8 +90,6 @@ class Lake:
                 f"LOCATION '{self.root}/{layer}'"
             )
         for entity in self.entities.values():
-            if not self.spark.catalog.tableExists(self.raw(entity)):
-                clear_step(self.spark, self.work(entity, "touched"))  # nothing to recover
             self._create(self.raw(entity), entity.columns, partitioned=True)
         for table, columns in (("stg_orders", contracts.STG_ORDERS),
                                ("stg_users", contracts.STG_USERS),
@@ -104,34 +115,15 @@ class Lake:
         )
 
 
-@contextmanager
-def overwrite_mode(spark: SparkSession, mode: str):
-    """Partition overwrite mode for ``insertInto``.
-
-    It must be a session setting: for catalog tables the option of the same
-    name on the writer is ignored, and all partitions would be replaced.
-    """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    with _settings:
-        before = spark.conf.get(key)
-        spark.conf.set(key, mode)
-        try:
-            yield
-        finally:
-            spark.conf.set(key, before)
-
-
 def write_step(df: DataFrame, path: str, metrics: list[Column] | None = None,
                partitioned: bool = False) -> tuple[DataFrame, dict]:
-    """Write a step of a load; returns it read back, and metrics of its rows.
+    """Write a step of a load to a new folder; returns it read back, and metrics of its rows.
 
-    The whole step is replaced, whatever overwrite mode the session is in.
     The metrics sit on top of the last stage of the write, whose tasks report
     once each, so a lost executor does not count rows twice.
     """
     seen = Observation()
-    writer = df.observe(seen, *(metrics or gate_metrics([]))).write.mode("overwrite")
-    writer = writer.option("partitionOverwriteMode", "static")
+    writer = df.observe(seen, *(metrics or gate_metrics([]))).write
     if partitioned:
         writer = writer.partitionBy(PART)
     writer.parquet(path)
@@ -142,10 +134,6 @@ def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
 
 
-def clear_step(spark: SparkSession, path: str) -> None:
-    spark.range(0).write.mode("overwrite").parquet(path)
-
-
 def conform(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """The table's columns that the frame has, in the table's types."""
     unknown = [c for c in df.columns if c not in columns]
@@ -177,38 +165,45 @@ def sorted_in_files(df: DataFrame, entity: Entity) -> DataFrame:
     return df.sortWithinPartitions(PART, *entity.cluster)
 
 
-def overwrite_all(df: DataFrame, target: str) -> None:
-    with overwrite_mode(df.sparkSession, "static"):
-        df.write.insertInto(target, overwrite=True)
-
-
 def replace(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column,
             check=None) -> int:
     """Full replace.  Without rows the table stays as it is.
 
-    The rows are written apart first: they are counted and checked there, and
-    only then take the place of the old ones.
+    The rows are written once, into a version that the table switches to after
+    they have been counted and checked.  Where buckets follow the number of
+    rows, that is counted first, from a staged copy.
     """
-    rows = complete(conform(df, entity.columns), entity.columns, {"_loaded_at": loaded_at})
-    rows = laid_out(rows.withColumn(PART, lake.part_of(entity)), entity)
-    path = lake.work(entity, "stage")
-    stage, seen = write_step(rows, path, gate_metrics(list(entity.gate)), partitioned=True)
-    if check:
-        check(seen)
-    if seen["rows"]:
-        overwrite_all(sorted_in_files(stage, entity), lake.raw(entity))
-    clear_step(lake.spark, path)
-    return seen["rows"]
-
-
-def rebuild(df: DataFrame, name: str, cluster_by: list[str] | None = None) -> None:
-    """Replace all rows of a table by those of a query.
+    with writing(lake.raw_place(entity)) as version:
+        rows = complete(conform(df, entity.columns), entity.columns, {"_loaded_at": loaded_at})
+        properties, part = {}, lake.part_of(entity) if entity.date_key else None
+        if part is None:
+            rows, seen = write_step(rows, version.step("stage"))
+            properties[BUCKETS] = str(lake.buckets_for(seen["rows"]))
+            part = lake.part_of(entity, int(properties[BUCKETS]))
+        rows = laid_out(rows.withColumn(PART, part), entity)
+        seen = write_step(rows, version.data, gate_metrics(list(entity.gate)), partitioned=True)[1]
+        if check:
+            check(seen)
+        if seen["rows"]:
+            commit(version, properties=properties)
+        return seen["rows"]
+
+
+def rebuild(lake: Lake, df: DataFrame, layer: str, table: str, cluster_by: list[str] | None = None,
+            wait: float = 0.0) -> None:
+    """Replace all rows of a table by those of a query; the old ones stay until the new ones are complete.
 
     A query over a partitioned table passes the partition column on: its rows
     are then copied without a shuffle.  ``cluster_by`` sorts the rows into
     disjoint ranges instead.
     """
-    overwrite_all(clustered(df, cluster_by) if cluster_by else df, name)
+    place = lake.place(layer, table)
+    df = clustered(df, cluster_by) if cluster_by else df
+    columns = lake.spark.table(place.name).schema
+    df = df.select(*[F.col(f.name).cast(f.dataType) for f in columns.fields])
+    with writing(place, wait) as version:
+        write_step(df, version.data, partitioned=place.partitioned)
+        commit(version)
 
 
 def clustered(df: DataFrame, by: list[str]) -> DataFrame:

@@ -5,31 +5,27 @@ rewritten.  Steps of an upsert:
 
 1. stage   the source, counted and checked, so its lineage runs once
 2. hits    target rows with a source key: key, partition, unmentioned columns
-3. next    the touched partitions as they shall be
-4. publish next over the target, partition by partition
+3. version the touched partitions as they shall be, which the table then
+           switches to
 
-From the moment the list of touched partitions is written beside ``next``,
-an interrupted publish can be repeated (``recover``).
+An upsert that was interrupted before the switch was recorded has changed
+nothing; afterwards the next writer of the table finishes it (``recover``).
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.contracts import Entity
+from medallion.operators import commit as commits
+from medallion.operators.commit import PART, Version, commit, writing
 from medallion.operators.dedup import keep_first
-from medallion.operators.lake import (
-    PART, Lake, clear_step, complete, conform, laid_out, nullable, overwrite_mode,
-    sorted_in_files, write_step,
-)
+from medallion.operators.lake import BUCKETS, Lake, complete, conform, laid_out, write_step
 from medallion.operators.quality import gate_metrics
 
-# Source keys are broadcast up to this many counted rows of fixed-width keys
-# (some 64 MB of hashed keys).  Beyond it the join is shuffled.
-BROADCAST_ROWS = 1_000_000
+MATCHED = "_matched"
 
 
 class DuplicateKeyError(ValueError):
@@ -43,14 +39,15 @@ def null_key(keys: list[str]) -> Column:
     return found
 
 
-def _key_stats(keyed: DataFrame, keys: list[str]) -> dict:
-    """Most copies of a key, and the range of each key, from the keys alone."""
-    per_key = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.agg(
-        F.max("n").alias("copies"),
-        *[F.min(k).alias(f"low_{k}") for k in keys],
-        *[F.max(k).alias(f"high_{k}") for k in keys],
-    ).first().asDict()
+def _range_metrics(keys: list[str]) -> list[Column]:
+    """Range of each key, seen while the stage is written."""
+    return [f(k).alias(f"{name}_{k}") for k in keys for name, f in (("low", F.min), ("high", F.max))]
+
+
+def _refuse_copies(stage: DataFrame, keys: list[str], table: str) -> None:
+    copies = stage.where(~null_key(keys)).groupBy(*keys).count().where("count > 1").limit(1).collect()
+    if copies:
+        raise DuplicateKeyError(f"{table}: source has {copies[0]['count']} rows of one key")
 
 
 def _in_range(keys: list[str], stats: dict, schema: T.StructType) -> Column:
@@ -58,160 +55,126 @@ def _in_range(keys: list[str], stats: dict, schema: T.StructType) -> Column:
     inside = F.lit(True)
     for key in keys:
         if isinstance(schema[key].dataType, (T.IntegralType, T.StringType)):
-            inside &= F.col(key).between(F.lit(stats[f"low_{key}"]), F.lit(stats[f"high_{key}"]))
+            low, high = stats[f"low_{key}"], stats[f"high_{key}"]
+            # observed beside nulls of other keys, so a wider range than needed at most
+            inside &= F.col(key).between(F.lit(low), F.lit(high))
     return inside
 
 
-def _fixed_width(schema: T.StructType, keys: list[str]) -> bool:
-    types = (T.NumericType, T.DateType, T.TimestampType, T.BooleanType)
-    return all(isinstance(schema[k].dataType, types) for k in keys)
-
-
-def _is_small(stage: DataFrame, rows: int, keys: list[str]) -> bool:
-    return rows <= BROADCAST_ROWS and _fixed_width(stage.schema, keys)
-
-
 def _values(df: DataFrame) -> list[str]:
     """Partition names: as many as the table has partitions, at most."""
     return [r[0] for r in df.distinct().collect()]
 
 
-def upsert(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column, check=None) -> int:
+def upsert(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column, check=None,
+           unique: bool = False) -> int:
     """Update matched rows, insert the others; returns the source row count.
 
     Columns the source does not have keep the target's value on update and
-    get their default on insert.  A null key matches nothing.
+    get their default on insert.  A null key matches nothing.  ``unique``:
+    the caller has made the keys unique, so they need not be checked.
     """
-    recover(lake, entity)
-    source = conform(df, entity.columns)
-    path = lake.work(entity, "stage")
-    stage, seen = write_step(source, path, gate_metrics(list(entity.gate)))
-    if check:
-        check(seen)
-    if seen["rows"]:
-        defaults = {"_loaded_at": loaded_at}
-        keys = list(entity.keys)
-        stats = _key_stats(stage.where(~null_key(keys)), keys)
-        if (stats["copies"] or 0) > 1:
-            raise DuplicateKeyError(
-                f"{entity.table}: source has up to {stats['copies']} rows per key")
-        if lake.spark.table(lake.raw(entity)).isEmpty():
-            _append(lake, stage, entity, defaults)
-        else:
-            prepare(lake, entity, stage, stats, seen["rows"], defaults)
-            publish(lake, entity)
-    clear_step(lake.spark, path)
-    return seen["rows"]
-
-
-def _append(lake: Lake, rows: DataFrame, entity: Entity, defaults: dict[str, Column]) -> None:
-    rows = complete(rows, entity.columns, defaults).withColumn(PART, lake.part_of(entity))
-    laid_out(rows, entity).write.insertInto(lake.raw(entity))
-
-
-def _find_hits(lake: Lake, entity: Entity, keyed: DataFrame, stats: dict, small: bool,
+    keys = list(entity.keys)
+    with writing(lake.raw_place(entity)) as version:
+        source = conform(df, entity.columns)
+        stage, seen = write_step(source, version.step("stage"), gate_metrics(list(entity.gate)) + _range_metrics(keys))
+        if check:
+            check(seen)
+        if seen["rows"]:
+            if not unique:
+                _refuse_copies(stage, keys, entity.table)
+            defaults = {"_loaded_at": loaded_at}
+            if lake.spark.table(lake.raw(entity)).isEmpty():
+                _load_first(lake, version, stage, entity, defaults, seen["rows"])
+            else:
+                commit(version, prepare(lake, version, entity, stage, seen, defaults))
+        return seen["rows"]
+
+
+def _load_first(lake: Lake, version: Version, rows: DataFrame, entity: Entity, defaults: dict[str, Column],
+                count: int) -> None:
+    """The first rows of a table; their number sets its buckets."""
+    buckets = lake.buckets_for(count)
+    rows = complete(rows, entity.columns, defaults).withColumn(PART, lake.part_of(entity, buckets))
+    write_step(laid_out(rows, entity), version.data, partitioned=True)
+    commit(version, properties={} if entity.date_key else {BUCKETS: str(buckets)})
+
+
+def _find_hits(lake: Lake, version: Version, entity: Entity, keyed: DataFrame, stats: dict,
                columns: list[str]) -> DataFrame:
-    """Target rows with a source key.  Only the named columns are scanned, and
-    with broadcast keys the target is not shuffled."""
+    """Target rows with a source key.  Only the named columns are scanned;
+    whether the keys are broadcast or both sides shuffled is Spark's choice,
+    which knows the size of the stage from its files."""
     keys = list(entity.keys)
-    source_keys = keyed.select(*keys)
     target = lake.spark.table(lake.raw(entity)).where(_in_range(keys, stats, keyed.schema))
-    hits = target.select(*keys, F.col(PART).alias("_old_part"), *columns).join(
-        F.broadcast(source_keys) if small else source_keys, keys, "left_semi")
-    return write_step(hits, lake.work(entity, "hits"))[0]
+    hits = target.select(*keys, F.col(PART).alias("_old_part"), *columns).join(keyed.select(*keys), keys, "left_semi")
+    return write_step(hits, version.step("hits"))[0]
 
 
-def prepare(lake: Lake, entity: Entity, stage: DataFrame, stats: dict, rows: int,
-            defaults: dict[str, Column]) -> None:
-    """Write the touched partitions as they shall be, and their names."""
+def prepare(lake: Lake, version: Version, entity: Entity, stage: DataFrame, stats: dict,
+            defaults: dict[str, Column]) -> list[str]:
+    """Write the touched partitions as they shall be; returns their names."""
     spark, keys = lake.spark, list(entity.keys)
     table = spark.table(lake.raw(entity))
     unmentioned = [c for c in entity.columns if c not in stage.columns]
     keyed = stage.where(~null_key(keys))
-    small = _is_small(stage, rows, keys)
-    hits = _find_hits(lake, entity, keyed, stats, small, unmentioned)
+    hits = _find_hits(lake, version, entity, keyed, stats, unmentioned)
+
+    # Updates and inserts in one pass: what a source row has not and its hit has, the hit gives.
+    found = hits.drop("_old_part").withColumn(MATCHED, F.lit(True))
+    changed = keyed.join(found, keys, "left").unionByName(stage.where(null_key(keys)), allowMissingColumns=True)
+
+    def value(name: str, dtype: str) -> Column:
+        if name in stage.columns:
+            return F.col(name)
+        default = defaults.get(name, F.lit(None)).cast(dtype)
+        return F.when(F.col(MATCHED), F.col(name)).otherwise(default).alias(name)
 
-    updates = keyed.join(hits.drop("_old_part"), keys)
-    inserts = keyed.join(hits.select(*keys).distinct(), keys, "left_anti")
-    inserts = inserts.unionByName(stage.where(null_key(keys)))
-    changed = updates.select(*entity.columns).unionByName(
-        complete(inserts, entity.columns, defaults)
-    ).withColumn(PART, lake.part_of(entity))
+    changed = changed.select(*[value(c, t) for c, t in entity.columns.items()]).withColumn(PART, lake.part_of(entity))
 
     # The partitions of the changed rows follow from the source alone, unless
     # it does not mention the date that decides them.
-    dated = changed if entity.date_key in unmentioned else stage.withColumn(
-        PART, lake.part_of(entity))
+    dated = changed if entity.date_key in unmentioned else stage.withColumn(PART, lake.part_of(entity))
     touched = _values(hits.select("_old_part").union(dated.select(PART)))
     before = table.where(F.col(PART).isin(touched))
     # Rows with a null key match nothing; taken apart, they cannot gather in
     # one task of a shuffled join.
-    source_keys = keyed.select(*keys)
-    kept = before.where(~null_key(keys)).join(
-        F.broadcast(source_keys) if small else source_keys, keys, "left_anti")
+    kept = before.where(~null_key(keys)).join(keyed.select(*keys), keys, "left_anti")
     kept = kept.select(*table.columns).unionByName(before.where(null_key(keys)))
-
-    # With broadcast keys the kept rows never leave their task, and only the
-    # changed rows are shuffled.
-    if small:
-        after = sorted_in_files(kept.unionByName(changed.hint("rebalance", PART)), entity)
-    else:
-        after = laid_out(kept.unionByName(changed), entity)
-    write_step(after, lake.work(entity, "next"), partitioned=True)
-    names = spark.createDataFrame([(p,) for p in touched], "part string")
-    names.coalesce(1).write.mode("overwrite").parquet(lake.work(entity, "touched"))
-
-
-def publish(lake: Lake, entity: Entity) -> None:
-    """Put ``next`` in place; may be repeated until it has succeeded."""
-    spark, target = lake.spark, lake.raw(entity)
-    schema = nullable(spark.table(target).schema)
-    after = spark.read.schema(schema).parquet(lake.work(entity, "next"))
-    with overwrite_mode(spark, "dynamic"):
-        sorted_in_files(after, entity).write.insertInto(target, overwrite=True)
-    # A partition that lost its last row is not in ``next`` and is not
-    # overwritten, so it has to be dropped.
-    for part in sorted(set(_touched(lake, entity)) - set(_values(after.select(PART)))):
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({PART} = '{part}')")
-    for step in ("touched", "next", "hits"):
-        clear_step(spark, lake.work(entity, step))
-
-
-def _touched(lake: Lake, entity: Entity) -> list[str]:
-    """Partitions of a prepared upsert that is not known to be published."""
-    try:
-        names = lake.spark.read.schema("part string").parquet(lake.work(entity, "touched"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-    return [r[0] for r in names.collect()]
+    write_step(laid_out(kept.unionByName(changed), entity), version.data, partitioned=True)
+    return touched
 
 
 def recover(lake: Lake, entity: Entity) -> bool:
-    """Finish an upsert that was interrupted while publishing."""
-    if not _touched(lake, entity):
-        return False
-    publish(lake, entity)
-    return True
+    """Finish a load that was interrupted while the table was switched."""
+    return commits.recover(lake.raw_place(entity))
 
 
 def insert_if_absent(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column,
                      order: list[str]) -> int:
-    """Append the rows whose key the table does not have; the first copy of a
-    key wins.  A null key equals no other, so such rows are all appended.
+    """Add the rows whose key the table does not have; the first copy of a
+    key wins.  A null key equals no other, so such rows are all added.
     Returns the number of rows offered, each key counted once."""
     keys = list(entity.keys)
-    rows = conform(df, entity.columns)
-    first = keep_first(rows.where(~null_key(keys)), keys, order)
-    path = lake.work(entity, "stage")
-    stage, seen = write_step(first.unionByName(rows.where(null_key(keys))), path)
-    keyed = stage.where(~null_key(keys))
-    stats = _key_stats(keyed, keys)
-    small = _is_small(stage, seen["rows"], keys)
-    hits = _find_hits(lake, entity, keyed, stats, small, [])
-    new = keyed.join(hits.select(*keys).distinct(), keys, "left_anti")
-    new = new.unionByName(stage.where(null_key(keys)))
-    _append(lake, new, entity, {"_loaded_at": loaded_at})
-    clear_step(lake.spark, path)
-    return seen["rows"]
+    with writing(lake.raw_place(entity)) as version:
+        rows = conform(df, entity.columns)
+        first = keep_first(rows.where(~null_key(keys)), keys, order)
+        stage, seen = write_step(first.unionByName(rows.where(null_key(keys))), version.step("stage"),
+                                 gate_metrics([]) + _range_metrics(keys))
+        if not seen["rows"]:
+            return 0
+        table, defaults = lake.spark.table(lake.raw(entity)), {"_loaded_at": loaded_at}
+        if table.isEmpty():
+            _load_first(lake, version, stage, entity, defaults, seen["rows"])
+            return seen["rows"]
+        keyed = stage.where(~null_key(keys))
+        hits = _find_hits(lake, version, entity, keyed, seen, [])
+        new = keyed.join(hits.select(*keys).distinct(), keys, "left_anti")
+        new = complete(new.unionByName(stage.where(null_key(keys))), entity.columns, defaults)
+        new, _ = write_step(new.withColumn(PART, lake.part_of(entity)), version.step("new"))
+        touched = _values(new.select(PART))
+        if touched:
+            before = table.where(F.col(PART).isin(touched))
+            write_step(laid_out(before.unionByName(new), entity), version.data, partitioned=True)
+            commit(version, touched)
+        return seen["rows"]

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from medallion import contracts
 from medallion.functions.text import cut_error
 from medallion.functions.times import as_utc, from_micros, instant, now_utc, to_utc
-from medallion.operators.lake import Lake
+from medallion.operators.commit import commit, writing
+from medallion.operators.lake import Lake, clustered, write_step
 
 log = logging.getLogger(__name__)
 
 SUCCESS, FAILED = "SUCCESS", "FAILED"
+# Fixed value: the stored text of a failure without a message.
 NO_DETAILS = "No exception details available."
 
 
@@ -32,11 +34,32 @@ def get_watermark(lake: Lake, pipeline: str) -> datetime | None:
     return from_micros(row[0]) if row else None
 
 
+# Rows come one at a time, each in a file of its own; beyond so many files a log is written anew.
+COMPACT_FILES = 64
+# Branches of a run log side by side, so a writer waits its turn.
+WAIT_SECONDS = 300.0
+ORDER = {"etl_watermarks": ["pipeline_name", "recorded_at"], "pipeline_run_metrics": ["dag_id", "recorded_at"]}
+
+
 def append_control(lake: Lake, table: str, rows: DataFrame) -> None:
     columns = {"etl_watermarks": contracts.WATERMARKS,
                "pipeline_run_metrics": contracts.RUN_METRICS}[table]
     rows = rows.select(*[F.col(c).cast(t).alias(c) for c, t in columns.items()])
-    rows.write.insertInto(lake.name("control", table))
+    with writing(lake.place("control", table), WAIT_SECONDS):
+        rows.write.insertInto(lake.name("control", table))
+
+
+def compact(lake: Lake, table: str, files: int = COMPACT_FILES) -> bool:
+    """Gather a log of more than ``files`` files, clustered by its first key and time."""
+    place = lake.place("control", table)
+    with writing(place, WAIT_SECONDS) as version:
+        lake.spark.catalog.refreshTable(place.name)
+        rows = lake.spark.table(place.name)
+        if len(rows.inputFiles()) <= files:
+            return False
+        write_step(clustered(rows, ORDER[table]), version.data)
+        commit(version)
+        return True
 
 
 def _one_row(lake: Lake, values: dict[str, Column]) -> DataFrame:
@@ -121,8 +144,8 @@ def elapsed(start: datetime | None, end: datetime) -> float | None:
 def record_metric(lake: Lake, dag_id: str, task_id: str, run_id: str, run_type: str,
                   status: str, rows_loaded: int = 0, duration_seconds: float | None = None,
                   error_message: str | None = None, recorded_at: datetime | None = None) -> bool:
-    """A failure to record is logged and reported, never raised: it must not
-    turn a good load into a failed run."""
+    """Add one row about a step; False, and a line in the log, if that fails.
+    Bookkeeping is not worth losing a load that went well."""
     try:
         append_control(lake, "pipeline_run_metrics", _one_row(lake, {
             "dag_id": F.lit(dag_id), "task_id": F.lit(task_id), "run_id": F.lit(run_id),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,32 +29,37 @@ def build_session(app: str = "medallion", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-# Reduce tasks per core: enough that a shuffle of many terabytes is cut into
-# pieces that fit a task; AQE joins the pieces of small shuffles again.
-REDUCERS_PER_CORE = 4
-
-
 def prepare(spark: SparkSession) -> SparkSession:
-    """Read and write instants in UTC, and let shuffles grow with the cluster.
+    """Read and write instants in UTC.  Nothing else of the session is changed.
 
-    Spark's default of 200 reduce tasks suits neither eight cores nor eight
-    thousand.  A number that is set on the session and larger is kept.
+    The number of reduce tasks is the cluster's matter: set
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` to the bytes
+    that the largest shuffle moves, divided by some 200 MB (500,000 for 100
+    TB); AQE joins the pieces of smaller shuffles.
     """
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if spark.conf.get(initial, None) is None:
-        wanted = REDUCERS_PER_CORE * spark.sparkContext.defaultParallelism
-        if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-            spark.conf.set(initial, wanted)
     return spark
 
 
+_local: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as the cluster names it.
+    """Folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A temporary folder is taken only where nothing is configured, which is
-    the case in local tests.
+    Where nothing is configured, a local master (as in tests) gets a temporary
+    folder, one for the application; on a cluster that is an error, since each
+    executor would write to a disk of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    return path.rstrip("/") if path else tempfile.mkdtemp(prefix="medallion-")
+    if path:
+        return path.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master}")
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="medallion-")
+        atexit.register(shutil.rmtree, _local[app], ignore_errors=True)
+    return _local[app]

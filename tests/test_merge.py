@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from medallion.contracts import Entity
 from medallion.functions.times import instant
+from medallion.operators import commit as commits
 from medallion.operators import merge
+from medallion.operators.commit import TableBusyError, release, writing
 from medallion.operators.lake import clustered, export_csv, rebuild, replace
 from medallion.operators.merge import DuplicateKeyError, insert_if_absent, recover, upsert
 from tests.conftest import rows
@@ -135,11 +137,17 @@ def test_upsert_twice_is_upsert_once(spark, lake):
     assert content(lake) == once
 
 
-@pytest.mark.parametrize("limit", [0, merge.BROADCAST_ROWS])
-def test_random_upserts_match_a_dictionary(spark, lake, monkeypatch, limit):
-    """Both join ways, with a partition that holds a third of all rows."""
-    monkeypatch.setattr(merge, "BROADCAST_ROWS", limit)
-    rng = random.Random(limit)
+@pytest.fixture(params=["-1", "10MB"])
+def broadcast_limit(spark, request):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, request.param)
+    yield request.param
+    spark.conf.unset(key)
+
+
+def test_random_upserts_match_a_dictionary(spark, lake, broadcast_limit):
+    """Both ways to join, with a partition that holds a third of all rows."""
+    rng = random.Random(broadcast_limit)
     state = {}
     for _ in range(3):
         batch = {}
@@ -163,14 +171,10 @@ def test_interrupted_publish_is_finished(spark, lake, monkeypatch):
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(merge, "publish", crash)
+        patch.setattr(commits, "apply_record", crash)
         with pytest.raises(RuntimeError):
             upsert(lake, second, ITEMS, instant(T2))
-    assert content(lake, ITEMS, "k", "v") == [(1, "a"), (2, "b"), (3, "c")]
-
-    # Lost again after the write, before the emptied partition was dropped.
-    with monkeypatch.context() as patch:
-        patch.setattr(merge, "_values", crash)
+        assert content(lake, ITEMS, "k", "v") == [(1, "a"), (2, "b"), (3, "c")]
         with pytest.raises(RuntimeError):
             recover(lake, ITEMS)
     assert recover(lake, ITEMS)
@@ -181,6 +185,95 @@ def test_interrupted_publish_is_finished(spark, lake, monkeypatch):
     assert not recover(lake, ITEMS)
 
 
+def interrupted(monkeypatch, work):
+    """Run a load whose driver is lost after the commit is recorded and before the table is switched."""
+    def crash(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(commits, "apply_record", crash)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            work()
+
+
+def test_a_full_replace_outlives_an_interrupted_upsert(spark, lake, monkeypatch):
+    first = frame(spark, [(k, "2024-01-05", "old", 1) for k in range(4)])
+    upsert(lake, first, ITEMS, instant(T1))
+    interrupted(monkeypatch, lambda: upsert(lake, first.withColumn("v", F.lit("hourly")), ITEMS, instant(T1)))
+    replace(lake, first.withColumn("v", F.lit("full")), ITEMS, instant(T2))
+    upsert(lake, frame(spark, [(9, "2024-01-05", "new", 1)]), ITEMS, instant(T2))
+    assert content(lake, ITEMS, "k", "v") == [(0, "full"), (1, "full"), (2, "full"), (3, "full"), (9, "new")]
+
+
+def test_inserted_rows_outlive_an_interrupted_upsert(spark, lake, monkeypatch):
+    upsert(lake, frame(spark, [(1, "2024-01-05", "a", 1)]), ITEMS, instant(T1))
+    interrupted(monkeypatch, lambda: upsert(lake, frame(spark, [(1, "2024-01-05", "A", 1)]), ITEMS, instant(T1)))
+    insert_if_absent(lake, frame(spark, [(2, "2024-01-05", "b", 1)]), ITEMS, instant(T2), ["d"])
+    upsert(lake, frame(spark, [(3, "2024-01-05", "c", 1)]), ITEMS, instant(T2))
+    assert content(lake, ITEMS, "k", "v") == [(1, "A"), (2, "b"), (3, "c")]
+
+
+def test_a_write_that_fails_leaves_the_old_rows(spark, lake):
+    good = frame(spark, [(k, "2024-01-05", "a", k) for k in range(10)])
+    replace(lake, good, ITEMS, instant(T1))
+    name = lake.name("analytics", "dim_customers")
+    columns = spark.table(name).columns
+    customers = spark.range(5).select(F.col("id").alias("user_id"), *[F.lit("x").alias(c) for c in columns[1:]])
+    rebuild(lake, customers, "analytics", "dim_customers")
+    lost = F.when(F.rand() < 2, F.raise_error(F.lit("task lost"))).cast("string")
+    for load in (replace, upsert):
+        with pytest.raises(Exception, match="task lost"):
+            load(lake, good.withColumn("v", lost), ITEMS, instant(T2))
+    with pytest.raises(Exception, match="task lost"):
+        rebuild(lake, customers.withColumn("email", lost), "analytics", "dim_customers")
+    assert len(content(lake)) == 10
+    assert spark.table(name).count() == 5
+
+
+def test_a_second_writer_is_refused(spark, lake):
+    good = frame(spark, [(1, "2024-01-05", "a", 1)])
+    with writing(lake.raw_place(ITEMS)):
+        with pytest.raises(TableBusyError, match="items_raw"):
+            upsert(lake, good, ITEMS, instant(T1))
+    assert upsert(lake, good, ITEMS, instant(T1)) == 1
+    # an owner of another application, alive and dead
+    place = lake.raw_place(ITEMS)
+    place.files.create(place.owner, '{"app": "other", "at": 99999999999}')
+    with pytest.raises(TableBusyError, match="other"):
+        replace(lake, good, ITEMS, instant(T1))
+    release(place)
+    place.files.create(place.owner, '{"app": "other", "at": 0}')
+    assert replace(lake, good, ITEMS, instant(T1)) == 1
+
+
+def test_old_versions_are_deleted_by_the_next_write(spark, lake):
+    place = lake.raw_place(ITEMS)
+    for v in "abc":
+        upsert(lake, frame(spark, [(1, "2024-01-05", v, 1)]), ITEMS, instant(T1))
+    upsert(lake, frame(spark, [(2, "2024-02-05", "x", 1)]), ITEMS, instant(T1))
+    replace(lake, frame(spark, [(7, "2024-03-05", "y", 1)]), ITEMS, instant(T1))
+    with writing(place):
+        pass
+    assert len(place.files.names(place.versions)) == 1
+    assert content(lake, ITEMS, "k", "v") == [(7, "y")]
+
+
+def test_buckets_follow_the_rows(spark, make_lake):
+    lake = make_lake(entities={"pairs": PAIRS}, bucket_rows=10)
+    many = frame(spark, [(k, None, "v", k) for k in range(300)])
+    upsert(lake, many, PAIRS, instant(T1))
+    assert lake.bucket_count(PAIRS) == 32
+    place = lake.raw_place(PAIRS)
+    upsert(lake, frame(spark, [(1, None, "v", -1), (2, None, "v", -2)]), PAIRS, instant(T2))
+    newest = place.files.names(place.versions)[-1]
+    assert 1 <= len([n for n in place.files.names(f"{place.versions}/{newest}") if n.startswith("_part=")]) <= 2
+    assert lake.table("raw", PAIRS.table).count() == 300
+    replace(lake, many.where("k < 15"), PAIRS, instant(T2))
+    assert lake.bucket_count(PAIRS) == 2
+    assert upsert(lake, many.where("k < 20"), PAIRS, instant(T2)) == 20
+    assert lake.table("raw", PAIRS.table).count() == 20
+
+
 def test_overwrite_mode_is_restored(spark, lake):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
@@ -256,24 +349,24 @@ def ancestors(plan, leaf):
     return found
 
 
-def test_kept_rows_are_not_shuffled_by_a_small_increment(spark, lake, monkeypatch):
+def test_an_upsert_shuffles_and_writes_wide_rows_once(spark, lake, monkeypatch):
     plans = []
     write_step = merge.write_step
 
     def spy(df, path, *args, **options):
-        plans.append((path.rsplit("/", 1)[-1], df._jdf.queryExecution().executedPlan().toString()))
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
         return write_step(df, path, *args, **options)
 
     upsert(lake, frame(spark, [(1, "2024-01-05", "a", 1), (2, "2024-02-05", "b", 2)]), ITEMS,
            instant(T1))
     monkeypatch.setattr(merge, "write_step", spy)
     upsert(lake, frame(spark, [(2, "2024-02-06", "B", 20)]), ITEMS, instant(T2))
-    steps = dict(plans)
-    assert "BroadcastHashJoin" in steps["hits"] and "SortMergeJoin" not in steps["hits"]
-    assert "GreaterThanOrEqual(k,2), LessThanOrEqual(k,2)" in steps["hits"]
-    assert re.search(r"items_raw\[k#\d+L,_loaded_at#\d+,_part#\d+\]", steps["hits"])
-    above = ancestors(steps["next"], "items_raw[")
-    assert above and not [line for line in above if "Exchange" in line]
+    _stage, hits, version = plans
+    assert "BroadcastHashJoin" in hits and "SortMergeJoin" not in hits
+    assert "GreaterThanOrEqual(k,2), LessThanOrEqual(k,2)" in hits
+    assert re.search(r"items_raw\[k#\d+L,_loaded_at#\d+,_part#\d+\]", hits)
+    above = {line for line in ancestors(version, "items_raw[") if "Exchange" in line}
+    assert len(above) == 1 and "REBALANCE" in above.pop()
 
 
 def test_clustered_files_have_disjoint_ranges(spark, folder):
@@ -295,8 +388,8 @@ def test_rebuild_and_csv(spark, lake, folder):
     columns = spark.table(name).columns
     df = spark.range(5).select(F.col("id").alias("user_id"),
                                *[F.lit("x").alias(c) for c in columns if c != "user_id"])
-    rebuild(df, name, cluster_by=["user_id"])
-    rebuild(df.where("user_id > 2"), name, cluster_by=["user_id"])
+    rebuild(lake, df, "analytics", "dim_customers", cluster_by=["user_id"])
+    rebuild(lake, df.where("user_id > 2"), "analytics", "dim_customers", cluster_by=["user_id"])
     assert rows(spark.table(name).select("user_id")) == [(3,), (4,)]
     path = export_csv(df, folder, "users", T1)
     assert path.endswith("users_20240601_000000")

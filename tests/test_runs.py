@@ -177,3 +177,38 @@ def test_stream_of_landed_files(spark, make_lake, folder):
     event_file(spark, landed, [(1, "2024-03-05", 1.5)])
     assert run() == [(1, 1.5), (2, 2.75), (3, 3.0)]
     assert run() == [(1, 1.5), (2, 2.75), (3, 3.0)]
+
+
+def test_a_source_that_is_down_leaves_a_failure_row(spark, lake):
+    def down(*_):
+        raise ConnectionError("source is down")
+
+    with pytest.raises(ConnectionError):
+        run_full(lake, {"orders": down, "users": users(spark, 2)}, "f1", RUN)
+    with pytest.raises(ConnectionError):
+        run_incremental(lake, {"orders": down}, "i1", RUN)
+    failures = lake.table("control", "pipeline_run_metrics")
+    assert rows(failures.select("run_id", "task_id", "status", "error_message")) == [
+        ("f1", "load_orders", "FAILED", "source is down"), ("i1", "upsert_orders", "FAILED", "source is down")]
+    assert count(lake, "raw", "users_raw") == 2
+
+
+def test_control_logs_are_compacted(lake):
+    for i in range(6):
+        control.set_watermark(lake, f"p{i % 2}", datetime(2024, 1, 1 + i))
+    assert not control.compact(lake, "etl_watermarks", files=6)
+    assert control.compact(lake, "etl_watermarks", files=5)
+    assert len(lake.spark.table(lake.name("control", "etl_watermarks")).inputFiles()) < 6
+    control.set_watermark(lake, "p0", datetime(2024, 2, 1))
+    assert count(lake, "control", "etl_watermarks") == 7
+    assert control.get_watermark(lake, "p0") == utc(2024, 2, 1)
+
+
+def test_orders_are_sorted_by_day_in_the_files(spark, lake):
+    days = orders(spark, 40).withColumn("created_at", F.expr(
+        "timestamp'2024-01-01 00:00:00' + make_dt_interval(CAST(id * 7 % 28 AS int))"))
+    run_full(lake, {"orders": days}, "r", RUN)
+    for layer, table in (("staging", "stg_orders"), ("analytics", "fact_orders")):
+        for path in lake.spark.table(lake.name(layer, table)).inputFiles():
+            found = [r[0] for r in spark.read.parquet(path).select("order_date").collect()]
+            assert found == sorted(found)
