@@ -27,7 +27,7 @@ ORDER_ITEM = (
 
 USER_RECORD = (
     "struct<id:bigint,email:string,username:string,password:string,"
-    "firstName:string,lastName:string,phone:string,"
+    "firstName:string,lastName:string,name:struct<firstname:string,lastname:string>,phone:string,"
     "address:struct<address:string,city:string,state:string,postalCode:string,"
     "coordinates:struct<lat:double,lng:double>>,"
     "updated_at:string>"
@@ -35,10 +35,10 @@ USER_RECORD = (
 
 PRODUCT_RECORD = (
     "struct<id:bigint,title:string,description:string,rating:string,reviews:string,"
-    "price:string,cost:string,discountPercentage:string,discountedPrice:string,stock:int,"
+    "price:string,cost:string,list_price:string,status:string,discountPercentage:string,discountedPrice:string,stock:int,"
     "category:string,brand:string,thumbnail:string,sku:string,weight:double,"
-    "dimensions:struct<width:double,height:double,depth:double>,"
-    "warrantyInformation:string,returnPolicy:string,updated_at:string>"
+    "dimensions:variant,"
+    "warrantyInformation:string,returnPolicy:string,created_at:string,updated_at:string>"
 )
 
 EVENT_RECORD = (

@@ -57,29 +57,33 @@ def _line(drawn: Column) -> Column:
     )
 
 
-def _lines(order_digest: Column) -> Column:
-    """One to five lines.  Step by step, because a lambda evaluates anew each
-    use of a value: the digest of a line is made once, its draws once."""
-    numbers = F.sequence(F.lit(1), _draw(order_digest, 0, 1, MAX_LINES).cast("int"))
-    digests = F.transform(
-        numbers, lambda n: F.md5(F.concat_ws("|", order_digest, n.cast("string"))))
-    return F.transform(F.transform(digests, _draws), _line)
-
-
 def generate_orders(ids: DataFrame, today: datetime, seed: str = "orders") -> DataFrame:
-    """One order per row of ``ids`` (column ``id``), as the source would hold it."""
+    """One order per row of ``ids`` (column ``id``), as the source would hold it.
+
+    The lines are written out one by one and not mapped over a sequence, so
+    that all of it is compiled; sums run over cents.
+    """
     digest = F.md5(F.concat_ws("|", F.lit(seed), F.col("id").cast("string")))
-    orders = ids.select("id", digest.alias("_digest")).withColumn(
-        "products", _lines(F.col("_digest")))
-    total = F.aggregate(
-        "products", F.lit(0).cast("decimal(10,2)"),
-        lambda sum_, p: (sum_ + p["total"].cast("decimal(10,2)")).cast("decimal(10,2)"),
-    )
-    quantity = F.aggregate("products", F.lit(0), lambda sum_, p: sum_ + p["quantity"])
+    orders = ids.select("id", digest.alias("_digest"))
+    orders = orders.withColumn("_n", _draw(F.col("_digest"), 0, 1, MAX_LINES).cast("int"))
+    lines = range(1, MAX_LINES + 1)
+    orders = orders.withColumns({f"_d{n}": F.md5(F.concat_ws("|", "_digest", F.lit(str(n)))) for n in lines})
+    orders = orders.withColumns({f"_l{n}": _line(_draws(F.col(f"_d{n}"))) for n in lines})
+
+    def over_lines(value, zero):
+        total = zero
+        for n in lines:
+            total += F.when(F.col("_n") >= n, value(F.col(f"_l{n}"))).otherwise(zero)
+        return total
+
+    cents = over_lines(lambda line: F.round(line["total"] * 100).cast("bigint"), F.lit(0).cast("bigint"))
+    quantity = over_lines(lambda line: line["quantity"], F.lit(0))
     age = _draw(F.col("_digest"), 2, 0, MAX_AGE_DAYS).cast("int")
     delay = _draw(F.col("_digest"), 3, 0, MAX_UPDATE_HOURS).cast("int")
     created = instant(today) - F.make_dt_interval(age)
-    orders = orders.withColumn("total", total)
+    orders = orders.withColumns({
+        "products": F.slice(F.array(*[f"_l{n}" for n in lines]), F.lit(1), F.col("_n")),
+        "total": (cents / 100).cast("decimal(10,2)"), "quantity": quantity})
     return orders.select(
         "id",
         _draw(F.col("_digest"), 1, 1, USERS).alias("user_id"),
@@ -87,8 +91,8 @@ def generate_orders(ids: DataFrame, today: datetime, seed: str = "orders") -> Da
         "total",
         (F.col("total") * F.lit(str(ORDER_DISCOUNT)).cast("decimal(3,2)"))
         .cast("decimal(10,2)").alias("discounted_total"),
-        F.size("products").alias("total_products"),
-        quantity.alias("total_quantity"),
+        F.col("_n").alias("total_products"),
+        F.col("quantity").alias("total_quantity"),
         created.alias("created_at"),
         (created + F.make_dt_interval(F.lit(0), delay)).alias("updated_at"),
     )

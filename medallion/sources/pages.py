@@ -21,19 +21,34 @@ ENVELOPE_KEYS = ["data", "results", "items", "records", "users", "products", "ca
 PAGE_SIZE = 100
 
 
-def read_page_files(spark: SparkSession, path: str) -> DataFrame:
-    """One response per file; the digits of the file name are the page number."""
-    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)", 1).cast("bigint")
-    return spark.read.text(path, wholetext=True).select(
-        number.alias("page"), F.col("value").alias("body")
-    )
+# The last digits of a name are its page number: users_2024-06-01_page_0012.json is page 12.
+PAGE_NUMBER = r"(\d+)\D*$"
+
+
+class DuplicatePageError(ValueError):
+    """Two files claim the same page."""
+
+
+def read_page_files(spark: SparkSession, path: str, number: str = PAGE_NUMBER) -> DataFrame:
+    """One response per file, numbered by a pattern on the file name; two files of one number are refused.
+
+    Only the names are looked at for that, not the bodies.
+    """
+    files = spark.read.text(path, wholetext=True)
+    page = F.regexp_extract(F.regexp_replace(F.col("_metadata.file_name"), r"\.\w+$", ""), number, 1)
+    names = spark.read.format("binaryFile").load(path).select(F.regexp_extract(
+        F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.\w+$", ""), number, 1).alias("page"))
+    twice = names.groupBy("page").count().where("count > 1").limit(1).collect()
+    if twice:
+        raise DuplicatePageError(f"{twice[0]['count']} files in {path} have the page number {twice[0]['page'] or '(none)'}")
+    return files.select(page.try_cast("bigint").alias("page"), F.col("value").alias("body"))
 
 
 def read_page_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("page bigint, body string").parquet(path)
 
 
-def unwrap(pages: DataFrame) -> DataFrame:
+def unwrap(pages: DataFrame, keep_body: bool = False) -> DataFrame:
     """Add ``records`` and their count ``n`` to each page.
 
     The records are a bare list, else the first listed key that holds a list
@@ -44,7 +59,7 @@ def unwrap(pages: DataFrame) -> DataFrame:
     found = [F.try_variant_get(body, path, "array<variant>")
              for path in ["$", *[f"$.{key}" for key in ENVELOPE_KEYS]]]
     parsed = pages.withColumn("_body", F.try_parse_json("body"))
-    opened = parsed.withColumn("records", F.coalesce(*found)).drop("body", "_body")
+    opened = parsed.withColumn("records", F.coalesce(*found)).drop(*([] if keep_body else ["body"]), "_body")
     return opened.withColumn("n", F.coalesce(F.size("records"), F.lit(0)))
 
 
@@ -52,23 +67,46 @@ def page_offset(page: Column, page_size: int = PAGE_SIZE) -> Column:
     return (page - 1) * page_size
 
 
+def short_pages(pages: DataFrame, page_size: int = PAGE_SIZE) -> Column:
+    """The first short page as a scalar subquery: no join is needed, and the comparison reaches the scan.
+
+    Pages that carry their record count in a column ``n`` since they landed are
+    not parsed for it: only the two narrow columns are scanned.
+    """
+    counted = pages if "n" in pages.columns else unwrap(pages)
+    return counted.agg(F.min(F.when(F.col("n") < page_size, F.col("page")))).scalar()
+
+
 def keep_wanted_pages(
-    opened: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = None
+    opened: DataFrame, page_size: int = PAGE_SIZE, max_pages: int | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Pages up to and including the first short one.
 
-    The first short page is a scalar subquery, so no join is needed, and the
-    comparison reaches the scan.  Both are kept free of filters on ``n``:
-    such a filter would be pushed below the parsed column and parse again.
+    ``counts`` are pages with ``n`` to find it in, the opened ones by default.
+    Both sides are kept free of filters on ``n``: such a filter would be
+    pushed below the parsed column and parse again.
     """
-    short = F.when(F.col("n") < page_size, F.col("page"))
-    first_short = opened.agg(F.min(short)).scalar()
-    wanted = F.col("page") <= F.coalesce(first_short, F.col("page"))
+    wanted = F.col("page") <= F.coalesce(short_pages(opened if counts is None else counts, page_size), F.col("page"))
     if max_pages:
         wanted &= F.col("page") <= max_pages
     return opened.where(wanted)
 
 
+def land_counted(pages: DataFrame, path: str) -> DataFrame:
+    """Write pages with their record count beside the body, so that no later step parses a body to find the last page."""
+    unwrap(pages, keep_body=True).select("page", "body", "n").write.parquet(path)
+    return pages.sparkSession.read.schema("page bigint, body string, n int").parquet(path)
+
+
+def left_out(pages: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """How many landed pages and records lie behind the first short page: ``pages, records``."""
+    counted = pages if "n" in pages.columns else unwrap(pages)
+    behind = F.col("page") > short_pages(counted, page_size)
+    return counted.agg(F.count(F.when(behind, 1)).alias("pages"),
+                       F.coalesce(F.sum(F.when(behind, F.col("n"))), F.lit(0)).cast("bigint").alias("records"))
+
+
 def explode_records(opened: DataFrame) -> DataFrame:
     """One row per record, with its place of arrival ``_page``, ``_pos``;
     empty pages have none.
@@ -113,25 +151,38 @@ def extract(
     max_pages: int | None = None,
     since: datetime | None = None,
     since_column: str = "updated_at",
+    stop_at_short_page: bool = True,
 ) -> DataFrame:
-    wanted = keep_wanted_pages(unwrap(pages), page_size, max_pages)
-    rows = typed(explode_records(wanted), record_type)
+    """Typed records of the landed pages, in their place of arrival.
+
+    ``stop_at_short_page`` ends the pull behind the first page that is not
+    full, as a reader of the live API would; ``left_out`` reports what that
+    leaves out.  Without it every landed page is read.
+    """
+    opened = unwrap(pages)
+    if stop_at_short_page:
+        opened = keep_wanted_pages(opened, page_size, max_pages, counts=pages if "n" in pages.columns else None)
+    elif max_pages:
+        opened = opened.where(F.col("page") <= max_pages)
+    rows = typed(explode_records(opened), record_type)
     return stamp(changed_since(rows, since, since_column), run_ts, source)
 
 
 def read_products(pages: DataFrame, run_ts: datetime, since: datetime | None = None,
-                  source: str = "/products") -> DataFrame:
-    return extract(pages, contracts.PRODUCT_RECORD, run_ts, source, since=since)
+                  source: str = "/products", **scan) -> DataFrame:
+    """A product that is sent without a status is an active one."""
+    rows = extract(pages, contracts.PRODUCT_RECORD, run_ts, source, since=since, **scan)
+    return rows.withColumn("status", F.coalesce("status", F.lit(contracts.DEFAULT_PRODUCT_STATUS)))
 
 
 def read_users(pages: DataFrame, run_ts: datetime, since: datetime | None = None,
-               source: str = "/users") -> DataFrame:
-    return extract(pages, contracts.USER_RECORD, run_ts, source, since=since)
+               source: str = "/users", **scan) -> DataFrame:
+    return extract(pages, contracts.USER_RECORD, run_ts, source, since=since, **scan)
 
 
 def read_events(pages: DataFrame, run_ts: datetime, since: datetime | None = None,
-                source: str = "/events") -> DataFrame:
-    return extract(pages, contracts.EVENT_RECORD, run_ts, source, since=since, since_column="ts")
+                source: str = "/events", **scan) -> DataFrame:
+    return extract(pages, contracts.EVENT_RECORD, run_ts, source, since=since, since_column="ts", **scan)
 
 
 def union_pulls(*pulls: DataFrame) -> DataFrame:

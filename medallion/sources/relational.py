@@ -62,31 +62,48 @@ def jdbc_options(
 ) -> dict[str, str]:
     """Options of the JDBC scan.
 
-    With id bounds the read is split over ``num_partitions`` tasks.  A limit
-    must be taken by the database, so it goes into the query text.
+    The id bounds split the read over ``num_partitions`` tasks; without them
+    the whole table would come through one connection, which is refused.  A
+    limit must be taken by the database, so it goes into the query text, and
+    its rows come through one.
     """
     columns = ", ".join(ORDER_SOURCE_COLUMNS)
-    query = f"SELECT {columns} FROM {table}"
-    if watermark is not None:
-        mark = as_utc(watermark).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
-        query += f" WHERE updated_at > TIMESTAMP WITH TIME ZONE '{mark}'"
+    query = f"SELECT {columns} FROM {table}{_after(watermark)}"
     options = {"url": url, "fetchsize": str(fetch_size)}
     if limit:
         return options | {"query": f"{query} ORDER BY updated_at ASC LIMIT {int(limit)}"}
-    options["dbtable"] = f"({query}) changed_orders"
-    if id_bounds:
-        low, high = id_bounds
-        options |= {
-            "partitionColumn": "id", "lowerBound": str(low), "upperBound": str(high),
-            "numPartitions": str(num_partitions),
-        }
-    return options
+    if id_bounds is None:
+        raise ValueError("a JDBC read without a limit needs id_bounds to be split by")
+    low, high = id_bounds
+    return options | {
+        "dbtable": f"({query}) changed_orders", "partitionColumn": "id", "lowerBound": str(low),
+        "upperBound": str(max(high, low + 1)), "numPartitions": str(num_partitions),
+    }
+
+
+def id_range_options(url: str, table: str = "orders", watermark: datetime | None = None) -> dict[str, str]:
+    """Options of the small query that finds the range of ids to split the scan by."""
+    return {"url": url, "query": f"SELECT MIN(id) AS low, MAX(id) AS high FROM {table}{_after(watermark)}"}
+
+
+def _after(watermark: datetime | None) -> str:
+    if watermark is None:
+        return ""
+    mark = as_utc(watermark).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
+    return f" WHERE updated_at > TIMESTAMP WITH TIME ZONE '{mark}'"
 
 
 def read_orders_jdbc(spark: SparkSession, url: str, properties: dict[str, str] | None = None,
                      **scan) -> DataFrame:
-    reader = spark.read.format("jdbc").options(**jdbc_options(url, **scan))
-    return typed_times(reader.options(**(properties or {})).load())
+    """Orders over JDBC.  Bounds that are not given are asked of the database first."""
+    def read(options: dict[str, str]) -> DataFrame:
+        return spark.read.format("jdbc").options(**options).options(**(properties or {})).load()
+
+    if not scan.get("limit") and scan.get("id_bounds") is None:
+        which = {k: scan[k] for k in ("table", "watermark") if k in scan}
+        low, high = read(id_range_options(url, **which)).first()
+        scan["id_bounds"] = (low or 0, high or 0)
+    return typed_times(read(jdbc_options(url, **scan)))
 
 
 def profile(df: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@ import json
 import os
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from medallion.contracts import ORDER_SOURCE_COLUMNS
+from medallion.plans.entities import transform_products, transform_users
 from medallion.sources import pages, relational
 from medallion.sources.generator import generate_orders
 from tests.conftest import rows
@@ -127,7 +129,10 @@ def test_jdbc_options():
     plain = relational.jdbc_options("jdbc:x", id_bounds=(1, 900), num_partitions=9)
     assert plain["partitionColumn"] == "id" and plain["numPartitions"] == "9"
     assert "WHERE" not in plain["dbtable"]
-    marked = relational.jdbc_options("jdbc:x", watermark=datetime(2024, 1, 1))
+    with pytest.raises(ValueError, match="id_bounds"):
+        relational.jdbc_options("jdbc:x")
+    assert relational.id_range_options("jdbc:x", "o")["query"] == "SELECT MIN(id) AS low, MAX(id) AS high FROM o"
+    marked = relational.jdbc_options("jdbc:x", watermark=datetime(2024, 1, 1), id_bounds=(1, 9))
     assert "updated_at > TIMESTAMP WITH TIME ZONE '2024-01-01 00:00:00.000000+00:00'" in marked["dbtable"]
     limited = relational.jdbc_options("jdbc:x", limit=5, id_bounds=(1, 9))
     assert limited["query"].endswith("ORDER BY updated_at ASC LIMIT 5")
@@ -183,3 +188,56 @@ def test_a_body_is_parsed_once_per_pass(spark, folder):
     assert rows(rows_.select("id")) == [(1,)]
     scan = plan_of(rows_).split("Subquery")[0] + plan_of(pages.explode_records(opened))
     assert scan.count("parseJson") == 2  # one in each of the two plans
+
+
+def body(records):
+    return json.dumps({"data": records})
+
+
+def test_nested_names_reach_the_users(spark):
+    one = spark.createDataFrame([(1, body([
+        {"id": 1, "email": "a@x.org", "name": {"firstname": "Ann", "lastname": "Lee"}},
+        {"id": 2, "email": "b@x.org", "firstName": "Bo", "lastName": "Ray"}]))], "page bigint, body string")
+    found = transform_users(pages.read_users(one, RUN), RUN)
+    assert rows(found.select("user_id", "first_name", "last_name", "full_name")) == [
+        (1, "Ann", "Lee", "Ann Lee"), (2, "Bo", "Ray", "Bo Ray")]
+
+
+def test_all_product_fields_are_read(spark):
+    one = spark.createDataFrame([(1, body([
+        {"id": 1, "title": "a", "status": "retired", "list_price": 5, "created_at": "2024-01-01",
+         "dimensions": {"width": 1.5, "unit": "cm"}},
+        {"id": 2, "title": "b"}]))], "page bigint, body string")
+    read = pages.read_products(one, RUN)
+    assert rows(read.select("id", "status", "list_price", "created_at")) == [
+        (1, "retired", "5", "2024-01-01"), (2, "ACTIVE", None, None)]
+    from medallion.plans.entities import clean_products
+    assert rows(clean_products(read).select("id", "status", "is_active")) == [
+        (1, "RETIRED", False), (2, "ACTIVE", True)]
+    sizes = transform_products(read, RUN).where("id = 1").first()["dimensions"]
+    assert json.loads(sizes) == {"width": 1.5, "unit": "cm"}
+
+
+def test_dated_file_names_and_pages_claimed_twice(spark, tmp_path):
+    for n in (1, 2):
+        (tmp_path / f"users_2024-06-01_page_{n:04d}.json").write_text("[]")
+    found = pages.read_page_files(spark, str(tmp_path))
+    assert rows(found.select("page")) == [(1,), (2,)]
+    (tmp_path / "users_2024-06-02_page_0002.json").write_text("[]")
+    with pytest.raises(pages.DuplicatePageError, match="page number 0002"):
+        pages.read_page_files(spark, str(tmp_path))
+
+
+def test_a_short_page_in_the_middle(spark, folder):
+    landed = spark.createDataFrame(
+        [(p, body([{"id": 10 * p + i} for i in range(n)])) for p, n in ((1, 3), (2, 1), (3, 3))], "page bigint, body string")
+    kind = "struct<id:bigint>"
+    for form in (landed, pages.land_counted(landed, folder)):
+        stopped = pages.extract(form, kind, RUN, "/x", page_size=3)
+        assert rows(stopped.select("id")) == [(10,), (11,), (12,), (20,)]
+        every = pages.extract(form, kind, RUN, "/x", page_size=3, stop_at_short_page=False)
+        assert every.count() == 7
+        assert rows(pages.left_out(form, page_size=3)) == [(1, 3)]
+    plan = plan_of(pages.extract(form, kind, RUN, "/x", page_size=3))
+    assert plan.split("Subquery")[0].count("parseJson") == 1
+    assert "parseJson" not in plan_of(form.agg(F.min(F.when(F.col("n") < 3, F.col("page")))))

@@ -88,12 +88,19 @@ def _draw(digest: str, slot: int, low: int, high: int) -> str:
 @query(f"""WITH seeds AS (SELECT row_number() OVER () AS r, o_orderkey AS id,
         md5('orders|' || o_orderkey) AS d FROM orders),
     numbered AS (SELECT r, id, d, unnest(range(1, {_draw('d', 0, 1, 5)} + 1)) AS j FROM seeds),
-    drawn AS (SELECT r, id, d, md5(d || '|' || j) AS e FROM numbered),
+    drawn AS (SELECT r, id, d, j, md5(d || '|' || j) AS e FROM numbered),
     lines AS (SELECT id, any_value(d) AS d, count(*) AS n, sum({_draw('e', 1, 1, 3)}) AS q,
         sum(CAST(((({_draw('e', 2, 1000, 50000)}) * ({_draw('e', 1, 1, 3)})
-            * (100 - ({_draw('e', 3, 0, 30)})) + 50) // 100) AS DECIMAL(18,0))) / 100 AS total
+            * (100 - ({_draw('e', 3, 0, 30)})) + 50) // 100) AS DECIMAL(18,0))) / 100 AS total,
+        string_agg(concat_ws('|', {_draw('e', 0, 1, 100)}, 'Product ' || ({_draw('e', 0, 1, 100)}),
+            {_draw('e', 2, 1000, 50000)}, {_draw('e', 1, 1, 3)},
+            ((({_draw('e', 2, 1000, 50000)}) * ({_draw('e', 1, 1, 3)})
+                * (100 - ({_draw('e', 3, 0, 30)})) + 50) // 100),
+            {_draw('e', 3, 0, 30)},
+            ((({_draw('e', 2, 1000, 50000)}) * (100 - ({_draw('e', 3, 0, 30)})) + 50) // 100)),
+            ';' ORDER BY j) AS items
         FROM drawn GROUP BY r, id)
-    SELECT id, {_draw('d', 1, 1, 100)} AS user_id, CAST(total AS DOUBLE) AS total,
+    SELECT id, items, {_draw('d', 1, 1, 100)} AS user_id, CAST(total AS DOUBLE) AS total,
         CAST(CAST(CAST(total AS DECIMAL(10,2)) * CAST(0.95 AS DECIMAL(3,2)) AS DECIMAL(10,2))
              AS DOUBLE) AS discounted_total,
         CAST(n AS INT) AS total_products, CAST(q AS INT) AS total_quantity,
@@ -103,7 +110,13 @@ def _draw(digest: str, slot: int, low: int, high: int) -> str:
     FROM lines""")
 def gen_orders(spark: SparkSession, sf: str) -> DataFrame:
     ids = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"))
-    return generate_orders(ids, RUN_1).drop("products")
+    def hundredths(p, name):
+        return F.round(p[name] * 100).cast("bigint").cast("string")
+
+    items = F.transform("products", lambda p: F.concat_ws(
+        "|", p["id"].cast("string"), p["title"], hundredths(p, "price"), p["quantity"].cast("string"),
+        hundredths(p, "total"), p["discountPercentage"].cast("int").cast("string"), hundredths(p, "discountedPrice")))
+    return generate_orders(ids, RUN_1).withColumn("items", F.array_join(items, ";")).drop("products")
 
 
 # --- projections and guards ------------------------------------------------

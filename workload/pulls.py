@@ -18,10 +18,8 @@ SINCE = datetime(2024, 1, 15, 12, 0, 0, 700_000)
 
 
 def land(spark: SparkSession, responses: DataFrame) -> DataFrame:
-    """Write responses to the shared folder and read them as landed."""
-    folder = new_folder(spark)
-    responses.write.parquet(folder)
-    return pages.read_page_table(spark, folder)
+    """Write responses to the shared folder, with their record counts, and read them as landed."""
+    return pages.land_counted(responses, new_folder(spark))
 
 
 def user_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,7 +35,7 @@ def event_pages(spark: SparkSession, sf: str) -> DataFrame:
         _page, CAST(_pos AS INT) AS _pos FROM wanted""")
 def scan_paged_json(spark: SparkSession, sf: str) -> DataFrame:
     landed = land(spark, user_pages(spark, sf))
-    wanted = pages.keep_wanted_pages(pages.unwrap(landed))
+    wanted = pages.keep_wanted_pages(pages.unwrap(landed), counts=landed)
     rows = pages.typed(pages.explode_records(wanted), USER_RECORD)
     return rows.select("id", "email", "username", F.col("firstName").alias("first"),
                        F.col("address.city").alias("city"),
@@ -69,7 +67,7 @@ def unwrap_envelope(spark: SparkSession, sf: str) -> DataFrame:
     SELECT _page AS page, count(*) AS n FROM wanted GROUP BY 1""")
 def page_stop(spark: SparkSession, sf: str) -> DataFrame:
     responses = as_pages(table(spark, sf, "events"), "event_id", "data", page_size=64)
-    landed = pages.unwrap(land(spark, responses))
+    landed = land(spark, responses)
     return pages.keep_wanted_pages(landed, page_size=64).select("page", F.col("n").cast("bigint").alias("n"))
 
 
@@ -98,7 +96,7 @@ def extract_since_events(spark: SparkSession, sf: str) -> DataFrame:
         TIMESTAMP '2024-06-01' AS _extracted_at, '/users' AS _source FROM wanted""")
 def read_users(spark: SparkSession, sf: str) -> DataFrame:
     rows = pages.read_users(land(spark, user_pages(spark, sf)), RUN_1)
-    return rows.withColumn("state", F.col("address.state")).drop("address", "updated_at")
+    return rows.withColumn("state", F.col("address.state")).drop("address", "name", "updated_at")
 
 
 @query(f"""WITH {PRODUCTS_SOURCE}, {page_rows('id', 'products_source', PRODUCT_TIES)}
@@ -129,7 +127,8 @@ def read_events(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {page_rows('event_id', 'events', EVENT_TIES)}
     SELECT event_id, _page, CAST(_pos AS INT) AS _pos FROM wanted""")
 def arrival_order(spark: SparkSession, sf: str) -> DataFrame:
-    opened = pages.keep_wanted_pages(pages.unwrap(land(spark, event_pages(spark, sf))))
+    landed = land(spark, event_pages(spark, sf))
+    opened = pages.keep_wanted_pages(pages.unwrap(landed), counts=landed)
     rows = pages.typed(pages.explode_records(opened), "struct<event_id:bigint>")
     return rows.orderBy("_page", "_pos")
 

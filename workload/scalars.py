@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from medallion.functions import nested, numbers, text, times
 from medallion.functions.keys import surrogate_key
-from medallion.plans.entities import cast_timestamps, default_status, flatten_address, \
+from medallion.plans.entities import cast_timestamps, clean_products, default_status, flatten_address, \
     flatten_name, split_name
 from workload.adapters import (
     ORDERS_SOURCE, PRODUCTS_SOURCE, USERS_SOURCE, orders_source, products_source, table,
@@ -176,11 +176,10 @@ _STATUS = """CASE WHEN p_size % 3 = 0 THEN ' active ' WHEN p_size % 3 = 1 THEN '
 
 
 @query(f"""SELECT p_partkey AS id, upper(trim({_STATUS})) AS status,
-    upper(trim({_STATUS})) = 'ACTIVE' AS is_active FROM part""")
+    upper(trim({_STATUS})) = 'ACTIVE' AS is_active FROM part WHERE p_name IS NOT NULL""")
 def is_active(spark: SparkSession, sf: str) -> DataFrame:
-    df = table(spark, sf, "part").selectExpr("p_partkey AS id", f"{_STATUS} AS status")
-    df = df.withColumn("status", text.strip_upper(F.col("status")))
-    return df.withColumn("is_active", F.col("status") == "ACTIVE")
+    df = table(spark, sf, "part").selectExpr("p_partkey AS id", "p_name AS title", f"{_STATUS} AS status")
+    return clean_products(df).select("id", "status", "is_active")
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 17 <> 0
