@@ -11,8 +11,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 TOKENIZER = "word_bpe_49k.json"
-# Words a process keeps with their ids (about 200 bytes each); beyond that it starts anew.
-KEPT_WORDS = 1_200_000
+# Words of a generation that a process keeps with their ids (about 200 bytes each), beside those of the one before.
+KEPT_WORDS = 250_000
 
 # ASCII punctuation behind letters is a word of its own for this tokenizer, unless it begins with an apostrophe.
 _TAIL = re.compile(r"[.,!?;:#$%&*|()\"\-]+$")
@@ -39,6 +39,7 @@ class WordIds(dict):
 
     def __init__(self, name: str = TOKENIZER):
         super().__init__()
+        self.before: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.model = self.tokenizer.model
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
@@ -46,8 +47,8 @@ class WordIds(dict):
         self.direct = name == TOKENIZER
 
     def __missing__(self, word: str) -> bytes:
-        ids = None
-        if self.direct:
+        ids = self.before.get(word)
+        if ids is None and self.direct:
             if word.isalpha():
                 plain = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
                 if word.isascii() or (plain.isalpha() and "\u03a3" not in word and max(plain) < _SETTLED):
@@ -69,7 +70,8 @@ class WordIds(dict):
             return b""
         if not self.direct or _ODD.search(text):
             return self.whole(text)
-        if len(self) > KEPT_WORDS:
+        if len(self) > KEPT_WORDS:  # words still in use come over from the last generation
+            self.before = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, text.split()))
 

@@ -1,0 +1,227 @@
+import hashlib
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import regex
+import xxhash
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from medallion.llm import quotation, rans, secrets, token_files, winnowing
+from medallion.llm.common import scratch_path
+from medallion.llm.tokens import TOKENIZER
+from tests.llm.helpers import ODD_TEXTS, SF, docs_of, given, no_docs, odd_docs
+
+# --- token files ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 70_000, 200_000])
+def test_rans_round_trip(n):
+    rng = np.random.default_rng(n)
+    ids = np.minimum(rng.zipf(1.2, n) - 1, 49_000)
+    table = rans.Table(np.bincount(ids, minlength=3))
+    block = rans.encode(ids, table)
+    assert (rans.decode(block, table) == ids).all()
+    for first, last in ((0, n // 2), (n // 3, n), (n - 1, n), (65_000, 66_000), (5, 5)):
+        if 0 <= first <= last <= n:
+            assert (rans.decode(block, table, first, last) == ids[first:last]).all()
+    if n == 200_000:
+        p = np.bincount(ids) / n
+        entropy = -(p[p > 0] * np.log2(p[p > 0])).sum()
+        assert len(block) * 8 / n < entropy + 1.2
+        with pytest.raises(ValueError, match="whole block"):
+            rans.decode(block[:-1] + bytes([block[-1] ^ 1]), table)
+
+
+def test_scaled_frequencies():
+    for counts in ([1], [0, 5, 0], [1] * 60_000, [10**12] + [1] * 40_000, [3, 3, 3]):
+        freq = rans.scaled(np.array(counts))
+        assert freq.sum() == 1 << rans.SCALE_BITS and ((freq > 0) == (np.array(counts) > 0)).all()
+    assert rans.scaled(np.zeros(4)).sum() == 0
+    with pytest.raises(ValueError, match="does not know"):
+        rans.encode(np.array([1]), rans.Table(np.array([5, 0])))
+
+
+def brute_tokens(docs):
+    whole, at, out = Tokenizer.from_file(public_tokenizers.path(TOKENIZER)), 0, []
+    for d, text in sorted(docs, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+        ids = np.array(whole.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
+        out.append((d, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    return out
+
+
+@pytest.mark.parametrize("make", [given, odd_docs, no_docs])
+def test_token_files(spark, make, monkeypatch):
+    monkeypatch.setattr(token_files, "BLOCK_IDS", 5000)
+    docs, path = make(spark), scratch_path(spark)
+    token_files.write(docs, path)
+    found = [tuple(r) for r in token_files.digests(spark, path).orderBy("start").collect()]
+    assert found == brute_tokens([(r["doc_id"], r["text"]) for r in docs.collect()])
+    back = token_files.read(spark, path)
+    assert sorted((r["start"], len(r["ids"]) // 4, zlib.crc32(r["ids"])) for r in back.collect()) == [r[1:] for r in found]
+
+
+# --- winnowing -------------------------------------------------------------------
+
+UNITS = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]|[^\x20\x09-\x0D\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}]+")
+
+
+def chosen(text):
+    hashed = [xxhash.xxh64(u.encode(), seed=42).intdigest() for u in UNITS.findall(text or "")]
+    hashed = [(h - 2**64 if h >= 2**63 else h) % winnowing.PRIME for h in hashed]
+
+    def rolled(run):
+        value = 0
+        for h in run:
+            value = (value * winnowing.BASE + h) % winnowing.PRIME
+        return value
+
+    k, w = winnowing.GRAM, winnowing.WINDOW
+    grams = [rolled(hashed[i:i + k]) for i in range(len(hashed) - k + 1)] or ([rolled(hashed)] if hashed else [])
+    out = set()
+    for i in range(max(1, len(grams) - w + 1) if grams else 0):
+        window = grams[i:i + w]
+        out.add((min(window), i + max(j for j, g in enumerate(window) if g == min(window))))
+    return sorted(out, key=lambda x: x[1])
+
+
+def like(a, b):
+    a, b = {h for h, _ in a}, {h for h, _ in b}
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("make", [given, odd_docs])
+def test_fingerprints(spark, make):
+    docs = make(spark)
+    marked = winnowing.with_marks(docs.select("doc_id", "text"), "text", "found")
+    for r in marked.select("text", winnowing.positions(F.col("found")).alias("at"), F.transform("found", lambda m: F.shiftright(m, 31)).alias("h")).collect():
+        assert list(zip(r["h"], r["at"], strict=True)) == chosen(r["text"])
+
+
+def test_edited_texts_and_neighbours(spark, folder):
+    docs = given(spark).withColumn("doc_id", F.col("doc_id") * 300 - 5000)  # over many buckets
+    docs.write.parquet(f"{folder}/documents.parquet")
+    found = {r["doc_id"]: r for r in winnowing.op5_winnowing(spark, folder).collect()}
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    prints = {}
+    for i, (d, text) in enumerate(rows):
+        after = rows[(i + 1) % len(rows)][1]
+        cut = len(text) // 4
+        edited, r = text[:len(text) - cut] + after[:cut], found[d]
+        assert r["n_chars"] == len(text) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert r["near_edited"] == pytest.approx(like(chosen(text), chosen(edited)))
+        assert r["near_next"] == pytest.approx(like(chosen(text), chosen(after)))
+        assert prints.setdefault(text, r["fingerprint"]) == r["fingerprint"]
+    assert len(set(prints.values())) == len(prints)
+
+
+def test_a_shared_passage_is_always_found(spark):
+    shared = [f"p{i}" for i in range(winnowing.GUARANTEE)]
+    texts = [" ".join([f"a{j}{i}" for i in range(j)] + shared + [f"b{j}{i}" for i in range(20 - j)]) for j in range(12)]
+    prints = [{h for h, _ in chosen(t)} for t in texts]
+    assert all(a & b for a in prints for b in prints)
+
+
+def test_winnowing_of_odd_and_no_rows(spark, folder):
+    for name, make in (("odd", odd_docs), ("none", no_docs)):
+        make(spark).write.parquet(f"{folder}/{name}/documents.parquet")
+    rows = winnowing.op5_winnowing(spark, f"{folder}/odd").collect()
+    assert len(rows) == len(ODD_TEXTS) + 3 and all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in rows)
+    by = {r["doc_id"]: r for r in rows}
+    assert by[0]["fingerprint"] == by[1]["fingerprint"] == by[2]["fingerprint"] and by[6]["fingerprint"] == by[8]["fingerprint"]
+    assert by[6]["fingerprint"] != by[7]["fingerprint"]
+    assert winnowing.op5_winnowing(spark, f"{folder}/none").count() == 0
+
+
+# --- quotation ---------------------------------------------------------------------
+
+CHAT = [
+    (1, 0, "user", "Hello there.\nHow do I cook rice?\n\nAlso pasta?"),
+    (1, 1, "assistant", "> How do I  COOK rice\nBoil it."),
+    (1, 2, "user", "On Mon, X wrote:\n> > How do I cook rice?\n> Boil it.\nHow long?\n> unknown thing"),
+    (1, 3, "user", "> Also pasta?\nSame."),
+    (1, 4, "assistant", "> How long?\n> > Boil it.\n10 min"),
+    (1, 5, "user", "thanks"),
+    (2, 0, "user", None), (2, 1, "x", ""), (2, 1, "x", ""), (None, 0, "user", "> z"), (3, 5, None, "How long?"), (3, None, "user", "> How long?"),
+]
+
+
+def test_quotes_are_linked_and_removed(spark):
+    chat = spark.createDataFrame(CHAT, "conv_id long, turn long, role string, text string").withColumns(
+        {c: F.lit("clash") for c in ("msg", "path", "level", "hash", "line", "body")})
+    rows = quotation.conversations(chat).orderBy("conv_id", "position").collect()
+    first = [(r["turn"], r["depth"], r["parent_turn"], r["n_quotes"], r["n_linked"], r["body"]) for r in rows if r["conv_id"] == 1]
+    assert first == [
+        (0, 0, None, 0, 0, CHAT[0][3]), (1, 1, 0, 1, 1, "Boil it."), (2, 2, 1, 3, 2, "How long?"),
+        (4, 3, 2, 2, 2, "10 min"), (3, 1, 0, 1, 1, "Same."), (5, 0, None, 0, 0, "thanks")]
+    rest = {(r["conv_id"], r["turn"], r["role"]): r for r in rows}
+    assert len(rows) == len(CHAT) - 1 and rest[2, 0, "user"]["body"] == "" and rest[None, 0, "user"]["n_linked"] == 0
+    assert rest[3, None, "user"]["parent_turn"] is None and rest[1, 1, "assistant"]["chat"] == "<|assistant|>\nBoil it."
+
+
+def test_a_long_chain_of_replies(spark):
+    chat = [(7, i, "user", (f"> line number {i - 1} of it\n" if i else "") + f"line number {i} of it") for i in range(40)]
+    rows = quotation.conversations(spark.createDataFrame(chat, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r["turn"], r["depth"], r["position"], r["body"]) for r in rows) == [(i, i, i, f"line number {i} of it") for i in range(40)]
+
+
+def test_given_and_no_conversations(spark):
+    chat = spark.read.parquet(f"{SF}/conversations.parquet")
+    rows = quotation.op2_quotation_linking(spark, SF).collect()
+    assert Counter((r["conv_id"], r["turn"], r["role"], r["body"]) for r in rows) == Counter(tuple(r) for r in chat.select("conv_id", "turn", "role", "text").collect())
+    assert quotation.conversations(chat.limit(0)).count() == 0
+
+
+# --- secrets -----------------------------------------------------------------------
+
+def planted(spark):
+    texts, true = [], {}
+    for i in range(120):
+        value = hashlib.sha1(str(i).encode()).hexdigest()
+        kind = i % 6
+        line = [f'set token = "{value}" now', f"use AKIA{value[:16].upper()} here", f"then password={value[:18]} it",
+                f"commit sha {value} done", f"call internationalizationhandler{'abcdefghij'[i % 10] * 3} twice", f"see path/to/some/longer/file{i % 7}name"][kind]
+        texts.append("some plain words before it and many more words after\n" * (1 + i % 3) + line)
+        true[i] = kind < 3
+    return docs_of(spark, texts), true
+
+
+def test_the_forest_tells_secrets_from_others(spark):
+    docs, true = planted(spark)
+    found = secrets.scan(docs).collect()
+    for r in found:
+        assert r["is_secret"] == true[r["doc_id"]], (r["value"], r["probability"])
+        text = docs.where(F.col("doc_id") == r["doc_id"]).first()["text"] if r["doc_id"] < 3 else None
+        if text:
+            assert text.split("\n")[r["line"] - 1][r["column"] - 1:].startswith(r["value"])
+    assert {r["doc_id"] for r in found} == set(true)
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    before = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert all((secrets.MASK in clean[i]) == true[i] and (true[i] or clean[i] == before[i]) for i in true)
+
+
+def test_reviewed_findings_are_learned(spark):
+    docs, true = planted(spark)
+    first = secrets.scan(docs)
+    turned = first.select("doc_id", "value", (~F.col("is_secret")).cast("int").alias("label"))
+    assert all(r["is_secret"] != true[r["doc_id"]] for r in secrets.scan(docs, turned).collect())
+    one_kind = turned.where("label = 0")
+    assert not any(r["is_secret"] for r in secrets.scan(docs, one_kind).collect())
+
+
+def test_secrets_of_odd_and_no_rows(spark):
+    docs = odd_docs(spark)
+    found = secrets.scan(docs, path="source").collect()
+    assert [(r["doc_id"], r["line"], r["column"], len(r["value"])) for r in found] == [(13, 1, 1, 5000)]
+    out = secrets.redact(docs, path="source")
+    assert out.columns == docs.columns and out.count() == len(ODD_TEXTS) + 3
+    assert secrets.scan(no_docs(spark)).count() == 0 and secrets.redact(no_docs(spark)).count() == 0
+
+
+def test_native_plans_run_no_python(spark):
+    for df in (quotation.op2_quotation_linking(spark, SF), winnowing.op5_winnowing(spark, SF), secrets.op6_secret_scan(spark, SF)):
+        assert not regex.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
