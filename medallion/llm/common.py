@@ -222,9 +222,30 @@ def gram_hashes(hashes: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndar
     return mix(total[whole]), whole
 
 
+_caches: list = []
+_last_kind: list[str] = [""]
+
+
+def kept(cached):
+    """Register what a worker process keeps from task to task (a ``lru_cache``)."""
+    _caches.append(cached)
+    return cached
+
+
+def begin_task(kind: str) -> None:
+    """Drop what tasks of another kind have kept: a process serves one kind after another, and memory is bounded."""
+    if _last_kind[0] != kind:
+        for cached in _caches:
+            cached.cache_clear()
+    _last_kind[0] = kind
+
+
 def arrow_map(df: DataFrame, work, schema: str) -> DataFrame:
     """``mapInArrow`` over record batches; ``work`` gives a table or None for each batch."""
+    kind = f"{work.__module__}.{work.__qualname__}"
+
     def each(batches):
+        begin_task(kind)
         for batch in batches:
             if batch.num_rows and (found := work(batch)) is not None:
                 yield from found.to_batches() if isinstance(found, pa.Table) else [found]

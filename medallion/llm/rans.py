@@ -16,7 +16,7 @@ import zlib
 
 import numpy as np
 
-SCALE_BITS, LANES, EVERY = 18, 512, 128
+SCALE_BITS, LANES, EVERY = 18, 2048, 128
 LOW = np.uint64(1 << 31)
 MAGIC = 0x31534E41
 _HEAD = struct.Struct("<IQIQI")

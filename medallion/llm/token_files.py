@@ -16,19 +16,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from medallion.llm import rans
-from medallion.llm.common import arrow_map, prepare, scratch_path, stored, table
+from medallion.llm.common import arrow_map, begin_task, prepare, scratch_path, stored, table
 from medallion.llm.registry import query
 from medallion.llm.tokens import TOKENIZER, encoded
 
 END = 2
 # A block is closed once it holds this many ids; a longer document is a block of its own.
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 20
 BLOCKS = "part int, local long, doc_ids array<long>, lengths array<long>, block binary"
 
 
 def tokenized(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """``part, local, doc_id, ids``: range-sorted by id (then text), ``local`` counts the ids before in the part."""
     def work(batches):
+        begin_task("tokenized")
         part, local = TaskContext.get().partitionId(), 0
         for batch in batches:
             held, starts = [], []

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from medallion.llm.common import kept
+
 TOKENIZER = "word_bpe_49k.json"
 # Words of a generation that a process keeps with their ids (about 200 bytes each), beside those of the one before.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 450_000
 
 # ASCII punctuation behind letters is a word of its own for this tokenizer, unless it begins with an apostrophe.
 _TAIL = re.compile(r"[.,!?;:#$%&*|()\"\-]+$")
@@ -43,6 +46,7 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.model = self.tokenizer.model
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.code = "H" if self.dtype is np.uint16 else "I"
         self.stand_ins = _byte_letters()
         self.direct = name == TOKENIZER
 
@@ -53,7 +57,7 @@ class WordIds(dict):
                 plain = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
                 if word.isascii() or (plain.isalpha() and "\u03a3" not in word and max(plain) < _SETTLED):
                     letters = plain if word.isascii() else plain.encode().decode("latin-1").translate(self.stand_ins)
-                    ids = np.array([t.id for t in self.model.tokenize(letters)], self.dtype).tobytes()
+                    ids = array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
             elif (tail := _TAIL.search(word)) and (core := word[:tail.start()]).isalpha():
                 ids = self[core] + self[tail[0]]
         if ids is None:
@@ -76,9 +80,10 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
+@kept
 @lru_cache(2)
 def word_ids(name: str = TOKENIZER) -> WordIds:
-    """The process's own, so that words learned by one task serve the next."""
+    """The process's own, so that words learned by one task serve the next of its kind."""
     return WordIds(name)
 
 
