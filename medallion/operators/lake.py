@@ -22,7 +22,7 @@ from medallion import contracts
 from medallion.contracts import Entity
 from medallion.functions.keys import bucket
 from medallion.functions.nested import json_text
-from medallion.operators.commit import PART, Place, commit, writing
+from medallion.operators.commit import PART, Files, Place, commit, writing
 from medallion.operators.quality import gate_metrics
 from medallion.session import prepare
 
@@ -104,6 +104,12 @@ class Lake:
         self._create(self.name("control", "pipeline_run_metrics"), contracts.RUN_METRICS)
         return self
 
+    def drop(self) -> None:
+        """Remove the databases, their tables and all files of the lake."""
+        for layer in LAYERS:
+            self.spark.sql(f"DROP DATABASE IF EXISTS {self.prefix}{layer} CASCADE")
+        Files(self.spark).delete(self.root)
+
     def _create(self, name: str, columns: dict[str, str], partitioned: bool = False) -> None:
         fields = [f"`{c}` {t}" for c, t in columns.items()]
         layout = ""

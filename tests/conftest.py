@@ -6,6 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from medallion.operators.commit import Files  # noqa: E402
 from medallion.operators.lake import Lake  # noqa: E402
 from medallion.session import build_session, shared_dir  # noqa: E402
 
@@ -26,17 +27,24 @@ def spark():
 
 @pytest.fixture
 def folder(spark):
-    return f"{shared_dir(spark)}/test-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/test-{uuid.uuid4().hex}"
+    yield path
+    Files(spark).delete(path)
 
 
 @pytest.fixture
 def make_lake(spark):
+    made = []
+
     def make(**settings) -> Lake:
         tag = uuid.uuid4().hex[:12]
         root = f"{shared_dir(spark)}/test-lake-{tag}"
-        return Lake(spark, root, prefix=f"test_{tag}_", **settings).setup()
+        made.append(Lake(spark, root, prefix=f"test_{tag}_", **settings).setup())
+        return made[-1]
 
-    return make
+    yield make
+    for lake in made:
+        lake.drop()
 
 
 def rows(df, *order):

@@ -22,6 +22,16 @@ def twin():
     return connection
 
 
+@pytest.fixture(scope="module", autouse=True)
+def lakes_are_dropped(spark):
+    """The lakes that the queries have made go when all have run."""
+    before = {d.name for d in spark.catalog.listDatabases()}
+    yield
+    for d in spark.catalog.listDatabases():
+        if d.name not in before:
+            spark.sql(f"DROP DATABASE {d.name} CASCADE")
+
+
 def printed(value):
     if isinstance(value, (float, decimal.Decimal)):
         return repr(float(value))
