@@ -155,13 +155,16 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str | None =
     share = MAX_TRAIN / max(total, MAX_TRAIN)
     chosen = labels.where(F.pmod(F.xxhash64("finding"), F.lit(1_000_000)) < round(share * 1_000_000))
     weight = F.when(F.col("label") == 1, total / kinds[1.0]).otherwise(total / kinds[0.0])
-    fitted = vectors.transform(found.join(chosen, "finding").withColumn("weight", weight).coalesce(4).sort("doc_id", "line", "column"))
+    # Plans with Spark ML's functions are scans of stored tables, one stage each: their encoders are shared, and
+    # stages that adaptive execution starts side by side would serialise them at the same time.
+    fitted = stored(found.join(chosen, "finding").withColumn("weight", weight).coalesce(4).sort("doc_id", "line", "column"))
     if fitted.select("label").distinct().count() < 2:
-        fitted = vectors.transform(found.join(labels, "finding").withColumn("weight", weight))
+        fitted = stored(found.join(labels, "finding").withColumn("weight", weight))
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
-    judged = forest.fit(fitted).transform(vectors.transform(found))
-    return (judged.withColumn("probability", vector_to_array("probability")[1]).withColumn("is_secret", F.col("probability") >= 0.5)
-            .drop("features", "rawPrediction", "prediction"))
+    judged = forest.fit(vectors.transform(fitted)).transform(vectors.transform(found))
+    judged = (judged.withColumn("probability", vector_to_array("probability")[1]).withColumn("is_secret", F.col("probability") >= 0.5)
+              .drop("features", "rawPrediction", "prediction"))
+    return stored(judged)
 
 
 def redact(docs: DataFrame, path: str | None = None) -> DataFrame:
