@@ -15,7 +15,7 @@ from medallion.llm.common import kept
 
 TOKENIZER = "word_bpe_49k.json"
 # Words of a generation that a process keeps with their ids (about 200 bytes each), beside those of the one before.
-KEPT_WORDS = 450_000
+KEPT_WORDS = 600_000
 
 # ASCII punctuation behind letters is a word of its own for this tokenizer, unless it begins with an apostrophe.
 _TAIL = re.compile(r"[.,!?;:#$%&*|()\"\-]+$")
