@@ -8,13 +8,13 @@ reviewed findings pass those.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm.common import stored, table
+from medallion.llm.common import scratch_path, stored, table
 from medallion.llm.registry import query
 
 CANDIDATE = r"([A-Za-z0-9+/_\-]{16,}={0,2})"
@@ -155,13 +155,15 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str | None =
     share = MAX_TRAIN / max(total, MAX_TRAIN)
     chosen = labels.where(F.pmod(F.xxhash64("finding"), F.lit(1_000_000)) < round(share * 1_000_000))
     weight = F.when(F.col("label") == 1, total / kinds[1.0]).otherwise(total / kinds[0.0])
-    # Plans with Spark ML's functions are scans of stored tables, one stage each: their encoders are shared, and
-    # stages that adaptive execution starts side by side would serialise them at the same time.
     fitted = stored(found.join(chosen, "finding").withColumn("weight", weight).coalesce(4).sort("doc_id", "line", "column"))
     if fitted.select("label").distinct().count() < 2:
         fitted = stored(found.join(labels, "finding").withColumn("weight", weight))
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
-    judged = forest.fit(vectors.transform(fitted)).transform(vectors.transform(found))
+    # Saved and loaded, for a fitted model holds its training summary and with it the session, which cannot be
+    # sent to executors once an Observation has been used in it.
+    path = scratch_path(docs.sparkSession)
+    forest.fit(vectors.transform(fitted)).save(path)
+    judged = RandomForestClassificationModel.load(path).transform(vectors.transform(found))
     judged = (judged.withColumn("probability", vector_to_array("probability")[1]).withColumn("is_secret", F.col("probability") >= 0.5)
               .drop("features", "rawPrediction", "prediction"))
     return stored(judged)

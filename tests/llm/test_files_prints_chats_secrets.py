@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 import regex
 import xxhash
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -206,6 +207,9 @@ def test_the_forest_tells_secrets_from_others(spark):
 
 def test_reviewed_findings_are_learned(spark):
     docs, true = planted(spark)
+    seen = Observation()  # in a session that has observed, a fitted model cannot be sent to executors as it is
+    docs.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 120
     first = secrets.scan(docs)
     turned = first.select("doc_id", "value", (~F.col("is_secret")).cast("int").alias("label"))
     assert all(r["is_secret"] != true[r["doc_id"]] for r in secrets.scan(docs, turned).collect())
