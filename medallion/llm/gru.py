@@ -68,16 +68,18 @@ def forward(p: dict, symbols: np.ndarray, fresh: np.ndarray, h: np.ndarray, keep
     """States behind each step of a window (steps x lanes), and with ``keep`` what the way back needs."""
     t_max, n = symbols.shape
     states = np.empty((t_max, n, HIDDEN), F4)
-    tape = []
+    tape = tuple(np.empty((t_max, n, k * HIDDEN), F4) for k in (1, 2, 1, 1)) if keep else ()
+    inputs, begins = p["x"][symbols], fresh.any(axis=1)
     for t in range(t_max):
-        if fresh[t].any():
+        if begins[t]:
             h = np.where(fresh[t][:, None], F4(0), h)
-        x, hu = p["x"][symbols[t]], h @ p["u"]
+        x, hu = inputs[t], h @ p["u"]
         gates = _sigmoid(x[:, :2 * HIDDEN] + hu[:, :2 * HIDDEN])
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
         new = F4(2) * _sigmoid(F4(2) * (x[:, 2 * HIDDEN:] + r * hu[:, 2 * HIDDEN:])) - F4(1)
         if keep:
-            tape.append((h, z, r, new, hu[:, 2 * HIDDEN:]))
+            for held, value in zip(tape, (h, gates, new, hu[:, 2 * HIDDEN:]), strict=True):
+                held[t] = value
         h = new + z * (h - new)
         states[t] = h
     return states, h, tape
@@ -133,22 +135,30 @@ def log_probs(p: dict, h: np.ndarray, targets: np.ndarray, grads: dict | None =
     return found, dh
 
 
-def backward(p: dict, symbols: np.ndarray, fresh: np.ndarray, tape: list, dstates: np.ndarray, grads: dict) -> None:
+def backward(p: dict, symbols: np.ndarray, fresh: np.ndarray, tape: tuple, dstates: np.ndarray, grads: dict) -> None:
     """Back through the steps of one window; nothing goes further back than its beginning."""
     t_max, n = symbols.shape
+    h, gates, new, hun = tape
+    z, r = gates[:, :, :HIDDEN], gates[:, :, HIDDEN:]
+    # what the gradient of a state is multiplied by on its way to the new value, to z, and from the new value to r
+    to_new, to_z, to_r = (F4(1) - z) * (F4(1) - new * new), (h - new) * z * (F4(1) - z), hun * r * (F4(1) - r)
     dx = np.empty((t_max, n, 3 * HIDDEN), F4)
+    dhu = np.empty_like(dx)
     dh = np.zeros((n, HIDDEN), F4)
+    back, begins = np.ascontiguousarray(p["u"].T), fresh.any(axis=1)
     for t in range(t_max - 1, -1, -1):
-        h, z, r, new, hun = tape[t]
         dh = dh + dstates[t]
-        dnew = dh * (F4(1) - z) * (F4(1) - new * new)
-        dz = dh * (h - new) * z * (F4(1) - z)
-        dr = dnew * hun * r * (F4(1) - r)
-        dx[t, :, :HIDDEN], dx[t, :, HIDDEN:2 * HIDDEN], dx[t, :, 2 * HIDDEN:] = dz, dr, dnew
-        dhu = np.concatenate([dz, dr, dnew * r], axis=1)
-        grads["u"] += h.T @ dhu
-        dh = dh * z + dhu @ p["u"].T
-        dh = np.where(fresh[t][:, None], F4(0), dh)
+        dnew = dh * to_new[t]
+        step = dhu[t]
+        step[:, :HIDDEN] = dh * to_z[t]
+        step[:, HIDDEN:2 * HIDDEN] = dnew * to_r[t]
+        step[:, 2 * HIDDEN:] = dnew * r[t]
+        dx[t, :, 2 * HIDDEN:] = dnew
+        dh = dh * z[t] + step @ back
+        if begins[t]:
+            dh = np.where(fresh[t][:, None], F4(0), dh)
+    dx[:, :, :2 * HIDDEN] = dhu[:, :, :2 * HIDDEN]
+    grads["u"] += h.reshape(-1, HIDDEN).T @ dhu.reshape(-1, 3 * HIDDEN)
     flat, ids = dx.reshape(-1, 3 * HIDDEN), symbols.ravel()
     order = np.argsort(ids, kind="stable")
     firsts = np.flatnonzero(np.concatenate([[True], np.diff(ids[order]) > 0]))

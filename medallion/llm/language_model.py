@@ -3,8 +3,8 @@
 1. Words of all training texts are counted, by 64-bit hashes.
 2. The commonest words are the network's head symbols; all others fall into tail classes by their first byte, and
    within a class a word has its add-one share of the class's counts (as in the base, all unseen words are one).
-3. The network is trained by truncated backpropagation in rounds: a hash share of the training documents, which
-   grows with the corpus, is dealt to trainers, more of them for more words; their weights are averaged by tokens.
+3. The network is trained by truncated backpropagation in rounds: every training document belongs to one round, and
+   is dealt to one of its trainers, more of them for more words; their weights are averaged by tokens.
 4. Every text is scored whole, documents side by side in lanes, with the state carried across windows.  Counts of
    frequent words come from a table of bounded size; those of all other words through a join.
 """
@@ -25,8 +25,9 @@ from medallion.llm.registry import query
 # Words whose counts every task holds at most (16 bytes each); all others are joined.
 FREQUENT = 1 << 19
 SLOT_BITS = 21
-# Share of the training documents that the network learns from, in so many rounds; tokens a trainer takes at most.
-LEARN_SHARE, ROUNDS, TRAINER_TOKENS = 16, 2, 1_000_000
+# Rounds that the training documents are dealt over; tokens a trainer takes, on average at most.
+ROUNDS, TRAINER_TOKENS = 2, 1_000_000
+# Groups in which a round's weights are averaged, at least; the square root of the trainers if they are more.
 MERGERS = 32
 
 # First byte of a lower-cased word: letters, digits, four kinds of lead bytes, all else.
@@ -86,10 +87,11 @@ class Lexicon:
 
 
 def learn(docs: DataFrame, lexicon: Lexicon, params: dict, tokens: int) -> dict:
-    """Rounds of trainers over the learning share; ``tokens`` of all training texts set how many there are."""
+    """Rounds of trainers over all of ``docs``; ``tokens`` of their texts set how many trainers there are."""
     spark = docs.sparkSession
-    trainers = max(1, math.ceil(tokens / LEARN_SHARE / ROUNDS / TRAINER_TOKENS))
-    key = F.pmod(F.xxhash64("doc_id", F.lit("learn")), F.lit(LEARN_SHARE * ROUNDS))
+    trainers = max(1, math.ceil(tokens / ROUNDS / TRAINER_TOKENS))
+    mergers = max(MERGERS, math.isqrt(trainers))
+    key = F.pmod(F.xxhash64("doc_id", F.lit("learn")), F.lit(ROUNDS))
     shapes = {k: v.shape for k, v in params.items()}
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast((lexicon, params))
@@ -113,8 +115,8 @@ def learn(docs: DataFrame, lexicon: Lexicon, params: dict, tokens: int) -> dict:
 
         kind = "weights binary, tokens long"
         got = docs.where(key == turn).select("text").repartition(trainers).mapInArrow(work, kind)
-        got = got.withColumn("m", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(MERGERS)))
-        rows = got.groupBy("m").applyInArrow(merge, kind).collect()  # MERGERS rows at most
+        got = got.withColumn("m", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(mergers)))
+        rows = got.groupBy("m").applyInArrow(merge, kind).collect()  # a row for each merger at most
         if rows:
             total = sum(r["tokens"] for r in rows)
             flat = sum(np.frombuffer(r["weights"], np.float32) * (r["tokens"] / total) for r in sorted(rows, key=lambda r: (r["tokens"], r["weights"])))

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,6 +181,16 @@ def test_training_learns_an_order_of_words():
     assert gru.score(better, symbols, sizes).mean() > gru.score(p, symbols, sizes).mean() + 5
 
 
+def test_every_training_document_moves_the_weights(spark):
+    text = "one two three four one two three four " * 20
+    hashes, tails, _ = next(language_model.hashed_words(pa.array([text])))
+    seen, at, n = np.unique(hashes, return_index=True, return_counts=True)
+    lexicon, (_, p) = language_model.Lexicon(seen, tails[at], n), toy(4)
+    for doc_id in range(6):
+        got = language_model.learn(docs_of(spark, [text], first=doc_id), lexicon, p, 161)
+        assert any((got[k] != p[k]).any() for k in p), doc_id
+
+
 def test_base_scores(spark):
     for docs, better in ((spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), True), (odd_docs(spark), False)):
         rows = language_model.score_documents(docs).collect()
