@@ -42,22 +42,33 @@ def unpack(held: bytes, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return out
 
 
-def lanes(sizes: np.ndarray, n: int) -> np.ndarray:
-    """Flat token positions laid out as steps by lanes, -1 where a lane has ended; documents stay whole."""
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    heap = [(0, i) for i in range(max(1, min(n, len(sizes))))]
-    held: list[list[int]] = [[] for _ in heap]
-    for doc in np.argsort(-sizes, kind="stable"):
-        length, lane = heapq.heappop(heap)
-        held[lane].append(doc)
-        heapq.heappush(heap, (length + int(sizes[doc]), lane))
-    out = np.full((max(length for length, _ in heap), len(heap)), -1, np.int64)
-    for lane, docs in enumerate(held):
-        at = 0
-        for doc in docs:
-            out[at:at + sizes[doc], lane] = np.arange(starts[doc], starts[doc + 1])
-            at += sizes[doc]
-    return out
+class Lanes:
+    """Documents laid out in lanes, as steps by lanes; documents stay whole.  Only one window is held at a time."""
+
+    def __init__(self, sizes: np.ndarray, n: int):
+        heap = [(0, i) for i in range(max(1, min(n, len(sizes))))]
+        held: list[list[int]] = [[] for _ in heap]
+        for doc in np.argsort(-sizes, kind="stable"):
+            length, lane = heapq.heappop(heap)
+            held[lane].append(doc)
+            heapq.heappush(heap, (length + int(sizes[doc]), lane))
+        docs = np.array([doc for lane in held for doc in lane], np.int64)
+        # where documents begin when lanes lie one after another, and how far that is from where they lie
+        self.begins = np.cumsum(sizes[docs]) - sizes[docs]
+        self.shifts = (np.cumsum(sizes) - sizes)[docs] - self.begins
+        self.lengths = np.array([length for length, _ in sorted(heap, key=lambda x: x[1])])
+        self.steps = int(self.lengths.max())
+
+    def windows(self, steps: int):
+        """Flat token positions of each window, -1 where a lane has ended, and which lanes of the window before go on."""
+        lane, firsts = np.arange(len(self.lengths)), np.cumsum(self.lengths) - self.lengths
+        for at in range(0, self.steps, steps):
+            live = self.lengths[lane] > at
+            lane = lane[live]
+            step = np.arange(at, min(at + steps, self.steps))[:, None]
+            place = firsts[lane] + step
+            place += self.shifts[np.searchsorted(self.begins, place, "right") - 1]
+            yield np.where(step < self.lengths[lane], place, -1), live
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -186,14 +197,11 @@ def stream(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def score(p: dict, symbols: np.ndarray, sizes: np.ndarray, n_lanes: int = 256, window: int = 64) -> np.ndarray:
     """Natural log-likelihood of each whole document's symbols."""
     inputs, targets, fresh = stream(symbols, sizes)
-    where = lanes(sizes, n_lanes)
+    laid = Lanes(sizes, n_lanes)
     found = np.zeros(len(targets))
-    h = np.zeros((where.shape[1], HIDDEN), F4)
-    for at in range(0, len(where), window):
-        part = where[at:at + window]
-        live = (part >= 0).any(axis=0)  # lanes end one by one
-        part, h = part[:, live], h[live]
-        where = where[:, live] if not live.all() else where
+    h = np.zeros((len(laid.lengths), HIDDEN), F4)
+    for part, live in laid.windows(window):
+        h = h[live]  # lanes end one by one
         states, h, _ = forward(p, inputs[part], fresh[part] & (part >= 0), h)
         real = part >= 0
         found[part[real]] = log_probs(p, states[real], targets[part[real]])[0]
@@ -203,17 +211,13 @@ def score(p: dict, symbols: np.ndarray, sizes: np.ndarray, n_lanes: int = 256, w
 def train(p: dict, symbols: np.ndarray, sizes: np.ndarray, n_lanes: int = 64, window: int = 32, rate: float = 0.01) -> dict:
     """One pass of truncated backpropagation with Adam over the documents; returns new weights."""
     inputs, targets, fresh = stream(symbols, sizes)
-    where = lanes(sizes, n_lanes)
+    laid = Lanes(sizes, n_lanes)
     p = {k: v.copy() for k, v in p.items()}
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    h = np.zeros((where.shape[1], HIDDEN), F4)
-    steps = max(1, -(-len(where) // window))
-    for step, at in enumerate(range(0, len(where), window), 1):
-        part = where[at:at + window]
-        live = (part >= 0).any(axis=0)
-        part, h = part[:, live], h[live]
-        where = where[:, live] if not live.all() else where
-        real = part >= 0
+    h = np.zeros((len(laid.lengths), HIDDEN), F4)
+    steps = max(1, -(-laid.steps // window))
+    for step, (part, live) in enumerate(laid.windows(window), 1):
+        h, real = h[live], part >= 0
         grads = {k: np.zeros_like(v) for k, v in p.items()}
         states, h, tape = forward(p, inputs[part], fresh[part] & real, h, keep=True)
         dstates = np.zeros_like(states)

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -174,6 +175,19 @@ def test_probabilities_sum_to_one_and_lanes_do_not_matter():
         assert gru.score(p, symbols, sizes, lanes, window) == pytest.approx(one, rel=1e-4)
 
 
+def test_one_long_text_beside_short_ones_is_laid_out_window_by_window():
+    """The layout as one array of steps by lanes would take 40,000 x 256 x 8 bytes, 82 MB."""
+    _, p = toy(3)
+    sizes = np.concatenate([[40_000], np.full(255, 2)])
+    symbols = np.random.default_rng(5).integers(1, gru.SYMBOLS, int((sizes - 1).sum()))
+    tracemalloc.start()
+    found = gru.score(p, symbols, sizes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6
+    assert found[:1] == pytest.approx(gru.score(p, symbols[:39_999], sizes[:1]), rel=1e-4)
+
+
 def test_training_learns_an_order_of_words():
     _, p = toy(2)
     symbols, sizes = np.tile(np.arange(1, 9), 400), np.full(400, 9)
