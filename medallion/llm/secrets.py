@@ -34,6 +34,12 @@ HARMLESS_PATHS = ["test", "example", "sample", "doc", "fixture", "vendor"]
 ISSUED = (r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^(sk|rk|pk)_(live|test)_[A-Za-z0-9]{16,}$"
           r"|^xox[abprs]-[A-Za-z0-9-]{16,}$|^AIza[A-Za-z0-9_-]{35}$|^eyJ[A-Za-z0-9_-]{16,}$")
 
+# A path: two segments or more that are words, each this long at most.  What stands before a value in its path, back
+# to a sign that no path has.
+SEGMENT = r"^[A-Z]?[a-z]{2,}+(?:[._-]?[A-Z][a-z]++|[._-][a-z]++|[._-]?[0-9]{1,4}+(?![0-9])[a-z]*+)*+$"
+LONGEST_SEGMENT = 64
+LEAD = r"([^\s=:?&,;()<>\[\]{}\"'`|]*)$"
+
 FEATURES = ["length", "switches", "switch_share", "digit_share", "upper_share", "distinct_share", "transition",
             "coverage", "in_path", "harmless_path", "secret_name", "harmless_name", "assigned"]
 
@@ -107,6 +113,8 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     size = F.length("value")
     near = F.concat("before", F.lit(" "), F.split("value", "=")[0])
     closest = F.regexp_extract("before", r"(\S*\s*\S*\s*\S*)$", 1)
+    segments = F.split(F.concat(F.regexp_extract("before", LEAD, 1), "value"), "/")
+    is_word = lambda x: (F.length(x) <= LONGEST_SEGMENT) & x.rlike(SEGMENT)
     switch = r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])|(?<=[+/_=-])(?=[^+/_=-])"
     return (found.join(moves, "finding", "left").join(covered, "finding", "left")
             .withColumn("length", size.cast("double"))
@@ -117,7 +125,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
             .withColumn("distinct_share", F.size(F.array_distinct(_pieces(F.col("value"), 1))) / size)
             .withColumn("transition", F.coalesce("transition", F.lit(-6.0)))
             .withColumn("coverage", F.coalesce("covered", F.lit(0)) / size)
-            .withColumn("in_path", (F.col("value").contains("/") | F.col("before").rlike(r"[/.@]\S*$")).cast("double"))
+            .withColumn("in_path", (F.size(F.filter(segments, is_word)) >= 2).cast("double"))
             .withColumn("harmless_path", F.col("path").rlike(_any_of(HARMLESS_PATHS)).cast("double"))
             .withColumn("secret_name", closest.rlike(_any_of(SECRET_NAMES)).cast("double"))
             .withColumn("harmless_name", F.concat(near, F.lit(" "), "after").rlike(_any_of(HARMLESS_NAMES)).cast("double"))
@@ -126,12 +134,13 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 
 def review(found: DataFrame) -> DataFrame:
     """``finding, label`` of findings whose nature is plain: issued forms and assigned mixed values are secrets;
-    values of letters or digits alone, in paths, or beside a harmless name are not.  Others get no label."""
-    value = F.col("value")
+    values of letters or digits alone, in paths, or beside a harmless name are not.  Others get no label, nor do
+    assigned values that are paths."""
+    value, in_path = F.col("value"), F.col("in_path") == 1
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    label = (F.when(F.col("harmless_name") == 1, 0).when(value.rlike(ISSUED), 1)
-             .when(value.rlike(r"^[A-Za-z]+$|^[0-9+_\-]+$") | (F.col("in_path") == 1), 0)
-             .when((F.col("assigned") == 1) & (F.col("secret_name") == 1) & mixed, 1))
+    named = (F.col("assigned") == 1) & (F.col("secret_name") == 1) & mixed
+    label = (F.when(value.rlike(ISSUED), 1).when(named & in_path, F.lit(None)).when((F.col("harmless_name") == 1) & ~named, 0)
+             .when(named, 1).when(value.rlike(r"^[A-Za-z]+$|^[0-9+_\-]+$") | in_path, 0))
     return found.select("finding", label.cast("double").alias("label")).where("label is not null")
 
 

@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import zlib
 from collections import Counter
@@ -205,6 +206,30 @@ def test_the_forest_tells_secrets_from_others(spark):
     assert all((secrets.MASK in clean[i]) == true[i] and (true[i] or clean[i] == before[i]) for i in true)
 
 
+def labels_of(found):
+    return {r["value"]: r["label"] for r in secrets.review(found).join(found, "finding").collect()}
+
+
+def test_assigned_secrets_with_slashes_and_dotted_names(spark):
+    """Base64 with a slash, attribute names and addresses are no paths; neither are they taught to be harmless."""
+    texts, true = [], {}
+    for i in range(120):
+        raw = hashlib.sha256(str(i).encode())
+        code = base64.b64encode(raw.digest()).decode()[:40]
+        value = [code[:12] + "/" + code[13:], raw.hexdigest()[:40], raw.hexdigest()[:32], raw.hexdigest()[:40],
+                 f"path/to/some/longer/file{i}name", "internationalizationhandler" + "abcdefghij"[i % 10] * (1 + i // 6)][i % 6]
+        texts.append("some plain words before it\n" + [
+            f'aws_secret_access_key = "{value}"', f'config.api_key="{value}"', f"https://host/?token={value}", f"settings.token='{value}'",
+            f"see {value} twice", f"call {value} twice"][i % 6])
+        true[value] = i % 6 < 4
+    docs = docs_of(spark, texts)
+    found = secrets.scan(docs)
+    assert {v: x for v, x in labels_of(found).items() if v in true} == true
+    assert {r["value"]: r["is_secret"] for r in found.collect() if r["value"] in true} == true
+    clean = " ".join(r["text"] for r in secrets.redact(docs).collect())
+    assert all((value in clean) != secret for value, secret in true.items())
+
+
 def test_reviewed_findings_are_learned(spark):
     docs, true = planted(spark)
     seen = Observation()  # in a session that has observed, a fitted model cannot be sent to executors as it is
