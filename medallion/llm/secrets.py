@@ -36,8 +36,10 @@ ISSUED = (r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^(sk|rk|pk)_(l
 
 # A path: two segments or more that are words, each this long at most.  What stands before a value in its path, back
 # to a sign that no path has.
-SEGMENT = r"^[A-Z]?[a-z]{2,}+(?:[._-]?[A-Z][a-z]++|[._-][a-z]++|[._-]?[0-9]{1,4}+(?![0-9])[a-z]*+)*+$"
+SEGMENT = r"^[A-Z]?[a-z]{3,}+(?:[._-]?[A-Z][a-z]++|[._-][a-z]++|[._-]?[0-9]{1,4}+(?![0-9])[a-z]*+)*+$"
 LONGEST_SEGMENT = 64
+# E-mail addresses and host names, whose parts are no words beside a value.
+ADDRESS = r"\S*@\S*|(?:[A-Za-z0-9-]+\.)+[A-Za-z0-9-]+"
 LEAD = r"([^\s=:?&,;()<>\[\]{}\"'`|]*)$"
 
 FEATURES = ["length", "switches", "switch_share", "digit_share", "upper_share", "distinct_share", "transition",
@@ -48,6 +50,10 @@ def _any_of(names: list[str]) -> str:
     return r"(?i)(^|[^a-z])(" + "|".join(names) + r")"
 
 
+def _whole(names: list[str]) -> str:
+    return r"(?i)(^|[^\p{L}])(" + "|".join(names) + r")s?([^\p{L}]|$)"
+
+
 def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``finding, doc_id, path, line, column, value, before, after`` of every candidate; lines and columns from 1.
 
@@ -111,8 +117,9 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
     covered = whole.union(double).distinct().groupBy("finding").agg(F.sum(F.length("run")).alias("covered"))
 
     size = F.length("value")
-    near = F.concat("before", F.lit(" "), F.split("value", "=")[0])
     closest = F.regexp_extract("before", r"(\S*\s*\S*\s*\S*)$", 1)
+    following = F.regexp_extract("after", r"^(\s*\S*\s*\S*\s*\S*)", 1)
+    beside = F.regexp_replace(F.concat(closest, F.lit(" "), following), ADDRESS, " ")
     segments = F.split(F.concat(F.regexp_extract("before", LEAD, 1), "value"), "/")
     is_word = lambda x: (F.length(x) <= LONGEST_SEGMENT) & x.rlike(SEGMENT)
     switch = r"(?<=[a-z])(?=[^a-z])|(?<=[A-Z])(?=[^A-Z])|(?<=[0-9])(?=[^0-9])|(?<=[+/_=-])(?=[^+/_=-])"
@@ -128,7 +135,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
             .withColumn("in_path", (F.size(F.filter(segments, is_word)) >= 2).cast("double"))
             .withColumn("harmless_path", F.col("path").rlike(_any_of(HARMLESS_PATHS)).cast("double"))
             .withColumn("secret_name", closest.rlike(_any_of(SECRET_NAMES)).cast("double"))
-            .withColumn("harmless_name", F.concat(near, F.lit(" "), "after").rlike(_any_of(HARMLESS_NAMES)).cast("double"))
+            .withColumn("harmless_name", beside.rlike(_whole(HARMLESS_NAMES)).cast("double"))
             .withColumn("assigned", F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double")).drop("covered"))
 
 

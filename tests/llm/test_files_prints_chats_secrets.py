@@ -230,6 +230,23 @@ def test_assigned_secrets_with_slashes_and_dotted_names(spark):
     assert all((value in clean) != secret for value, secret in true.items())
 
 
+def test_tokens_beside_addresses_and_longer_words(spark):
+    """An address, a longer word or the value itself names nothing harmless; a whole word next to the value does."""
+    lines, true = [], {}
+    for i in range(140):
+        value = hashlib.sha1(str(i).encode()).hexdigest()
+        value = f"sk_test_{value[:24]}" if i % 7 == 4 else value
+        lines.append([f'mail x@mail6.example.com token = "{value}"', f'token = "{value}"### that.92@mail2.example.com', f'they shall share token = "{value}"',
+                      f'testimony token = "{value}"', f"use {value} here", f"commit {value} done", f"{value} is a checksum"][i % 7])
+        true[value] = i % 7 < 5
+    docs = docs_of(spark, ["some plain words before it\n" + line for line in lines])
+    found = secrets.scan(docs)
+    assert labels_of(found) == true
+    beside = {r["value"]: r["harmless_name"] == 0 for r in found.collect()}
+    assert beside == true
+    assert {r["value"]: r["is_secret"] for r in found.collect()} == true
+
+
 def test_reviewed_findings_are_learned(spark):
     docs, true = planted(spark)
     seen = Observation()  # in a session that has observed, a fitted model cannot be sent to executors as it is
