@@ -25,7 +25,7 @@ _ODD = re.compile("[\x1c-\x1f]|<\\|")
 _SETTLED = "\u0530"
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable stand-ins of bytes in byte-level vocabularies: printable ones for themselves, others from 256 on."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in own]
@@ -47,7 +47,7 @@ class WordIds(dict):
         self.model = self.tokenizer.model
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.code = "H" if self.dtype is np.uint16 else "I"
-        self.stand_ins = _byte_letters()
+        self.stand_ins = byte_letters()
         self.direct = name == TOKENIZER
 
     def __missing__(self, word: str) -> bytes:
