@@ -16,6 +16,7 @@ import hashlib
 import os
 import re
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -63,30 +64,51 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(n) else p.replace("▁", " ").encode()
                         for n, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
 
+        # each id as it is shown, inside and at the end of its side of a group
+        self.shown = [b"%d%c" % (n, sign) for ids, signs in ((self.a_bytes, b",|"), (self.b_bytes, b",;")) for n in range(len(ids)) for sign in signs]
+        self.shown_size = np.array([len(x) for x in self.shown])
+        self.a_size, self.b_size = (np.array([len(x) for x in ids]) for ids in (self.a_bytes, self.b_bytes))
+
     def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of each text, by A with a space in front and by B; two empty lists if either fails to render it."""
-        found = []
-        for text, a, b in zip(texts, self.a.encode_batch([f" {t}" for t in texts], add_special_tokens=False),
-                              self.b.encode(texts, num_threads=1), strict=True):
-            a, whole = a.ids, f" {text}".encode()
-            same = b"".join(map(self.a_bytes.__getitem__, a)) == whole == b"".join(map(self.b_bytes.__getitem__, b))
-            found.append((a, b) if same else ([], []))
-        return found
-
-    def groups(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]]:
-        """Runs of both tokenizers' ids between the offsets at which a token of each ends."""
-        found, i, j, start, other, gap = [], 0, 0, 0, 0, 0  # gap: bytes of A so far without those of B
-        while i < len(a) or j < len(b):
-            if gap <= 0 and i < len(a):
-                gap += len(self.a_bytes[a[i]])
-                i += 1
-            else:
-                gap -= len(self.b_bytes[b[j]])
-                j += 1
-            if gap == 0:
-                found.append((a[start:i], b[other:j]))
-                start, other = i, j
-        return found
+        spaced = [f" {t}" for t in texts]
+        found = list(zip([e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)], self.b.encode(texts, num_threads=1), strict=True))
+        sizes = [self.a_size[list(chain.from_iterable(a for a, _ in found))], self.b_size[list(chain.from_iterable(b for _, b in found))]]
+        want = np.array([len(t.encode()) for t in spaced])
+        fits = all(np.array_equal(_sums(size, np.array([len(f[side]) for f in found])), want) for side, size in enumerate(sizes))
+        whole = "".join(spaced).encode()
+        if fits and all(b"".join(map(own.__getitem__, chain.from_iterable(f[side] for f in found))) == whole
+                        for side, own in enumerate((self.a_bytes, self.b_bytes))):
+            return found
+        return [(a, b) if b"".join(map(self.a_bytes.__getitem__, a)) == t.encode() == b"".join(map(self.b_bytes.__getitem__, b)) else ([], [])
+                for t, (a, b) in zip(spaced, found, strict=True)]
+
+    def groups(self, found: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """Of texts with ``tokens``: numbers of A's and B's ids and of groups; the groups shown; and the linked ids.
+
+        A group ends where a token of each does; texts lie one behind another, so their ends are ends of groups.
+        """
+        counts = np.array([(len(a), len(b)) for a, b in found], np.int64).reshape(-1, 2)
+        ids = [np.fromiter(chain.from_iterable(f[side] for f in found), np.int64, int(counts[:, side].sum())) for side in (0, 1)]
+        ends = [np.cumsum(size[i]) for size, i in zip((self.a_size, self.b_size), ids, strict=True)]
+        common = ends[0][np.isin(ends[0], ends[1], assume_unique=True)]
+        group = [np.searchsorted(common, e) for e in ends]
+        last = [np.append(g[1:] != g[:-1], True)[:len(g)] for g in group]
+        links = np.stack([i[x] for i, x in zip(ids, last, strict=True)], axis=1)
+        order = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
+        place = np.concatenate([2 * ids[0] + last[0], 2 * len(self.a_bytes) + 2 * ids[1] + last[1]])[order]
+        shown = b"".join(map(self.shown.__getitem__, place.tolist()))
+        upto = np.concatenate([[0], np.cumsum(self.shown_size[place])])[np.concatenate([[0], np.cumsum(counts.sum(axis=1))])]
+        texts = np.repeat(np.arange(len(found)), counts[:, 0])
+        sizes = np.column_stack([counts, np.bincount(texts[last[0]], minlength=len(found))])
+        return sizes, [shown[i:max(i, j - 1)] for i, j in pairwise(upto.tolist())], links
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of runs of ``counts`` values."""
+    ends = np.cumsum(counts)
+    upto = np.concatenate([[0], np.cumsum(values)])
+    return upto[ends] - upto[ends - counts]
 
 
 @kept
@@ -102,20 +124,20 @@ class Block:
         self.number, self.own, self.bytes = number, own, 0
         self.known: dict[str, int] = {}
         self.shown: list[bytes] = []      # groups as text, one chunk after another
-        self.sizes: list[tuple[int, int, int]] = []
+        self.sizes = np.zeros((0, 3), np.int64)
         self.good: list[bool] = []
-        self.pairs: dict[tuple[int, int], int] = {}
-        self.links: list[list[int]] = []  # of each chunk, as numbers of pairs
+        self.pairs: dict[int, int] = {}
+        self.links: list[np.ndarray] = []  # of the chunks, as numbers of pairs
         self.weights = np.zeros(0, np.int64)
 
     def learn(self, new: list[str]) -> None:
-        for chunk, (a, b) in zip(new, self.own.tokens(new), strict=True):
-            groups = self.own.groups(a, b)
-            self.known[chunk] = len(self.known)
-            self.shown.append(b";".join(b",".join(b"%d" % t for t in x) + b"|" + b",".join(b"%d" % t for t in y) for x, y in groups))
-            self.sizes.append((len(a), len(b), len(groups)))
-            self.good.append(bool(groups))
-            self.links.append([self.pairs.setdefault((x[-1], y[-1]), len(self.pairs)) for x, y in groups])
+        sizes, shown, links = self.own.groups(self.own.tokens(new))
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.shown += shown
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.good += (sizes[:, 2] > 0).tolist()
+        pairs, place = np.unique(links[:, 0] << 32 | links[:, 1], return_inverse=True)
+        self.links.append(np.array([self.pairs.setdefault(p, len(self.pairs)) for p in pairs.tolist()], np.uint32)[place])
 
     def add(self, texts: list[str], digests: list[str], copies: list[int]) -> pa.Table:
         """Align a run of texts; their rows."""
@@ -130,7 +152,7 @@ class Block:
         flat, counts = np.concatenate(ids), np.array([len(i) for i in ids])
         self.weights = np.concatenate([self.weights, np.zeros(len(self.known) - len(self.weights), np.int64)])
         np.add.at(self.weights, flat, np.repeat(np.array(copies, np.int64), counts))
-        sizes = np.add.reduceat(np.array(self.sizes, np.int64)[flat], np.cumsum(counts) - counts)
+        sizes = np.add.reduceat(self.sizes[flat], np.cumsum(counts) - counts)
         shown = [b";".join(map(self.shown.__getitem__, i.tolist())) for i in ids]
         self.bytes += sum(map(len, texts))
         return self.rows(TEXT, len(texts), digest=digests, n_a=sizes[:, 0], n_b=sizes[:, 1], n_groups=sizes[:, 2],
@@ -139,11 +161,11 @@ class Block:
 
     def close(self) -> list[pa.Table]:
         """Links of the chunks, and the pairs with their weights."""
-        counts = np.array([len(x) for x in self.links], np.uint32)
-        flat = np.fromiter((n for x in self.links for n in x), np.uint32, int(counts.sum()))
+        counts, flat = self.sizes[:, 2].astype(np.uint32), np.concatenate(self.links)
         weight = np.zeros(len(self.pairs), np.int64)
         np.add.at(weight, flat, np.repeat(self.weights, counts))
-        ids = np.array(list(self.pairs), np.int32).reshape(-1, 2)
+        ids = np.array(list(self.pairs), np.int64)
+        ids = np.stack([ids >> 32, ids & 0xFFFFFFFF], axis=1).astype(np.int32)
         return [self.rows(CHUNKS, 1, ids=[counts.tobytes()], links=[flat.tobytes()]),
                 self.rows(PAIR, len(ids), at=np.arange(len(ids), dtype=np.int32), a=ids[:, 0], b=ids[:, 1], weight=weight)]
 
