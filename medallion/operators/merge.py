@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion.contracts import Entity
-from medallion.operators import commit as commits
 from medallion.operators.commit import PART, Version, commit, writing
 from medallion.operators.dedup import keep_first
 from medallion.operators.lake import BUCKETS, Lake, complete, conform, laid_out, write_step
@@ -147,7 +146,8 @@ def prepare(lake: Lake, version: Version, entity: Entity, stage: DataFrame, stat
 
 def recover(lake: Lake, entity: Entity) -> bool:
     """Finish a load that was interrupted while the table was switched."""
-    return commits.recover(lake.raw_place(entity))
+    with writing(lake.raw_place(entity)) as version:
+        return version.recovered
 
 
 def insert_if_absent(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column,

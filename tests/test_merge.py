@@ -1,5 +1,7 @@
+import json
 import random
 import re
+import time
 from dataclasses import replace as with_changes
 from datetime import datetime
 
@@ -10,7 +12,7 @@ from medallion.contracts import Entity
 from medallion.functions.times import instant
 from medallion.operators import commit as commits
 from medallion.operators import merge
-from medallion.operators.commit import TableBusyError, release, writing
+from medallion.operators.commit import TableBusyError, TableLostError, release, writing
 from medallion.operators.lake import clustered, export_csv, rebuild, replace
 from medallion.operators.merge import DuplicateKeyError, insert_if_absent, recover, upsert
 from tests.conftest import rows
@@ -236,16 +238,132 @@ def test_a_second_writer_is_refused(spark, lake):
         with pytest.raises(TableBusyError, match="items_raw"):
             upsert(lake, good, ITEMS, instant(T1))
     assert upsert(lake, good, ITEMS, instant(T1)) == 1
-    # an owner of another application, alive and dead
+    # an owner of another application, alive and given free by hand
     place = lake.raw_place(ITEMS)
-    place.files.create(place.owner, '{"app": "other", "at": 99999999999}')
+    foreign_owner(place, '{"app": "other"}')
     with pytest.raises(TableBusyError, match="other"):
         replace(lake, good, ITEMS, instant(T1))
     release(place)
-    place.files.create(place.owner, '{"app": "other", "at": 0}')
     assert replace(lake, good, ITEMS, instant(T1)) == 1
 
 
+def foreign_owner(place, text):
+    """Another application claims the table."""
+    path = place.numbered("owners", commits._newest(place)[0] + 1)
+    assert place.files.create(path, text)
+    return path
+
+
+@pytest.mark.parametrize("text", ["", "{", '{"app": "other"}'])
+def test_an_owner_lives_until_the_store_says_that_it_is_too_old(spark, lake, monkeypatch, text):
+    """Also one whose file has no content yet; the clocks of the writers do not matter."""
+    place, good = lake.raw_place(ITEMS), frame(spark, [(1, "2024-01-05", "a", 1)])
+    path = foreign_owner(place, text)
+    monkeypatch.setattr(time, "time", lambda: 9e12)
+    with pytest.raises(TableBusyError):
+        upsert(lake, good, ITEMS, instant(T1))
+    monkeypatch.setattr(commits, "LEASE_SECONDS", 0.8)
+    time.sleep(1)
+    place.files.write(f"{path}.life", "")  # a sign of life
+    with pytest.raises(TableBusyError):
+        upsert(lake, good, ITEMS, instant(T1))
+    time.sleep(1)
+    assert upsert(lake, good, ITEMS, instant(T1)) == 1
+
+
+def test_a_writer_shows_that_it_lives(spark, lake, monkeypatch):
+    monkeypatch.setattr(commits, "LEASE_SECONDS", 0.4)
+    place = lake.raw_place(ITEMS)
+    with writing(place) as version:
+        time.sleep(1)
+        first = place.files.modified(f"{version.owner.path}.life")
+        time.sleep(1.5)
+        assert place.files.modified(f"{version.owner.path}.life") > first
+    assert commits._newest(place)[1]
+
+
+def test_no_row_is_lost_when_a_clock_runs_behind(spark, lake, monkeypatch):
+    """The order of versions is that of their owners, whatever time a driver believes it is."""
+    rows_of = lambda k: frame(spark, [(k, "2024-01-05", "x", k), (100 + k, f"2024-0{k + 1}-05", "y", k)])
+    for k, clock in enumerate((2e9, 1e9, 1.5e9, 0.0, 3e9)):
+        monkeypatch.setattr(time, "time", lambda clock=clock: clock)
+        upsert(lake, rows_of(k), ITEMS, instant(T1))
+    assert [r[0] for r in content(lake, ITEMS, "k")] == sorted([*range(5), *range(100, 105)], key=str)
+    place = lake.raw_place(ITEMS)
+    assert [int(n) for n in place.files.names(place.history)] == sorted(int(n) for n in place.files.names(place.history))
+
+
+def overtaken(place):
+    """The lease has ended, and another run has claimed the table."""
+    return foreign_owner(place, '{"app": "other", "token": "theirs"}')
+
+
+@pytest.mark.parametrize("when", ["before the commit", "while it is recorded"])
+def test_an_owner_that_was_overtaken_is_refused(spark, lake, monkeypatch, when):
+    first = frame(spark, [(1, "2024-01-05", "a", 1)])
+    upsert(lake, first, ITEMS, instant(T1))
+    place = lake.raw_place(ITEMS)
+    if when == "before the commit":
+        prepare = merge.prepare
+        monkeypatch.setattr(merge, "prepare", lambda *a: (prepare(*a), overtaken(place))[0])
+    else:
+        put = commits.Files.put
+        monkeypatch.setattr(commits.Files, "put", lambda self, *a: (put(self, *a), overtaken(place))[0])
+    with pytest.raises(TableLostError, match="items_raw"):
+        upsert(lake, first.withColumn("v", F.lit("late")), ITEMS, instant(T1))
+    monkeypatch.undo()
+    assert content(lake, ITEMS, "k", "v") == [(1, "a")]
+    with pytest.raises(TableBusyError):  # the other one is still there
+        upsert(lake, first, ITEMS, instant(T1))
+    release(place)
+    upsert(lake, frame(spark, [(2, "2024-01-05", "b", 1)]), ITEMS, instant(T1))
+    assert content(lake, ITEMS, "k", "v") == [(1, "a"), (2, "b")]
+
+
+def test_a_record_older_than_the_table_is_not_applied(spark, lake):
+    place = lake.raw_place(ITEMS)
+    for v in "ab":
+        upsert(lake, frame(spark, [(1, "2024-01-05", v, 1)]), ITEMS, instant(T1))
+    old = min(place.files.names(place.history))
+    late = json.loads(place.files.read(f"{place.history}/{old}"))
+    place.files.create(place.numbered("commits", late["number"]), json.dumps(late))
+    assert not recover(lake, ITEMS)
+    assert content(lake, ITEMS, "k", "v") == [(1, "b")] and place.files.names(f"{place.work}/commits") == []
+
+
+def test_the_sweep_spares_what_the_catalog_points_to(spark, lake):
+    """Even folders that no record knows."""
+    place = lake.raw_place(ITEMS)
+    upsert(lake, frame(spark, [(1, "2024-01-05", "a", 1), (2, "2024-02-05", "b", 2)]), ITEMS, instant(T1))
+    old = place.files.names(place.versions)[0]
+    moved = f"{place.versions}/by-hand"
+    place.files.rename(f"{place.versions}/{old}/_part=2024-01", f"{moved}/_part=2024-01")
+    spark.sql(f"ALTER TABLE {place.name} PARTITION (_part = '2024-01') SET LOCATION '{moved}/_part=2024-01'")
+    place.files.create(f"{place.versions}/000000099999-lost/x", "")
+    upsert(lake, frame(spark, [(3, "2024-02-05", "c", 2)]), ITEMS, instant(T1))
+    with writing(place):
+        pass
+    assert len(place.files.names(place.versions)) == 2 and place.files.names(moved) == ["_part=2024-01"]
+    assert content(lake, ITEMS, "k", "v") == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_the_history_says_what_has_changed(spark, lake, monkeypatch):
+    place = lake.raw_place(ITEMS)
+    assert commits.changed_since(place, 0) == set() and commits.last_version(place) == 0
+    upsert(lake, frame(spark, [(1, "2024-01-05", "a", 1), (2, "2024-02-05", "b", 2)]), ITEMS, instant(T1))
+    first = commits.last_version(place)
+    upsert(lake, frame(spark, [(1, "2024-03-05", "A", 1)]), ITEMS, instant(T1))
+    assert commits.changed_since(place, first) == {"2024-01", "2024-03"}
+    second = commits.last_version(place)
+    assert commits.changed_since(place, second) == set() and commits.changed_since(place, 0) is None
+    monkeypatch.setattr(commits, "HISTORY", 1)
+    upsert(lake, frame(spark, [(2, "2024-02-05", "B", 1)]), ITEMS, instant(T1))
+    assert commits.changed_since(place, first) is None  # too long ago
+    last = commits.last_version(place)
+    replace(lake, frame(spark, [(7, "2024-03-05", "y", 1)]), ITEMS, instant(T1))
+    assert commits.changed_since(place, last) is None
+
+
 def test_old_versions_are_deleted_by_the_next_write(spark, lake):
     place = lake.raw_place(ITEMS)
     for v in "abc":
