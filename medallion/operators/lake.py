@@ -22,13 +22,16 @@ from medallion import contracts
 from medallion.contracts import Entity
 from medallion.functions.keys import bucket
 from medallion.functions.nested import json_text
-from medallion.operators.commit import PART, Files, Place, commit, writing
+from medallion.operators.commit import PART, Files, Place, changed_since, commit, last_version, writing
 from medallion.operators.quality import gate_metrics
 from medallion.session import prepare
 
 LAYERS = ("raw", "staging", "analytics", "control")
 NO_DATE = "none"
-BUCKETS = "medallion.buckets"
+# Properties of a table without a date: the buckets that rows written from now on go to, and its rows.
+BUCKETS, ROWS = "medallion.buckets", "medallion.rows"
+# Property of a table built from another one: the version of that one.
+BUILT_FROM = "medallion.built_from"
 
 
 @dataclass(frozen=True)
@@ -37,9 +40,11 @@ class Lake:
 
     ``period`` is the date pattern of the date partitions (``yyyy-MM`` or,
     for tables whose months are too large to rewrite, ``yyyy-MM-dd``).  Tables
-    without a date have hash buckets of about ``bucket_rows`` rows: their first
-    load, and every full replace, sets the number, which the table keeps as a
-    property.
+    without a date have hash buckets of about ``bucket_rows`` rows.  The number
+    of buckets, a power of two and a property of the table, doubles as the
+    table grows.  A bucket's name tells of how many it is one, so that buckets
+    of several generations stand side by side: one that was written when there
+    were fewer is split when a load touches it, and not before.
     """
 
     spark: SparkSession
@@ -67,19 +72,40 @@ class Lake:
     def raw_place(self, entity: Entity) -> Place:
         return self.place("raw", entity.table)
 
+    def number(self, entity: Entity, key: str, default: int) -> int:
+        """A property of the raw table."""
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.raw(entity)} ('{key}')").first()["value"]
+        return int(found) if found.isdigit() else default
+
     def bucket_count(self, entity: Entity) -> int:
-        """Buckets that the table has now."""
-        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.raw(entity)} ('{BUCKETS}')").first()["value"]
-        return int(found) if found.isdigit() else 1
+        """Buckets that rows are written to now."""
+        return self.number(entity, BUCKETS, 1)
 
     def buckets_for(self, rows: int) -> int:
         """A power of two, so that a table that grows can double them."""
         return 1 << max(0, math.ceil(math.log2(max(1, rows / self.bucket_rows))))
 
+    def grown(self, entity: Entity, more: int) -> dict[str, int]:
+        """Properties of a table that ``more`` rows are added to; none for tables with a date."""
+        if entity.date_key:
+            return {}
+        rows = self.number(entity, ROWS, 0) + more
+        return {ROWS: rows, BUCKETS: max(self.bucket_count(entity), self.buckets_for(rows))}
+
     def part_of(self, entity: Entity, buckets: int | None = None) -> Column:
         if entity.date_key:
             return F.coalesce(F.date_format(entity.date_key, self.period), F.lit(NO_DATE))
-        return bucket(list(entity.keys), buckets or self.bucket_count(entity)).cast("string")
+        count = buckets or self.bucket_count(entity)
+        return F.concat(F.lit(f"{count}."), bucket(list(entity.keys), count).cast("string"))
+
+    def holders(self, df: DataFrame, entity: Entity) -> list[str]:
+        """Partitions that hold the keys of a frame now; not of dates, which a change may move."""
+        names = {r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.raw(entity)}").collect()}
+        counts = sorted({int(n.split(".")[0]) for n in names})
+        if not counts:
+            return []
+        found = df.select(F.explode(F.array(*[self.part_of(entity, n) for n in counts])).alias(PART))
+        return [r[0] for r in found.distinct().collect() if r[0] in names]  # generations x buckets touched
 
     def setup(self) -> "Lake":
         """Create the databases and tables that are absent."""
@@ -184,8 +210,8 @@ def replace(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column,
         properties, part = {}, lake.part_of(entity) if entity.date_key else None
         if part is None:
             rows, seen = write_step(rows, version.step("stage"))
-            properties[BUCKETS] = str(lake.buckets_for(seen["rows"]))
-            part = lake.part_of(entity, int(properties[BUCKETS]))
+            properties = {ROWS: seen["rows"], BUCKETS: lake.buckets_for(seen["rows"])}
+            part = lake.part_of(entity, properties[BUCKETS])
         rows = laid_out(rows.withColumn(PART, part), entity)
         seen = write_step(rows, version.data, gate_metrics(list(entity.gate)), partitioned=True)[1]
         if check:
@@ -196,8 +222,9 @@ def replace(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column,
 
 
 def rebuild(lake: Lake, df: DataFrame, layer: str, table: str, cluster_by: list[str] | None = None,
-            wait: float = 0.0) -> None:
-    """Replace all rows of a table by those of a query; the old ones stay until the new ones are complete.
+            wait: float = 0.0, touched: list[str] | None = None, properties: dict[str, int] | None = None) -> None:
+    """Replace all rows of a table by those of a query, or those of the ``touched`` partitions; the old ones stay until
+    the new ones are complete.
 
     A query over a partitioned table passes the partition column on: its rows
     are then copied without a shuffle.  ``cluster_by`` sorts the rows into
@@ -209,7 +236,32 @@ def rebuild(lake: Lake, df: DataFrame, layer: str, table: str, cluster_by: list[
     df = df.select(*[F.col(f.name).cast(f.dataType) for f in columns.fields])
     with writing(place, wait) as version:
         write_step(df, version.data, partitioned=place.partitioned)
-        commit(version)
+        commit(version, touched, properties)
+
+
+def refresh(lake: Lake, source: Place, layer: str, table: str, rows, full: bool = False,
+            cluster_by: list[str] | None = None) -> bool:
+    """Bring a table that is built from another one up to date; False if nothing has changed.
+
+    The table keeps the source's version that it was built from.  The source's history says which partitions have
+    changed since; ``rows(touched)`` gives the new rows of those partitions, which a partitioned table has too, and
+    ``rows(None)`` those of all.  A table without partitions is written anew, from what ``rows`` gives.
+    """
+    place = lake.place(layer, table)
+    upto = last_version(source)  # before the rows are read: later versions are seen again by the next build
+    found = lake.spark.sql(f"SHOW TBLPROPERTIES {place.name} ('{BUILT_FROM}')").first()["value"]
+    touched = None if full or not found.isdigit() else changed_since(source, int(found))
+    if touched is not None and not touched:
+        return False
+    touched = None if touched is None else sorted(touched)
+    rebuild(lake, rows(touched), layer, table, cluster_by, touched=touched if place.partitioned else None,
+            properties={BUILT_FROM: upto})
+    return True
+
+
+def parts_of(df: DataFrame, touched: list[str] | None) -> DataFrame:
+    """The rows of some partitions."""
+    return df if touched is None else df.where(F.col(PART).isin(touched))
 
 
 def clustered(df: DataFrame, by: list[str]) -> DataFrame:

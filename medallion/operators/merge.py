@@ -21,10 +21,12 @@ from pyspark.sql import types as T
 from medallion.contracts import Entity
 from medallion.operators.commit import PART, Version, commit, writing
 from medallion.operators.dedup import keep_first
-from medallion.operators.lake import BUCKETS, Lake, complete, conform, laid_out, write_step
+from medallion.operators.lake import BUCKETS, ROWS, Lake, complete, conform, laid_out, write_step
 from medallion.operators.quality import gate_metrics
 
 MATCHED = "_matched"
+# Property of a table: the last merged batch of each stream.
+BATCH = "medallion.batch"
 
 
 class DuplicateKeyError(ValueError):
@@ -66,15 +68,22 @@ def _values(df: DataFrame) -> list[str]:
 
 
 def upsert(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column, check=None,
-           unique: bool = False) -> int:
+           unique: bool = False, batch: tuple[str, int] | None = None) -> int:
     """Update matched rows, insert the others; returns the source row count.
 
     Columns the source does not have keep the target's value on update and
     get their default on insert.  A null key matches nothing.  ``unique``:
     the caller has made the keys unique, so they need not be checked.
+
+    ``batch``: the name of a stream and the number of its batch, which the
+    commit records.  A batch that is not newer than the recorded one has been
+    merged before: nothing is read or written, and the count is 0.
     """
     keys = list(entity.keys)
     with writing(lake.raw_place(entity)) as version:
+        seal = {f"{BATCH}.{batch[0]}": batch[1]} if batch else {}
+        if batch and lake.number(entity, f"{BATCH}.{batch[0]}", -1) >= batch[1]:
+            return 0
         source = conform(df, entity.columns)
         stage, seen = write_step(source, version.step("stage"), gate_metrics(list(entity.gate)) + _range_metrics(keys))
         if check:
@@ -84,19 +93,20 @@ def upsert(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column, check=N
                 _refuse_copies(stage, keys, entity.table)
             defaults = {"_loaded_at": loaded_at}
             if lake.spark.table(lake.raw(entity)).isEmpty():
-                _load_first(lake, version, stage, entity, defaults, seen["rows"])
+                _load_first(lake, version, stage, entity, defaults, seen["rows"], seal)
             else:
-                commit(version, prepare(lake, version, entity, stage, seen, defaults))
+                touched, properties = prepare(lake, version, entity, stage, seen, defaults)
+                commit(version, touched, properties | seal)
         return seen["rows"]
 
 
 def _load_first(lake: Lake, version: Version, rows: DataFrame, entity: Entity, defaults: dict[str, Column],
-                count: int) -> None:
+                count: int, seal: dict[str, int]) -> None:
     """The first rows of a table; their number sets its buckets."""
     buckets = lake.buckets_for(count)
     rows = complete(rows, entity.columns, defaults).withColumn(PART, lake.part_of(entity, buckets))
     write_step(laid_out(rows, entity), version.data, partitioned=True)
-    commit(version, properties={} if entity.date_key else {BUCKETS: str(buckets)})
+    commit(version, properties=seal | ({} if entity.date_key else {ROWS: count, BUCKETS: buckets}))
 
 
 def _find_hits(lake: Lake, version: Version, entity: Entity, keyed: DataFrame, stats: dict,
@@ -107,17 +117,23 @@ def _find_hits(lake: Lake, version: Version, entity: Entity, keyed: DataFrame, s
     keys = list(entity.keys)
     target = lake.spark.table(lake.raw(entity)).where(_in_range(keys, stats, keyed.schema))
     hits = target.select(*keys, F.col(PART).alias("_old_part"), *columns).join(keyed.select(*keys), keys, "left_semi")
-    return write_step(hits, version.step("hits"))[0]
+    hits, seen = write_step(hits, version.step("hits"))
+    return hits, seen["rows"]
 
 
 def prepare(lake: Lake, version: Version, entity: Entity, stage: DataFrame, stats: dict,
-            defaults: dict[str, Column]) -> list[str]:
-    """Write the touched partitions as they shall be; returns their names."""
+            defaults: dict[str, Column]) -> tuple[list[str], dict[str, int]]:
+    """Write the touched partitions as they shall be; returns their names, and the table's new properties.
+
+    Touched buckets that are larger than their share of the grown table are written as several.
+    """
     spark, keys = lake.spark, list(entity.keys)
     table = spark.table(lake.raw(entity))
     unmentioned = [c for c in entity.columns if c not in stage.columns]
     keyed = stage.where(~null_key(keys))
-    hits = _find_hits(lake, version, entity, keyed, stats, unmentioned)
+    hits, matched = _find_hits(lake, version, entity, keyed, stats, unmentioned)
+    properties = lake.grown(entity, stats["rows"] - matched)
+    part = lake.part_of(entity, properties.get(BUCKETS))
 
     # Updates and inserts in one pass: what a source row has not and its hit has, the hit gives.
     found = hits.drop("_old_part").withColumn(MATCHED, F.lit(True))
@@ -129,19 +145,23 @@ def prepare(lake: Lake, version: Version, entity: Entity, stage: DataFrame, stat
         default = defaults.get(name, F.lit(None)).cast(dtype)
         return F.when(F.col(MATCHED), F.col(name)).otherwise(default).alias(name)
 
-    changed = changed.select(*[value(c, t) for c, t in entity.columns.items()]).withColumn(PART, lake.part_of(entity))
+    changed = changed.select(*[value(c, t) for c, t in entity.columns.items()]).withColumn(PART, part)
 
-    # The partitions of the changed rows follow from the source alone, unless
-    # it does not mention the date that decides them.
-    dated = changed if entity.date_key in unmentioned else stage.withColumn(PART, lake.part_of(entity))
-    touched = _values(hits.select("_old_part").union(dated.select(PART)))
+    if entity.date_key:
+        # The partitions of the changed rows follow from the source alone, unless
+        # it does not mention the date that decides them.
+        dated = changed if entity.date_key in unmentioned else stage.withColumn(PART, part)
+        touched = _values(hits.select("_old_part").union(dated.select(PART)))
+    else:
+        touched = lake.holders(stage, entity)
     before = table.where(F.col(PART).isin(touched))
     # Rows with a null key match nothing; taken apart, they cannot gather in
     # one task of a shuffled join.
     kept = before.where(~null_key(keys)).join(keyed.select(*keys), keys, "left_anti")
     kept = kept.select(*table.columns).unionByName(before.where(null_key(keys)))
+    kept = kept if entity.date_key else kept.withColumn(PART, part)
     write_step(laid_out(kept.unionByName(changed), entity), version.data, partitioned=True)
-    return touched
+    return touched, properties
 
 
 def recover(lake: Lake, entity: Entity) -> bool:
@@ -165,16 +185,20 @@ def insert_if_absent(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Colum
             return 0
         table, defaults = lake.spark.table(lake.raw(entity)), {"_loaded_at": loaded_at}
         if table.isEmpty():
-            _load_first(lake, version, stage, entity, defaults, seen["rows"])
+            _load_first(lake, version, stage, entity, defaults, seen["rows"], {})
             return seen["rows"]
         keyed = stage.where(~null_key(keys))
-        hits = _find_hits(lake, version, entity, keyed, seen, [])
+        hits, _ = _find_hits(lake, version, entity, keyed, seen, [])
         new = keyed.join(hits.select(*keys).distinct(), keys, "left_anti")
         new = complete(new.unionByName(stage.where(null_key(keys))), entity.columns, defaults)
-        new, _ = write_step(new.withColumn(PART, lake.part_of(entity)), version.step("new"))
-        touched = _values(new.select(PART))
-        if touched:
+        new, added = write_step(new, version.step("new"))
+        properties = lake.grown(entity, added["rows"])
+        part = lake.part_of(entity, properties.get(BUCKETS))
+        new = new.withColumn(PART, part)
+        touched = _values(new.select(PART)) if entity.date_key else lake.holders(new, entity)
+        if added["rows"]:
             before = table.where(F.col(PART).isin(touched))
+            before = before if entity.date_key else before.withColumn(PART, part)
             write_step(laid_out(before.unionByName(new), entity), version.data, partitioned=True)
-            commit(version, touched)
+            commit(version, touched, properties)
         return seen["rows"]

@@ -1,8 +1,8 @@
 """Merge landed files into a raw table, batch by batch.
 
-The checkpoint of the stream takes the place of the watermark row.  A batch
-that is repeated after a failure merges the same rows again, which changes
-nothing.
+The checkpoint of the stream takes the place of the watermark row.  A commit
+records the number of its batch with the table, so a batch that is repeated
+after a failure, when the checkpoint does not know of it yet, counts once.
 """
 
 from __future__ import annotations
@@ -35,13 +35,15 @@ def stream_upserts(
 ) -> StreamingQuery:
     """Merge all files that have landed, then stop."""
 
-    def merge_batch(batch: DataFrame, _batch_id: int) -> None:
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
         # Batches run in a session of their own; settings and table cache of
         # the outer one do not reach it.
         inner = with_changes(lake, spark=batch.sparkSession)
         rows = transform(batch) if transform else batch
         rows = drop_duplicates(rows, list(entity.keys), list(entity.arrival))
-        upsert(inner, rows, entity, instant(run_ts))
+        # The query's id lives in its checkpoint: a stream that begins anew has another one.
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        upsert(inner, rows, entity, instant(run_ts), unique=True, batch=(stream_id, batch_id) if stream_id else None)
 
     return (
         stream.writeStream.foreachBatch(merge_batch)

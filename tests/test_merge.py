@@ -392,6 +392,71 @@ def test_buckets_follow_the_rows(spark, make_lake):
     assert lake.table("raw", PAIRS.table).count() == 20
 
 
+def bucket_names(lake):
+    return [p.split("=")[1] for p in parts(lake, PAIRS)]
+
+
+def test_buckets_grow_with_the_table(spark, make_lake):
+    """By upserts alone; a bucket is split when it is touched, and two keys still rewrite two buckets."""
+    lake, size = make_lake(entities={"pairs": PAIRS}, bucket_rows=20), 20
+    place, total = lake.raw_place(PAIRS), 0
+    while total < 64 * size:
+        more = max(size, total)
+        upsert(lake, frame(spark, [(k, None, "v", k) for k in range(total, total + more)]), PAIRS, instant(T1))
+        total += more
+        assert lake.number(PAIRS, "medallion.rows", 0) == total
+    assert lake.bucket_count(PAIRS) == 64 and len(bucket_names(lake)) >= 60
+    upsert(lake, frame(spark, [(1, None, "v", -1), (2, None, "v", -2)]), PAIRS, instant(T2))
+    newest = place.files.names(place.versions)[-1]
+    assert 1 <= len([n for n in place.files.names(f"{place.versions}/{newest}") if n.startswith("_part=")]) <= 2
+    found = lake.table("raw", PAIRS.table)
+    assert found.count() == total == found.distinct().count()
+    assert rows(found.where("k < 4").select("k", "w")) == [(0, 0), (1, -1), (2, -2), (3, 3)]
+
+
+def test_buckets_of_several_generations(spark, make_lake):
+    lake = make_lake(entities={"pairs": PAIRS}, bucket_rows=8)
+    upsert(lake, frame(spark, [(k, None, "v", k) for k in range(60)]), PAIRS, instant(T1))
+    old = set(bucket_names(lake))
+    assert {n.split(".")[0] for n in old} == {"8"}
+    # one bucket grows: the others keep their place, and it is split
+    key = F.pmod(F.xxhash64("k", "v"), F.lit(8))
+    hot = spark.range(1000, 3000).select(F.col("id").alias("k"), F.lit("v").alias("v"), F.lit(1).alias("w")).where(key == 3).limit(100)
+    upsert(lake, hot, PAIRS, instant(T1))
+    names = bucket_names(lake)
+    assert lake.bucket_count(PAIRS) == 32 and old - {"8.3"} == {n for n in names if n.startswith("8.")}
+    assert all(int(n.split(".")[1]) % 8 == 3 for n in names if n.startswith("32."))
+    insert_if_absent(lake, frame(spark, [(k, None, "v", -k) for k in range(50, 300)] + [(None, None, "v", 0)]), PAIRS, instant(T2), ["w"])
+    expected = {k: k for k in range(60)} | {r["k"]: 1 for r in hot.collect()} | {k: -k for k in range(60, 300)}
+    found = [(r["k"], r["w"]) for r in lake.table("raw", PAIRS.table).collect()]
+    assert len(found) == len(expected) + 1 and dict(found) == expected | {None: 0}
+    held = spark.table(lake.raw(PAIRS)).select("_part", *[F.concat(F.lit(f"{n}."), F.pmod(F.xxhash64("k", "v"), F.lit(n))) for n in (8, 32, 64)])
+    assert all(r[0] in r[1:] for r in held.collect())
+    assert lake.number(PAIRS, "medallion.rows", 0) == len(found)
+
+
+def test_random_growth_matches_a_dictionary(spark, make_lake):
+    lake, draw, expected = make_lake(entities={"pairs": PAIRS}, bucket_rows=5), random.Random(3), {}
+    for turn in range(6):
+        batch = {draw.randrange(120): draw.randrange(1000) for _ in range(4 ** min(turn, 3) + 1)}
+        upsert(lake, frame(spark, [(k, None, "v", w) for k, w in batch.items()]), PAIRS, instant(T1))
+        expected |= batch
+        assert rows(lake.table("raw", PAIRS.table).select("k", "w")) == sorted(expected.items(), key=lambda r: tuple((v is None, str(v)) for v in r))
+        assert lake.bucket_count(PAIRS) >= len(expected) / 5 / 2
+
+
+def test_a_batch_of_a_stream_counts_once(spark, lake):
+    place, one = lake.raw_place(ITEMS), frame(spark, [(1, "2024-01-05", "a", 1)])
+    assert upsert(lake, one, ITEMS, instant(T1), batch=("s", 0)) == 1
+    version = commits.last_version(place)
+    assert upsert(lake, one.withColumn("v", F.lit("again")), ITEMS, instant(T1), batch=("s", 0)) == 0
+    assert commits.last_version(place) == version and content(lake, ITEMS, "k", "v") == [(1, "a")]
+    # other batches and other streams are taken
+    assert upsert(lake, one.withColumn("v", F.lit("b")), ITEMS, instant(T1), batch=("s", 1)) == 1
+    assert upsert(lake, one.withColumn("v", F.lit("c")), ITEMS, instant(T1), batch=("t", 0)) == 1
+    assert content(lake, ITEMS, "k", "v") == [(1, "c")]
+
+
 def test_overwrite_mode_is_restored(spark, lake):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)

@@ -4,9 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from medallion.contracts import EVENTS, ORDERS, PRODUCTS, USERS
+from medallion.functions.times import instant
+from medallion.operators import commit as commits
+from medallion.operators.merge import upsert
 from medallion.operators.quality import QualityError
 from medallion.plans import control
 from medallion.plans.runs import run_full, run_incremental
+from medallion.plans.warehouse import build_analytics, build_staging
 from medallion.sources.relational import extract_orders
 from medallion.streaming.upserts import read_landed, run_to_end, stream_upserts
 from tests.conftest import rows
@@ -178,6 +182,18 @@ def test_stream_of_landed_files(spark, make_lake, folder):
     assert run() == [(1, 1.5), (2, 2.75), (3, 3.0)]
     assert run() == [(1, 1.5), (2, 2.75), (3, 3.0)]
 
+    # the driver is lost after the last batch was merged and before the checkpoint says so: it counts once
+    place = lake.raw_place(EVENTS)
+    before, files = commits.last_version(place), place.files
+    upsert(lake, spark.createDataFrame([(1, 9.0)], "event_id bigint, value double"), EVENTS, instant(RUN))
+    for name in files.names(f"{checkpoint}/commits"):
+        if name.lstrip(".").startswith("2"):
+            files.delete(f"{checkpoint}/commits/{name}")
+    assert run() == [(1, 9.0), (2, 2.75), (3, 3.0)] and commits.last_version(place) == before + 1
+    # a stream with another checkpoint begins anew
+    checkpoint = f"{folder}/other"
+    assert run() == [(1, 1.5), (2, 2.75), (3, 3.0)]
+
 
 def test_a_source_that_is_down_leaves_a_failure_row(spark, lake):
     def down(*_):
@@ -212,3 +228,69 @@ def test_orders_are_sorted_by_day_in_the_files(spark, lake):
         for path in lake.spark.table(lake.name(layer, table)).inputFiles():
             found = [r[0] for r in spark.read.parquet(path).select("order_date").collect()]
             assert found == sorted(found)
+
+
+def spread(spark, count, first=1, **changes):
+    """Orders of four months, one in ten without a date."""
+    days = orders(spark, first + count - 1).where(F.col("id") >= first).withColumn("created_at", F.expr(
+        "IF(id % 10 = 0, NULL, timestamp'2024-01-01 00:00:00' + make_dt_interval(CAST(id * 7 % 120 AS int)))"))
+    return days.withColumns({c: F.expr(v) for c, v in changes.items()})
+
+
+LAYERS = [("staging", t) for t in ("stg_orders", "stg_users", "stg_products")] + [
+    ("analytics", t) for t in ("fact_orders", "agg_daily_sales", "dim_customers", "dim_products")]
+
+
+def build(lake, full=False):
+    build_staging(lake, full)
+    build_analytics(lake, full)
+    return {t: rows(lake.table(layer, t)) for layer, t in LAYERS}
+
+
+def test_builds_touch_only_what_has_changed(spark, make_lake):
+    """Hourly increments against full builds of the same raw tables."""
+    lake = make_lake(entities={e.name: e for e in (ORDERS, USERS, PRODUCTS)}, bucket_rows=10)
+    run_incremental(lake, {"orders": lambda _: spread(spark, 300), "users": lambda _: users(spark, 30),
+                           "products": lambda _: products(spark, 9)}, "r", RUN)
+    build(lake)
+    places = {t: lake.place(layer, t) for layer, t in LAYERS}
+
+    def versions():
+        return {t: commits.last_version(p) for t, p in places.items()}
+
+    def where(table):
+        return {path.rsplit("/", 1)[1]: path for path in commits.locations(places[table])}
+
+    before, at = versions(), {t: where(t) for t in ("stg_orders", "fact_orders")}
+    known = build(lake)
+    assert versions() == before  # nothing has changed, nothing is written
+
+    run_incremental(lake, {"orders": lambda _: spread(spark, 3, 7, total="5.25", user_id="99").where("id = 7")}, "h", NEXT)
+    found, after = build(lake), versions()
+    month = F.date_format(F.expr("timestamp'2024-01-01' + make_dt_interval(49)"), "yyyy-MM")
+    touched = {f"_part={spark.range(1).select(month).first()[0]}"}
+    for table in ("stg_orders", "fact_orders"):
+        now = where(table)
+        assert {p for p in now if now[p] != at[table].get(p)} == touched and now.keys() == at[table].keys()
+    assert {t for t in after if after[t] != before[t]} == {"stg_orders", "fact_orders", "agg_daily_sales"}
+    assert found["agg_daily_sales"] != known["agg_daily_sales"] and build(lake, full=True) == found
+
+    # orders that move to other months and lose their date, a month that empties, buckets that are split
+    moves = [{"orders": lambda _: spread(spark, 40, 20, created_at="timestamp'2025-03-04 05:06:07'")},
+             {"orders": lambda _: spread(spark, 20, 40, created_at="CAST(NULL AS timestamp)"), "users": lambda _: users(spark, 90)},
+             {"users": lambda _: users(spark, 2).withColumn("email", F.lit("new@x.org")), "products": lambda _: products(spark, 40)}]
+    for n, sources in enumerate(moves):
+        run_incremental(lake, sources, f"h{n}", NEXT)
+        found = build(lake)
+        assert build(lake, full=True) == found
+    assert lake.bucket_count(USERS) == 16 and count(lake, "staging", "stg_users") == 90
+
+
+def test_a_build_that_missed_the_history_is_a_full_one(spark, lake, monkeypatch):
+    monkeypatch.setattr(commits, "HISTORY", 2)
+    run_incremental(lake, {"orders": lambda _: spread(spark, 40)}, "r", RUN)
+    build(lake)
+    for n in range(4):
+        run_incremental(lake, {"orders": lambda _: spread(spark, 1, 50 + n)}, f"h{n}", NEXT)
+    found = build(lake)
+    assert build(lake, full=True) == found and count(lake, "analytics", "fact_orders") == 44
