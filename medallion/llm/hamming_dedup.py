@@ -10,7 +10,10 @@ Keys of many documents are never expanded into pairs:
 
 1. documents with the same shingle set are one class, of which the smallest id stands for all;
 2. for each key, its smallest class (the hub) is compared with the others; most groups are one component now;
-3. only keys whose classes still lie in several components go on, without their hubs.  Their members are cut into
+3. in keys whose classes still lie in several components, up to ``HUBS`` components send a hub each, which is compared
+   with the members of the other components; that is done ``TURNS`` times and costs a constant number of pairs for
+   each member;
+4. only keys whose classes still lie in several components go on, without their hubs.  Their members are cut into
    blocks by set size and hash; a block meets those blocks whose sizes allow a similarity of 0.75, and a pair
    leaves the task only if its components differ, this is the first key it shares, and its bottom-k sketches
    (the whole sets, where those are small) allow 0.75.
@@ -44,7 +47,9 @@ FAR = int(SYMBOLS / 4 + 5 * (SYMBOLS * 3 / 16) ** 0.5 + 1)
 SKETCH = 256
 # Rows of 64 bits in the table that turns texts away.
 FILTER_WORDS = 1 << 17
-# Members of a block in step 3, which bounds a task's memory and leaves no pair out.
+# Rounds of further hubs, and hubs of a key in each.
+TURNS, HUBS = 2, 8
+# Members of a block in step 4, which bounds a task's memory and leaves no pair out.
 BLOCK = 512
 SEED = 20240601
 
@@ -159,8 +164,33 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return seen.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
+def _hopeful(pairs: DataFrame, stands: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` once each, without those whose sizes or signatures say that they are no links; stored."""
+    pairs = pairs.distinct()
+    for x in "ab":
+        pairs = pairs.join(stands.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("signature").alias(f"s{x}")), x)
+    pairs = pairs.where("100 * least(na, nb) >= 75 * greatest(na, nb)").select("a", "b", "sa", "sb")
+    return stored(arrow_map(pairs, _near, "a long, b long").distinct())
+
+
+def _more_hubs(rest: DataFrame, stands: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of further hubs of open keys (``key, place, id, component``) with the members of other components, and
+    the members left.
+
+    Each component of a key sends one member, by a hash; at most ``HUBS`` of those are hubs.  A hub meets all
+    members of other components, so it need not be met again.
+    """
+    draw = F.xxhash64("id", "key", F.lit(turn))
+    sent = rest.groupBy("key", "component").agg(F.min_by("id", draw).alias("id"))
+    hubs = sent.groupBy("key", F.pmod(draw, F.lit(HUBS)).alias("slot")).agg(F.min_by(F.struct("id", "component"), draw).alias("hub"))
+    hubs = stored(hubs.select("key", F.col("hub.id").alias("hub"), F.col("hub.component").alias("of")))
+    pairs = rest.join(hubs, "key").where("component != of").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+    left = rest.select("key", "place", "id").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
+    return _hopeful(pairs, stands), stored(left)
+
+
 def _blocks(keys: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of step 3.  keys: ``key, place, id``; found: ``id, n_shingles, signature, component, bottom``."""
+    """Pairs of step 4.  keys: ``key, place, id``; found: ``id, n_shingles, signature, component, bottom``."""
     rows = keys.join(found, "id")
     # Blocks follow set size: classes (by powers of 4/3) cut by a hash, so that a hot key is many small blocks.
     rows = rows.withColumn("band", F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(4 / 3))).cast("int"))
@@ -246,20 +276,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     hubs = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
     shared = stored(keys.join(hubs, "key"))
 
-    pairs = shared.where("a != id").select("a", F.col("id").alias("b")).distinct()
-    for x in "ab":
-        pairs = pairs.join(stands.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("signature").alias(f"s{x}")), x)
-    pairs = pairs.where("100 * least(na, nb) >= 75 * greatest(na, nb)").select("a", "b", "sa", "sb")
-    pairs = stored(arrow_map(pairs, _near, "a long, b long").distinct())
-    star_links = stored(_confirm(docs, pairs))
+    star_links = stored(_confirm(docs, _hopeful(shared.where("a != id").select("a", F.col("id").alias("b")), stands)))
     parts = components(star_links)
 
-    found = stored(stands.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")))
     # A hub has met all others of its key, so keys of two are done.
-    rest = shared.where("n > 2 and id != a").select("key", "place", "id")
-    open_keys = (rest.join(found.select("id", "component"), "id").groupBy("key")
-                 .agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key"))
-    rest = stored(rest.join(open_keys, "key", "left_semi").distinct())
+    rest = shared.where("n > 2 and id != a").select("key", "place", "id").distinct()
+    for turn in range(TURNS + 1):
+        found = stored(stands.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")))
+        rest = rest.join(found.select("id", "component"), "id")
+        open_keys = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
+        rest = stored(rest.join(open_keys, "key", "left_semi"))
+        if turn == TURNS or rest.isEmpty():
+            break
+        more, rest = _more_hubs(rest, stands, turn)
+        star_links = stored(star_links.union(_confirm(docs, more)).distinct())
+        parts = components(star_links)
+    rest = rest.select("key", "place", "id")
     bottoms = arrow_map(_texts_of(docs, rest.select(F.col("id").alias("doc_id"))), _bottom, "id long, bottom binary")
     links = star_links.union(_confirm(docs, stored(_blocks(rest, found.join(bottoms, "id")))))
     several = member.groupBy("doc_id").agg(F.min("id").alias("a"), F.count_distinct("mark").alias("n")).where("n > 1")
