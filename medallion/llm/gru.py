@@ -208,7 +208,7 @@ def score(p: dict, symbols: np.ndarray, sizes: np.ndarray, n_lanes: int = 256, w
     return np.add.reduceat(found, np.cumsum(sizes) - sizes)
 
 
-def train(p: dict, symbols: np.ndarray, sizes: np.ndarray, n_lanes: int = 64, window: int = 32, rate: float = 0.01) -> dict:
+def train(p: dict, symbols: np.ndarray, sizes: np.ndarray, n_lanes: int = 256, window: int = 32, rate: float = 0.01) -> dict:
     """One pass of truncated backpropagation with Adam over the documents; returns new weights."""
     inputs, targets, fresh = stream(symbols, sizes)
     laid = Lanes(sizes, n_lanes)

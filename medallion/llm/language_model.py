@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from medallion.llm.registry import query
 FREQUENT = 1 << 19
 SLOT_BITS = 21
 # Rounds that the training documents are dealt over; tokens a trainer takes, on average at most.
-ROUNDS, TRAINER_TOKENS = 2, 1_000_000
+ROUNDS, TRAINER_TOKENS = 2, 2_000_000
 # Groups in which a round's weights are averaged, at least; the square root of the trainers if they are more.
 MERGERS = 32
 
@@ -86,6 +87,16 @@ class Lexicon:
         return np.where(head, at + 1, gru.HEAD + tails.astype(np.int64))
 
 
+def in_order(symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents in the order of their content, which does not depend on the order they came in."""
+    counts = sizes - 1  # the end of a document is no symbol
+    ends = np.cumsum(counts)
+    order = sorted(range(len(sizes)), key=lambda i: (zlib.crc32(symbols[ends[i] - counts[i]:ends[i]].tobytes()), counts[i]))
+    first, counts = (ends - counts)[order], counts[order]
+    place = np.arange(int(counts.sum())) + np.repeat(first - (np.cumsum(counts) - counts), counts)
+    return symbols[place], sizes[order]
+
+
 def learn(docs: DataFrame, lexicon: Lexicon, params: dict, tokens: int) -> dict:
     """Rounds of trainers over all of ``docs``; ``tokens`` of their texts set how many trainers there are."""
     spark = docs.sparkSession
@@ -105,18 +116,22 @@ def learn(docs: DataFrame, lexicon: Lexicon, params: dict, tokens: int) -> dict:
                     sizes.append(n + 1)
             if sizes:
                 sizes = np.concatenate(sizes)
-                got = gru.train(params, np.concatenate(symbols), sizes)
+                got = gru.train(params, *in_order(np.concatenate(symbols), sizes))
                 yield pa.record_batch({"weights": pa.array([gru.pack(got)], pa.binary()), "tokens": pa.array([int(sizes.sum())])})
 
         def merge(group: pa.Table) -> pa.Table:
-            n = group.column("tokens").to_numpy().astype(float)
-            held = sum(w * np.frombuffer(x.as_py(), np.float32) for w, x in zip(n / n.sum(), group.column("weights"), strict=True))
+            rows = sorted(zip(group.column("tokens").to_pylist(), group.column("weights").to_pylist(), strict=True))
+            n = np.array([t for t, _ in rows], float)
+            held = sum(w * np.frombuffer(x, np.float32) for w, (_, x) in zip(n / n.sum(), rows, strict=True))
             return pa.table({"weights": pa.array([held.astype(np.float32).tobytes()], pa.binary()), "tokens": pa.array([int(n.sum())])})
 
         kind = "weights binary, tokens long"
         got = docs.where(key == turn).select("text").repartition(trainers).mapInArrow(work, kind)
         got = got.withColumn("m", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.lit(mergers)))
-        rows = got.groupBy("m").applyInArrow(merge, kind).collect()  # a row for each merger at most
+        got = got.groupBy("m").applyInArrow(merge, kind)
+        if mergers > MERGERS:  # many trainers: the driver gets MERGERS rows, however many there are
+            got = got.withColumn("m", F.pmod(F.xxhash64("weights"), F.lit(MERGERS))).groupBy("m").applyInArrow(merge, kind)
+        rows = got.collect()
         if rows:
             total = sum(r["tokens"] for r in rows)
             flat = sum(np.frombuffer(r["weights"], np.float32) * (r["tokens"] / total) for r in sorted(rows, key=lambda r: (r["tokens"], r["weights"])))
