@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm.common import (CONTINUES, GOLDEN, SPACE, U, arrow_map, crc_mod, flags, gram_hashes, mix, span_hashes, spans,
-                                  table, text_runs)
+                                  stored, table, text_runs)
 from medallion.llm.registry import query
 
 # Bound of the labelled sample that the field is fitted on (documents, chosen by a hash of their id).
@@ -190,7 +190,8 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
         yield pa.record_batch({"weights": pa.array([found.tobytes()], pa.binary())})
 
     held = arrow_map(texts, lines, "doc_id long, lines binary, truth binary")
-    rows = held.coalesce(1).mapInArrow(learn, "weights binary").collect()  # one task, the bounded sample
+    # scan and features are work of all tasks; one task learns from the bounded sample that they have written
+    rows = stored(held).coalesce(1).mapInArrow(learn, "weights binary").collect()
     return np.frombuffer(rows[0][0]) if rows else np.zeros(N_FEATURES + 4)
 
 

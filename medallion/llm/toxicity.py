@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm.common import CONTINUES, LOWER, U, arrow_map, crc_mod, flags, mix, span_hashes, spans, table, text_runs
+from medallion.llm.common import CONTINUES, LOWER, U, arrow_map, crc_mod, flags, mix, span_hashes, spans, stored, table, text_runs
 from medallion.llm.registry import query
 
 BUCKET_BITS = 21
@@ -139,8 +139,8 @@ def train(docs: DataFrame, labels: DataFrame) -> np.ndarray:
         found = fit(np.array([marks[i] for i in order]), [held[i] for i in order])
         yield pa.record_batch({"weights": pa.array([found.astype(np.float32).tobytes()], pa.binary())})
 
-    # one task learns from the bounded sample
-    row = bags.coalesce(1).mapInArrow(learn, "weights binary").collect()
+    # scan and features are work of all tasks; one task learns from the bounded sample that they have written
+    row = stored(bags).coalesce(1).mapInArrow(learn, "weights binary").collect()
     return np.frombuffer(row[0][0], np.float32) if row else fit(np.zeros(0), []).astype(np.float32)
 
 
@@ -185,9 +185,17 @@ def learn_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows of ``docs`` not predicted toxic, with all their columns; an id goes if any row of it is toxic."""
-    bad = learn_and_score(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("_bad"), "left_anti")
+    """Rows of ``docs`` not predicted toxic, with all their columns; an id goes if any row of it is toxic.
+
+    Rows without an id are judged by their text.
+    """
+    weights = train(docs, labels.where(crc_mod(F.col("doc_id"), 5) != 0))
+    bad = score(docs, weights).where("score >= 0.5 and doc_id is not null").select(F.col("doc_id").alias("_bad")).distinct()
+    named = docs.where("doc_id is not null").join(bad, F.col("doc_id").cast("long") == F.col("_bad"), "left_anti")
+    unnamed = docs.where("doc_id is null").select("text").distinct()
+    held = F.xxhash64("text")  # the score's id is its text's hash here
+    clean = score(unnamed.withColumn("doc_id", held), weights).where("score < 0.5").select(F.col("doc_id").alias("_clean")).distinct()
+    return named.unionByName(docs.where("doc_id is null").join(clean, held == F.col("_clean"), "left_semi"))
 
 
 @query()
