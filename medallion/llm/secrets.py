@@ -171,7 +171,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str | None =
     share = MAX_TRAIN / max(total, MAX_TRAIN)
     chosen = labels.where(F.pmod(F.xxhash64("finding"), F.lit(1_000_000)) < round(share * 1_000_000))
     weight = F.when(F.col("label") == 1, total / kinds[1.0]).otherwise(total / kinds[0.0])
-    fitted = stored(found.join(chosen, "finding").withColumn("weight", weight).coalesce(4).sort("doc_id", "line", "column"))
+    fitted = stored(found.join(chosen, "finding").withColumn("weight", weight).repartition(4).sort("doc_id", "line", "column"))
     if fitted.select("label").distinct().count() < 2:
         fitted = stored(found.join(labels, "finding").withColumn("weight", weight))
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
@@ -186,14 +186,20 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str | None =
 
 
 def redact(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``docs`` with every secret replaced by a mask, its columns and rows unchanged otherwise; ``n_chars`` follows."""
-    values = scan(docs, path=path).where("is_secret").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("value").alias("_values"))
-    longest_first = F.array_sort("_values", lambda a, b: F.length(b) - F.length(a))
+    """``docs`` with every secret replaced by a mask, its columns and rows unchanged otherwise; ``n_chars`` follows.
+
+    Rows without an id are known by a hash of their text.
+    """
+    key, own, held = "_medallion_key", "_medallion_id", "_medallion_values"
+    keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    found = scan(keyed.withColumn("doc_id", F.col(key)), path=path)
+    values = found.where("is_secret").groupBy(F.col("doc_id").alias(own)).agg(F.collect_set("value").alias(held))
+    longest_first = F.array_sort(held, lambda a, b: F.length(b) - F.length(a))
     clean = F.aggregate(longest_first, F.col("text"), lambda text, value: F.replace(text, value, F.lit(MASK)))
-    joined = docs.join(values, docs.doc_id == values._id, "left")
-    fixed = joined.withColumn("text", F.when(F.col("_values").isNull(), F.col("text")).otherwise(clean))
+    joined = keyed.join(values, F.col(key) == F.col(own), "left")
+    fixed = joined.withColumn("text", F.when(F.col(held).isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:
-        fixed = fixed.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+        fixed = fixed.withColumn("n_chars", F.when(F.col(held).isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return fixed.select(docs.columns)
 
 

@@ -271,3 +271,12 @@ def test_secrets_of_odd_and_no_rows(spark):
 def test_native_plans_run_no_python(spark):
     for df in (quotation.op2_quotation_linking(spark, SF), winnowing.op5_winnowing(spark, SF), secrets.op6_secret_scan(spark, SF)):
         assert not regex.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_rows_without_an_id_are_masked_and_columns_do_not_clash(spark):
+    secret = "AKIA" + "ABCD1234EFGH5678"
+    data = [(1, f"key {secret} here"), (None, f"key {secret} here"), (None, "nothing to see here"), (None, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("_values", "_id", "value", "finding")})
+    found = secrets.redact(docs).collect()
+    assert len(found) == 4 and [r["text"] for r in found if r["text"] and secret in r["text"]] == []
+    assert sum(secrets.MASK in (r["text"] or "") for r in found) == 2 and {r["_values"] for r in found} == {"x"}

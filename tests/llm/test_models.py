@@ -55,6 +55,16 @@ def test_offending_sentences_are_located(spark):
     assert toxicity.drop_toxic(docs, labels).count() == 160
 
 
+def test_toxic_rows_without_an_id_go(spark):
+    clean = ["a quiet line about rice. another one on tea! more on bread", "rice and tea. bread? milk and honey"]
+    docs = docs_of(spark, [clean[i % 2] if i % 3 else clean[i % 2] + ". You IDIOT fool now. end of it" for i in range(240)])
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    unnamed = docs.where("doc_id < 6").withColumn("doc_id", F.lit(None).cast("long"))
+    found = toxicity.drop_toxic(docs.unionByName(unnamed).unionByName(unnamed.withColumn("text", F.lit(None).cast("string"))), labels)
+    assert found.where("doc_id is null and text is not null").count() == 4 and found.where("doc_id is not null").count() == 160
+    assert found.where("text like '%IDIOT%'").count() == 0
+
+
 def test_toxicity_of_odd_rows_and_without_labels(spark):
     docs = odd_docs(spark)
     labels = spark.createDataFrame([(0, 1), (3, None), (None, 1), (4, 0), (4, 1)], "doc_id long, toxic int")
@@ -238,3 +248,13 @@ def test_language_model_without_rows(spark):
     row = language_model.score_documents(only_held).first()
     assert (row["train_tokens"], row["n_known"], row["n_tokens"], row["base_score"]) == (0, 0, 3, 0.0) and math.isfinite(row["score"])
     assert SF
+
+
+def test_documents_are_learned_in_the_order_of_their_content():
+    draw = np.random.default_rng(2)
+    docs = [draw.integers(0, 300, n) for n in (0, 5, 3, 0, 9, 1, 5)]
+    flat = lambda held: (np.concatenate(held), np.array([len(d) + 1 for d in held]))
+    symbols, sizes = language_model.in_order(*flat(docs))
+    again = language_model.in_order(*flat([docs[i] for i in draw.permutation(len(docs))]))
+    assert np.array_equal(symbols, again[0]) and np.array_equal(sizes, again[1])
+    assert Counter(tuple(x) for x in np.split(symbols, np.cumsum(sizes - 1)[:-1])) == Counter(map(tuple, docs))
