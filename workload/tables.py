@@ -16,6 +16,7 @@ from medallion.operators.merge import insert_if_absent as add_absent
 from medallion.operators.merge import upsert
 from medallion.plans import control, entities
 from medallion.plans.runs import run_full, run_incremental
+from medallion.plans.warehouse import build_analytics, build_staging
 from medallion.sources.pages import stamp
 from medallion.sources.relational import changed_after, extract_orders
 from medallion.streaming.upserts import read_landed, run_to_end, stream_upserts
@@ -294,6 +295,56 @@ def empty_increment(spark: SparkSession, sf: str) -> DataFrame:
         "product_id", "_loaded_at", mark.alias("mark"))
 
 
+@query(f"WITH {ORDERS_SQL} {DAILY} FROM orders_clean GROUP BY 1")
+def incremental_build_e2e(spark: SparkSession, sf: str) -> DataFrame:
+    """Two increments, each followed by a build that follows the history of the raw orders."""
+    lake = new_lake(spark, entities={e.name: e for e in (ORDERS, USERS, PRODUCTS)})
+    source = orders_source(spark, sf)
+    until = F.lit(LATE.isoformat()).cast("timestamp_ntz")
+    for n, rows in enumerate((source.where(F.col("updated_at") <= until), source)):
+        run_incremental(lake, {"orders": lambda mark, rows=rows: extract_orders(rows, mark)}, f"inc_{n}", RUN_1)
+        build_staging(lake)
+        build_analytics(lake)
+    return lake.table("analytics", "agg_daily_sales")
+
+
+@query(f"""WITH {ORDERS_SQL} SELECT order_id, user_id, products_json, total, discounted_total, order_date, updated_at,
+    sk_order FROM orders_clean""")
+def incremental_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts of all orders after the orders of one day have been corrected and corrected back, each with a build."""
+    lake = new_lake(spark, entities={e.name: e for e in (ORDERS, USERS, PRODUCTS)})
+    clean = entities.transform_orders(orders_source(spark, sf), RUN_1)
+    one_day = clean.where(F.to_date("order_date") == F.lit(LATE.date()))
+    for rows in (clean, one_day.withColumn("total", F.col("total") + 1), one_day):
+        upsert(lake, rows, ORDERS, instant(RUN_1))
+        build_staging(lake)
+        build_analytics(lake)
+    return lake.table("analytics", "fact_orders").select(
+        "order_id", "user_id", "products_json", "total", "discounted_total", "order_date", "updated_at", "sk_order")
+
+
+@query(f"""WITH {USERS_SQL} SELECT user_id, email, full_name, phone_masked, sk_user,
+    CASE WHEN user_id % 5 < 2 THEN {T2} ELSE {T1} END AS _loaded_at FROM users_clean""")
+def grow_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Users that come in two waves to a table with small buckets: those of the first are split as the second comes."""
+    lake = new_lake(spark, entities={"users": USERS}, bucket_rows=400)
+    clean = entities.transform_users(users_source(spark, sf), RUN_1)
+    upsert(lake, clean.where("pmod(user_id, 5) >= 2"), USERS, instant(RUN_1))
+    upsert(lake, clean.where("pmod(user_id, 5) < 2"), USERS, instant(RUN_2))
+    return lake.table("raw", USERS.table).select("user_id", "email", "full_name", "phone_masked", "sk_user", "_loaded_at")
+
+
+@query("""SELECT event_id, ts, user_id, event_type, value FROM events""")
+def repeated_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch of a stream that comes again, with other values, after its commit: it counts once."""
+    lake = new_lake(spark, entities={"events": EVENTS})
+    events = table(spark, sf, "events")
+    typed = events.withColumn("ts", to_utc(F.col("ts"), events.schema["ts"].dataType))
+    upsert(lake, typed, EVENTS, instant(RUN_1), batch=("events", 0))
+    upsert(lake, typed.withColumn("value", F.lit(-1.0)), EVENTS, instant(RUN_2), batch=("events", 0))
+    return lake.table("raw", EVENTS.table).select("event_id", "ts", "user_id", "event_type", "value")
+
+
 # --- stream ----------------------------------------------------------------
 
 
