@@ -48,7 +48,7 @@ SKETCH = 256
 # Rows of 64 bits in the table that turns texts away.
 FILTER_WORDS = 1 << 17
 # Rounds of further hubs, and hubs of a key in each.
-TURNS, HUBS = 2, 8
+TURNS, HUBS = 1, 16
 # Members of a block in step 4, which bounds a task's memory and leaves no pair out.
 BLOCK = 512
 SEED = 20240601
