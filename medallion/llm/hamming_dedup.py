@@ -48,7 +48,7 @@ SKETCH = 256
 # Rows of 64 bits in the table that turns texts away.
 FILTER_WORDS = 1 << 17
 # Rounds of further hubs, and hubs of a key in each.
-TURNS, HUBS = 1, 16
+TURNS, HUBS = 1, 8
 # Members of a block in step 4, which bounds a task's memory and leaves no pair out.
 BLOCK = 512
 SEED = 20240601
@@ -140,8 +140,8 @@ def _sets(batch: pa.RecordBatch) -> pa.Table:
 
 def _confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs ``a, b`` (stored) whose full sets have a similarity of 0.75 or more."""
-    sets = arrow_map(_texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))), _sets,
-                     "id long, shingles array<long>")
+    ids = pairs.select(F.col("a").alias("doc_id")).distinct().union(pairs.select(F.col("b").alias("doc_id")).distinct())
+    sets = arrow_map(_texts_of(docs, ids), _sets, "id long, shingles array<long>")
     sets = stored(sets)
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
@@ -180,9 +180,10 @@ def _more_hubs(rest: DataFrame, stands: DataFrame, turn: int) -> tuple[DataFrame
     Each component of a key sends one member, by a hash; at most ``HUBS`` of those are hubs.  A hub meets all
     members of other components, so it need not be met again.
     """
-    draw = F.xxhash64("id", "key", F.lit(turn))
+    # drawn alike for all keys, so that documents that share many keys meet the same hubs in them
+    draw, of = F.xxhash64("id", F.lit(turn)), F.xxhash64("component", F.lit(turn))
     sent = rest.groupBy("key", "component").agg(F.min_by("id", draw).alias("id"))
-    hubs = sent.groupBy("key", F.pmod(draw, F.lit(HUBS)).alias("slot")).agg(F.min_by(F.struct("id", "component"), draw).alias("hub"))
+    hubs = sent.groupBy("key", F.pmod(of, F.lit(HUBS)).alias("slot")).agg(F.min_by(F.struct("id", "component"), of).alias("hub"))
     hubs = stored(hubs.select("key", F.col("hub.id").alias("hub"), F.col("hub.component").alias("of")))
     pairs = rest.join(hubs, "key").where("component != of").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
     left = rest.select("key", "place", "id").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
