@@ -51,6 +51,6 @@ def test_stages_on_odd_rows_and_none(spark, folder):
 
 def test_every_operator_has_a_query(spark):
     names = registered.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([k for k in names if k.startswith(f"op{n}_")]) == 1
     assert hamming_dedup.op3_minhash_near_dedup.__name__ in names and "op10_mix_sources" in registered.oracle_sql()
