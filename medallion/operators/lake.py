@@ -32,6 +32,8 @@ NO_DATE = "none"
 BUCKETS, ROWS = "medallion.buckets", "medallion.rows"
 # Property of a table built from another one: the version of that one.
 BUILT_FROM = "medallion.built_from"
+# Column of the raw tables: a hash of a row's values, by which an upsert sees that a row has not changed.
+DIGEST = "_digest"
 
 
 @dataclass(frozen=True)
@@ -61,8 +63,8 @@ class Lake:
         return self.name("raw", entity.table)
 
     def table(self, layer: str, table: str) -> DataFrame:
-        """Rows of a table, without the partition column."""
-        return self.spark.table(self.name(layer, table)).drop(PART)
+        """Rows of a table, without the columns that are there for the layout."""
+        return self.spark.table(self.name(layer, table)).drop(PART, DIGEST)
 
     def place(self, layer: str, table: str) -> Place:
         name = self.name(layer, table)
@@ -116,7 +118,9 @@ class Lake:
                 f"LOCATION '{self.root}/{layer}'"
             )
         for entity in self.entities.values():
-            self._create(self.raw(entity), entity.columns, partitioned=True)
+            self._create(self.raw(entity), entity.columns | {DIGEST: "bigint"}, partitioned=True)
+            if DIGEST not in self.spark.table(self.raw(entity)).columns:  # rows written before have none
+                self.spark.sql(f"ALTER TABLE {self.raw(entity)} ADD COLUMNS ({DIGEST} bigint)")
         for table, columns in (("stg_orders", contracts.STG_ORDERS),
                                ("stg_users", contracts.STG_USERS),
                                ("stg_products", contracts.STG_PRODUCTS)):
@@ -184,6 +188,26 @@ def complete(df: DataFrame, columns: dict[str, str], defaults: dict[str, Column]
     return df.select(*[value(c, t) for c, t in columns.items()])
 
 
+def stamps(entity: Entity) -> list[str]:
+    """Columns that say when a row was handled, and nothing about the row."""
+    return [c for c, t in entity.columns.items() if c.startswith("_") and t == "timestamp"]
+
+
+def digest(entity: Entity) -> Column:
+    """64-bit hash of a row's values: all columns but keys and stamps.
+
+    Of two different rows of a key, one in 2**64 hashes alike.  Nulls are hashed as such: the hash function itself
+    passes over them, so that a value could move to the column beside it unseen.
+    """
+    left_out = {*entity.keys, *stamps(entity)}
+    parts = [F.lit(len(entity.columns))]
+    for name, dtype in entity.columns.items():
+        if name not in left_out:
+            nested = dtype.startswith(("array", "map", "struct", "variant"))
+            parts += [F.col(name).isNull(), F.to_json(F.struct(name)) if nested else F.col(name)]
+    return F.xxhash64(*parts)
+
+
 def laid_out(df: DataFrame, entity: Entity) -> DataFrame:
     """Rows of a partition together, sorted inside the files.
 
@@ -212,7 +236,7 @@ def replace(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column,
             rows, seen = write_step(rows, version.step("stage"))
             properties = {ROWS: seen["rows"], BUCKETS: lake.buckets_for(seen["rows"])}
             part = lake.part_of(entity, properties[BUCKETS])
-        rows = laid_out(rows.withColumn(PART, part), entity)
+        rows = laid_out(rows.withColumns({DIGEST: digest(entity), PART: part}), entity)
         seen = write_step(rows, version.data, gate_metrics(list(entity.gate)), partitioned=True)[1]
         if check:
             check(seen)

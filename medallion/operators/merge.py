@@ -4,8 +4,11 @@ Only the partitions that hold a changed row, before or after the change, are
 rewritten.  Steps of an upsert:
 
 1. stage   the source, counted and checked, so its lineage runs once
-2. hits    target rows with a source key: key, partition, unmentioned columns
-3. version the touched partitions as they shall be, which the table then
+2. hits    target rows with a source key: key, partition, unmentioned columns,
+           and whether the source changes anything in them
+3. fresh   the source without such rows, if there are any; where nothing is
+           left, the table stays as it is
+4. version the touched partitions as they shall be, which the table then
            switches to
 
 An upsert that was interrupted before the switch was recorded has changed
@@ -21,10 +24,11 @@ from pyspark.sql import types as T
 from medallion.contracts import Entity
 from medallion.operators.commit import PART, Version, commit, writing
 from medallion.operators.dedup import keep_first
-from medallion.operators.lake import BUCKETS, ROWS, Lake, complete, conform, laid_out, write_step
+from medallion.operators.lake import (BUCKETS, DIGEST, ROWS, Lake, complete, conform, digest, laid_out, stamps,
+                                      write_step)
 from medallion.operators.quality import gate_metrics
 
-MATCHED = "_matched"
+MATCHED, SAME, OLD_PART = "_matched", "_same", "_old_part"
 # Property of a table: the last merged batch of each stream.
 BATCH = "medallion.batch"
 
@@ -68,7 +72,7 @@ def _values(df: DataFrame) -> list[str]:
 
 
 def upsert(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column, check=None,
-           unique: bool = False, batch: tuple[str, int] | None = None) -> int:
+           unique: bool = False, batch: tuple[str, int] | None = None, restamp: bool = True) -> int:
     """Update matched rows, insert the others; returns the source row count.
 
     Columns the source does not have keep the target's value on update and
@@ -78,6 +82,11 @@ def upsert(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column, check=N
     ``batch``: the name of a stream and the number of its batch, which the
     commit records.  A batch that is not newer than the recorded one has been
     merged before: nothing is read or written, and the count is 0.
+
+    Source rows that change nothing are left out, so a repeated pull writes
+    nothing.  ``restamp``: other times of extraction or transform are changes
+    too.  Without it a row that differs in those alone keeps its old ones, and
+    a pull may overlap the one before, to catch what was committed late.
     """
     keys = list(entity.keys)
     with writing(lake.raw_place(entity)) as version:
@@ -95,8 +104,9 @@ def upsert(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column, check=N
             if lake.spark.table(lake.raw(entity)).isEmpty():
                 _load_first(lake, version, stage, entity, defaults, seen["rows"], seal)
             else:
-                touched, properties = prepare(lake, version, entity, stage, seen, defaults)
-                commit(version, touched, properties | seal)
+                touched, properties = prepare(lake, version, entity, stage, seen, defaults, restamp)
+                if touched or seal:
+                    commit(version, touched, properties | seal)
         return seen["rows"]
 
 
@@ -104,39 +114,67 @@ def _load_first(lake: Lake, version: Version, rows: DataFrame, entity: Entity, d
                 count: int, seal: dict[str, int]) -> None:
     """The first rows of a table; their number sets its buckets."""
     buckets = lake.buckets_for(count)
-    rows = complete(rows, entity.columns, defaults).withColumn(PART, lake.part_of(entity, buckets))
+    rows = complete(rows, entity.columns, defaults).withColumns({DIGEST: digest(entity), PART: lake.part_of(entity, buckets)})
     write_step(laid_out(rows, entity), version.data, partitioned=True)
     commit(version, properties=seal | ({} if entity.date_key else {ROWS: count, BUCKETS: buckets}))
 
 
-def _find_hits(lake: Lake, version: Version, entity: Entity, keyed: DataFrame, stats: dict,
-               columns: list[str]) -> DataFrame:
-    """Target rows with a source key.  Only the named columns are scanned;
-    whether the keys are broadcast or both sides shuffled is Spark's choice,
-    which knows the size of the stage from its files."""
-    keys = list(entity.keys)
-    target = lake.spark.table(lake.raw(entity)).where(_in_range(keys, stats, keyed.schema))
-    hits = target.select(*keys, F.col(PART).alias("_old_part"), *columns).join(keyed.select(*keys), keys, "left_semi")
-    hits, seen = write_step(hits, version.step("hits"))
-    return hits, seen["rows"]
+def _target(lake: Lake, entity: Entity, stage: DataFrame, stats: dict, *columns) -> DataFrame:
+    """Target rows in the range of the source keys.  Only the named columns are scanned."""
+    found = lake.spark.table(lake.raw(entity)).where(_in_range(list(entity.keys), stats, stage.schema))
+    return found.select(*entity.keys, F.col(PART).alias(OLD_PART), *columns)
+
+
+def _find_hits(lake: Lake, version: Version, entity: Entity, keyed: DataFrame, stats: dict, unmentioned: list[str],
+               restamp: bool) -> tuple[DataFrame, dict]:
+    """Target rows with a source key, and whether the source row changes nothing (``SAME``); their counts.
+
+    Whether the keys are broadcast or both sides shuffled is Spark's choice,
+    which knows the size of the stage from its files.  Of the values, only
+    their hash takes part, unless a value has to come from the target.
+    """
+    keys, new = list(entity.keys), "_new_digest"
+    times = [c for c in stamps(entity) if c in keyed.columns] if restamp else []
+    target = _target(lake, entity, keyed, stats, DIGEST, *unmentioned, *[F.col(c).alias(f"_old{c}") for c in times])
+    if set(unmentioned) <= set(stamps(entity)):
+        hits = target.join(keyed.select(*keys, digest(entity).alias(new), *times), keys)
+    else:
+        hits = target.join(keyed, keys).withColumn(new, digest(entity))
+    same = F.col(new).eqNullSafe(F.col(DIGEST))
+    for c in times:
+        same &= F.col(c).eqNullSafe(F.col(f"_old{c}"))
+    hits = hits.select(*keys, OLD_PART, *unmentioned, same.alias(SAME))
+    return write_step(hits, version.step("hits"), gate_metrics([]) + [F.count_if(SAME).alias("same")])
+
+
+def _without(stage: DataFrame, hits: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of a stage without a hit.  Null keys are kept out of the join, lest they gather in one task."""
+    left = stage.where(~null_key(keys)).join(hits.select(*keys), keys, "left_anti")
+    return left.unionByName(stage.where(null_key(keys)))
 
 
 def prepare(lake: Lake, version: Version, entity: Entity, stage: DataFrame, stats: dict,
-            defaults: dict[str, Column]) -> tuple[list[str], dict[str, int]]:
+            defaults: dict[str, Column], restamp: bool = True) -> tuple[list[str], dict[str, int]]:
     """Write the touched partitions as they shall be; returns their names, and the table's new properties.
 
-    Touched buckets that are larger than their share of the grown table are written as several.
+    Touched buckets that are larger than their share of the grown table are written as several.  Nothing is touched
+    and written where the source changes nothing.
     """
     spark, keys = lake.spark, list(entity.keys)
     table = spark.table(lake.raw(entity))
     unmentioned = [c for c in entity.columns if c not in stage.columns]
-    keyed = stage.where(~null_key(keys))
-    hits, matched = _find_hits(lake, version, entity, keyed, stats, unmentioned)
-    properties = lake.grown(entity, stats["rows"] - matched)
+    hits, found = _find_hits(lake, version, entity, stage.where(~null_key(keys)), stats, unmentioned, restamp)
+    if found["same"] == stats["rows"]:
+        return [], {}
+    properties = lake.grown(entity, stats["rows"] - found["rows"])
+    if found["same"]:
+        stage, _ = write_step(_without(stage, hits.where(SAME), keys), version.step("fresh"))
+        hits = hits.where(~F.col(SAME))
+    hits, keyed = hits.drop(SAME), stage.where(~null_key(keys))
     part = lake.part_of(entity, properties.get(BUCKETS))
 
     # Updates and inserts in one pass: what a source row has not and its hit has, the hit gives.
-    found = hits.drop("_old_part").withColumn(MATCHED, F.lit(True))
+    found = hits.drop(OLD_PART).withColumn(MATCHED, F.lit(True))
     changed = keyed.join(found, keys, "left").unionByName(stage.where(null_key(keys)), allowMissingColumns=True)
 
     def value(name: str, dtype: str) -> Column:
@@ -145,13 +183,13 @@ def prepare(lake: Lake, version: Version, entity: Entity, stage: DataFrame, stat
         default = defaults.get(name, F.lit(None)).cast(dtype)
         return F.when(F.col(MATCHED), F.col(name)).otherwise(default).alias(name)
 
-    changed = changed.select(*[value(c, t) for c, t in entity.columns.items()]).withColumn(PART, part)
+    changed = changed.select(*[value(c, t) for c, t in entity.columns.items()]).withColumns({DIGEST: digest(entity), PART: part})
 
     if entity.date_key:
         # The partitions of the changed rows follow from the source alone, unless
         # it does not mention the date that decides them.
         dated = changed if entity.date_key in unmentioned else stage.withColumn(PART, part)
-        touched = _values(hits.select("_old_part").union(dated.select(PART)))
+        touched = _values(hits.select(OLD_PART).union(dated.select(PART)))
     else:
         touched = lake.holders(stage, entity)
     before = table.where(F.col(PART).isin(touched))
@@ -188,9 +226,9 @@ def insert_if_absent(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Colum
             _load_first(lake, version, stage, entity, defaults, seen["rows"], {})
             return seen["rows"]
         keyed = stage.where(~null_key(keys))
-        hits, _ = _find_hits(lake, version, entity, keyed, seen, [])
-        new = keyed.join(hits.select(*keys).distinct(), keys, "left_anti")
-        new = complete(new.unionByName(stage.where(null_key(keys))), entity.columns, defaults)
+        hits = _target(lake, entity, keyed, seen).join(keyed.select(*keys), keys, "left_semi")
+        hits, _ = write_step(hits, version.step("hits"))
+        new = complete(_without(stage, hits, keys), entity.columns, defaults).withColumn(DIGEST, digest(entity))
         new, added = write_step(new, version.step("new"))
         properties = lake.grown(entity, added["rows"])
         part = lake.part_of(entity, properties.get(BUCKETS))

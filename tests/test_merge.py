@@ -12,7 +12,7 @@ from medallion.contracts import Entity
 from medallion.functions.times import instant
 from medallion.operators import commit as commits
 from medallion.operators import merge
-from medallion.operators.commit import TableBusyError, TableLostError, release, writing
+from medallion.operators.commit import Files, TableBusyError, TableLostError, release, writing
 from medallion.operators.lake import clustered, export_csv, rebuild, replace
 from medallion.operators.merge import DuplicateKeyError, insert_if_absent, recover, upsert
 from tests.conftest import rows
@@ -457,6 +457,86 @@ def test_a_batch_of_a_stream_counts_once(spark, lake):
     assert content(lake, ITEMS, "k", "v") == [(1, "c")]
 
 
+def versions(lake, entity=ITEMS):
+    return Files(lake.spark).names(lake.raw_place(entity).history)
+
+
+@pytest.mark.parametrize("entity", [ITEMS, PAIRS])
+def test_rows_that_do_not_change_are_not_written(spark, lake, entity):
+    data = [(1, "2024-01-05", "a", 1), (2, "2024-02-05", "b", None), (3, None, "c", 3)]
+    upsert(lake, frame(spark, data), entity, instant(T1))
+    before, held = versions(lake, entity), content(lake, entity)
+    assert upsert(lake, frame(spark, data), entity, instant(T2)) == 3
+    assert upsert(lake, frame(spark, [r[:3] for r in data], "k bigint, d string, v string"), entity, instant(T2)) == 3
+    assert versions(lake, entity) == before and content(lake, entity) == held
+    # one of the three changes, to null; one is new, one is as it was
+    assert upsert(lake, frame(spark, [(1, "2024-01-05", "a", None), data[1], (4, "2024-03-05", "d", 4)]), entity, instant(T2)) == 3
+    assert len(versions(lake, entity)) == len(before) + 1
+    assert content(lake, entity) == [(1, "2024-01", "a", None, 1), (2, "2024-02", "b", None, 1), (3, None, "c", 3, 1),
+                                     (4, "2024-03", "d", 4, 2)]
+
+
+def test_partitions_of_unchanged_rows_stay_where_they_are(spark, lake):
+    data = [(i, f"2024-{i:02d}-05", "a", i) for i in range(1, 10)]
+    upsert(lake, frame(spark, data), ITEMS, instant(T1))
+    files = lambda: dict(spark.table(lake.raw(ITEMS)).select("_part", "_metadata.file_path").collect())
+    before = files()
+    upsert(lake, frame(spark, [*data[:4], (5, "2024-06-05", "a", 5), *data[5:]]), ITEMS, instant(T2))
+    after = files()
+    assert {p for p in before if after.get(p) != before[p]} == {"2024-05", "2024-06"}
+
+
+def test_a_value_that_moves_to_the_next_column_is_a_change(spark, make_lake):
+    wide = with_changes(ITEMS, columns=ITEMS.columns | {"x": "string", "y": "array<string>"})
+    lake = make_lake(entities={"items": wide})
+    shape = "k bigint, d string, v string, w int, x string, y array<string>"
+    upsert(lake, frame(spark, [(1, "2024-01-05", "a", 1, None, ["p", None])], shape), wide, instant(T1))
+    for row in ((1, "2024-01-05", None, 1, "a", ["p", None]), (1, "2024-01-05", None, 1, "a", ["p"]),
+                (1, "2024-01-05", None, 1, "a", None)):
+        before = versions(lake, wide)
+        upsert(lake, frame(spark, [row], shape), wide, instant(T2))
+        assert len(versions(lake, wide)) == len(before) + 1
+        assert rows(lake.table("raw", wide.table).select("k", "v", "x", "y")) == [(1, None, "a", row[5])]
+
+
+def test_stamps_alone_are_changes_if_wanted(spark, make_lake):
+    stamped = with_changes(ITEMS, columns=ITEMS.columns | {"_extracted_at": "timestamp"})
+    lake = make_lake(entities={"items": stamped})
+
+    def pull(ts, restamp):
+        before = len(versions(lake, stamped))
+        upsert(lake, frame(spark, [(1, "2024-01-05", "a", 1)]).withColumn("_extracted_at", instant(ts)), stamped, instant(ts),
+               restamp=restamp)
+        return len(versions(lake, stamped)) - before, rows(lake.table("raw", stamped.table).select(F.dayofmonth("_extracted_at")))
+
+    assert [pull(T1, True), pull(T1, True), pull(T2, False), pull(T2, True), pull(T2, True)] == [
+        (1, [(1,)]), (0, [(1,)]), (0, [(1,)]), (1, [(2,)]), (0, [(2,)])]
+
+
+def test_a_batch_without_changes_is_still_counted(spark, lake):
+    data = [(1, "2024-01-05", "a", 1)]
+    upsert(lake, frame(spark, data), ITEMS, instant(T1), batch=("s", 0))
+    files = rows(spark.table(lake.raw(ITEMS)).select("_metadata.file_path"))
+    assert upsert(lake, frame(spark, data), ITEMS, instant(T1), batch=("s", 1)) == 1
+    assert upsert(lake, frame(spark, [(1, "2024-01-05", "b", 1)]), ITEMS, instant(T1), batch=("s", 1)) == 0
+    assert rows(spark.table(lake.raw(ITEMS)).select("_metadata.file_path")) == files
+
+
+def test_rows_from_before_the_digest_count_as_changed(spark, lake):
+    data = [(1, "2024-01-05", "a", 1), (2, "2024-01-06", "b", 2)]
+    upsert(lake, frame(spark, data), ITEMS, instant(T1))
+    path = spark.table(lake.raw(ITEMS)).select("_metadata.file_path").first()[0]
+    folder = path.rpartition("/")[0]
+    kept = spark.createDataFrame(spark.read.parquet(folder).drop("_digest").collect(), spark.read.parquet(folder).drop("_digest").schema)
+    kept.write.mode("overwrite").parquet(folder)
+    spark.catalog.refreshTable(lake.raw(ITEMS))
+    before = versions(lake)
+    upsert(lake, frame(spark, data), ITEMS, instant(T2))
+    upsert(lake, frame(spark, data), ITEMS, instant(T2))
+    assert len(versions(lake)) == len(before) + 1
+    assert content(lake) == [(1, "2024-01", "a", 1, 1), (2, "2024-01", "b", 2, 1)]
+
+
 def test_overwrite_mode_is_restored(spark, lake):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
@@ -547,7 +627,7 @@ def test_an_upsert_shuffles_and_writes_wide_rows_once(spark, lake, monkeypatch):
     _stage, hits, version = plans
     assert "BroadcastHashJoin" in hits and "SortMergeJoin" not in hits
     assert "GreaterThanOrEqual(k,2), LessThanOrEqual(k,2)" in hits
-    assert re.search(r"items_raw\[k#\d+L,_loaded_at#\d+,_part#\d+\]", hits)
+    assert re.search(r"items_raw\[k#\d+L,_loaded_at#\d+,_digest#\d+L,_part#\d+\]", hits)
     above = {line for line in ancestors(version, "items_raw[") if "Exchange" in line}
     assert len(above) == 1 and "REBALANCE" in above.pop()
 
