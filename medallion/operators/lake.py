@@ -34,6 +34,8 @@ BUCKETS, ROWS = "medallion.buckets", "medallion.rows"
 BUILT_FROM = "medallion.built_from"
 # Column of the raw tables: a hash of a row's values, by which an upsert sees that a row has not changed.
 DIGEST = "_digest"
+# Rows that the ranges of a Z-order are found in, and the bits of a column's rank.
+Z_SAMPLE, Z_BITS = 8192, 6
 
 
 @dataclass(frozen=True)
@@ -252,10 +254,11 @@ def rebuild(lake: Lake, df: DataFrame, layer: str, table: str, cluster_by: list[
 
     A query over a partitioned table passes the partition column on: its rows
     are then copied without a shuffle.  ``cluster_by`` sorts the rows into
-    disjoint ranges instead.
+    disjoint ranges of the column instead, or of several columns interleaved.
     """
     place = lake.place(layer, table)
-    df = clustered(df, cluster_by) if cluster_by else df
+    if cluster_by:
+        df = interleaved(df, cluster_by) if len(cluster_by) > 1 else clustered(df, cluster_by)
     columns = lake.spark.table(place.name).schema
     df = df.select(*[F.col(f.name).cast(f.dataType) for f in columns.fields])
     with writing(place, wait) as version:
@@ -294,6 +297,44 @@ def clustered(df: DataFrame, by: list[str]) -> DataFrame:
     return df.repartitionByRange(*by).sortWithinPartitions(*by)
 
 
+def range_rank(column: str, bounds: list) -> Column:
+    """How many of the sorted ``bounds`` a value is not below; 0 for nulls.  A tree of comparisons: their logarithm a row."""
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.col(column) < F.lit(bounds[middle]), between(low, middle)).otherwise(between(middle + 1, high))
+
+    return F.when(F.col(column).isNull(), F.lit(0)).otherwise(between(0, len(bounds)))
+
+
+def z_value(df: DataFrame, by: list[str], bits: int = Z_BITS) -> Column:
+    """Interleaved bits of the range ranks of several columns, so that rows alike in any of them lie near each other.
+
+    Each column is cut into ``2**bits`` ranges of about equal numbers of rows, found in the ``Z_SAMPLE`` rows of the
+    smallest hashes: a bounded sample, for the layout alone, and the same in every run.
+    """
+    sample = df.select(*by).orderBy(F.xxhash64(*by)).limit(Z_SAMPLE).collect()
+    z = F.lit(0).cast("bigint")
+    for i, column in enumerate(by):
+        values = sorted(r[column] for r in sample if r[column] is not None)
+        ranges = 1 << bits
+        bounds = sorted({values[len(values) * j // ranges] for j in range(1, ranges)}) if values else []
+        rank = range_rank(column, bounds).cast("bigint")
+        for bit in range(bits):
+            z += F.shiftleft(F.shiftright(rank, bit).bitwiseAND(F.lit(1)), bit * len(by) + len(by) - 1 - i)
+    return z
+
+
+def interleaved(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows in files by ranges of several columns at once (Z-order): a filter on any of them skips most row groups.
+
+    Ranges are cut by the columns themselves too, so that many rows of one cell fill several files.
+    """
+    cell = z_value(df, by)
+    return df.repartitionByRange(cell, *by).sortWithinPartitions(cell, *by)
+
+
 def export_csv(df: DataFrame, folder: str, name: str, run_ts: datetime) -> str:
     """One folder of CSV files with headers; nested values as JSON text."""
     nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)

@@ -164,12 +164,14 @@ def prepare(lake: Lake, version: Version, entity: Entity, stage: DataFrame, stat
     table = spark.table(lake.raw(entity))
     unmentioned = [c for c in entity.columns if c not in stage.columns]
     hits, found = _find_hits(lake, version, entity, stage.where(~null_key(keys)), stats, unmentioned, restamp)
-    if found["same"] == stats["rows"]:
-        return [], {}
-    properties = lake.grown(entity, stats["rows"] - found["rows"])
     if found["same"]:
-        stage, _ = write_step(_without(stage, hits.where(SAME), keys), version.step("fresh"))
-        hits = hits.where(~F.col(SAME))
+        # a key that several target rows have is unchanged if all of them are
+        same = hits.groupBy(*keys).agg(F.bool_and(SAME).alias(SAME)).where(SAME)
+        stage, left = write_step(_without(stage, same, keys), version.step("fresh"))
+        if not left["rows"]:
+            return [], {}
+        hits = hits.join(stage.select(*keys), keys, "left_semi")
+    properties = lake.grown(entity, stats["rows"] - found["rows"])
     hits, keyed = hits.drop(SAME), stage.where(~null_key(keys))
     part = lake.part_of(entity, properties.get(BUCKETS))
 

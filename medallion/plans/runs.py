@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -64,7 +64,7 @@ class Run:
 
 
 def load_entity(lake: Lake, entity: Entity, clean: DataFrame, run_ts: datetime,
-                full: bool, gated: bool) -> int:
+                full: bool, gated: bool, restamp: bool = True) -> int:
     """Products are replaced in a full run; everything else is merged."""
     required = list(entity.gate)
     if gated:
@@ -73,7 +73,7 @@ def load_entity(lake: Lake, entity: Entity, clean: DataFrame, run_ts: datetime,
     if full and entity.name == contracts.PRODUCTS.name:
         return replace(lake, clean, entity, instant(run_ts), check)
     # the transforms leave one row for each key
-    return upsert(lake, clean, entity, instant(run_ts), check, unique=True)
+    return upsert(lake, clean, entity, instant(run_ts), check, unique=True, restamp=restamp)
 
 
 def run_full(lake: Lake, sources: dict[str, DataFrame | Callable[[], DataFrame]], run_id: str,
@@ -100,22 +100,27 @@ def run_full(lake: Lake, sources: dict[str, DataFrame | Callable[[], DataFrame]]
 
 
 def run_incremental(lake: Lake, sources: dict[str, Callable[[datetime | None], DataFrame]],
-                    run_id: str, run_ts: datetime | None = None) -> dict[str, int]:
+                    run_id: str, run_ts: datetime | None = None, overlap: timedelta | None = None) -> dict[str, int]:
     """Pull what changed since each mark, merge it, then move the marks.
 
     The next mark is the maximum over the rows as extracted, observed while
     they pass by, so mark and load see the same rows.
+
+    ``overlap``: pull from this long before each mark, which catches rows that
+    were committed behind it later.  Rows that are known already and have not
+    changed are left alone, their times of transform and extraction too.
     """
     run_ts = run_ts or now_utc()
     run = Run(lake, run_id, INCREMENTAL, HOURLY_INCREMENTAL, run_ts)
 
     def load(name: str) -> tuple[int, datetime | None]:
         entity = contracts.ENTITIES[name]
-        raw = sources[name](control.get_watermark(lake, entity.watermark_name))
+        mark = control.get_watermark(lake, entity.watermark_name)
+        raw = sources[name](mark - overlap if mark and overlap else mark)
         seen = Observation()
         metrics = control.mark_metrics(raw, entity.marks) or [F.count(F.lit(1)).alias("rows")]
         clean = TRANSFORMS[name](raw.observe(seen, *metrics), run_ts)
-        rows = load_entity(lake, entity, clean, run_ts, full=False, gated=False)
+        rows = load_entity(lake, entity, clean, run_ts, full=False, gated=False, restamp=not overlap)
         return rows, control.pick_mark(seen.get, entity.marks)
 
     loaded = run.branches(list(sources), UPSERT, load)

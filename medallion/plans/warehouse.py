@@ -83,7 +83,7 @@ def build_analytics(lake: Lake, full: bool = False) -> None:
 
     for source, table, rows, cluster_by in (
         ("stg_users", "dim_customers", lambda _: dim_customers(stg("stg_users")), ["user_id"]),
-        ("stg_products", "dim_products", lambda _: dim_products(stg("stg_products")), ["product_id"]),
+        ("stg_products", "dim_products", lambda _: dim_products(stg("stg_products")), ["product_id", "category"]),
         ("stg_orders", "fact_orders", facts, None),
         ("stg_orders", "agg_daily_sales", lambda touched: sales_of(lake, touched), None),
     ):

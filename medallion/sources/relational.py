@@ -81,6 +81,35 @@ def jdbc_options(
     }
 
 
+def id_cuts(ids: DataFrame, parts: int, accuracy: int = 10_000) -> list[int]:
+    """At most ``parts - 1`` ids that cut the column ``id`` into parts of about equal numbers of rows.
+
+    A quantile sketch, merged from the tasks, gives them: even ranges of a sparse id space would leave most parts
+    empty and one with most rows.  A part is off by ``rows / accuracy``, and by the rows of one id.
+    """
+    if parts < 2:
+        return []
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    found = ids.agg(F.percentile_approx(F.col("id").cast("bigint"), shares, accuracy).alias("cuts")).first()["cuts"]
+    return sorted(set(found or []))
+
+
+def id_predicates(cuts: list[int]) -> list[str]:
+    """Conditions of which every row meets one: ranges that end with each cut, the last one with null ids."""
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"id > {a} AND id <= {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"id <= {cuts[0]}", *between, f"id > {cuts[-1]} OR id IS NULL"]
+
+
+def read_orders_split(spark: SparkSession, url: str, cuts: list[int], table: str = "orders",
+                      watermark: datetime | None = None, properties: dict[str, str] | None = None) -> DataFrame:
+    """Orders over JDBC, a task for each of the ranges of ``id_predicates``; the cuts may come from an earlier load."""
+    columns = ", ".join(ORDER_SOURCE_COLUMNS)
+    changed = f"(SELECT {columns} FROM {table}{_after(watermark)}) changed_orders"
+    return typed_times(spark.read.jdbc(url, changed, predicates=id_predicates(cuts), properties=properties or {}))
+
+
 def id_range_options(url: str, table: str = "orders", watermark: datetime | None = None) -> dict[str, str]:
     """Options of the small query that finds the range of ids to split the scan by."""
     return {"url": url, "query": f"SELECT MIN(id) AS low, MAX(id) AS high FROM {table}{_after(watermark)}"}

@@ -1,10 +1,12 @@
 import json
+import pathlib
 import random
 import re
 import time
 from dataclasses import replace as with_changes
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from medallion.functions.times import instant
 from medallion.operators import commit as commits
 from medallion.operators import merge
 from medallion.operators.commit import Files, TableBusyError, TableLostError, release, writing
-from medallion.operators.lake import clustered, export_csv, rebuild, replace
+from medallion.operators.lake import clustered, export_csv, interleaved, range_rank, rebuild, replace, z_value
 from medallion.operators.merge import DuplicateKeyError, insert_if_absent, recover, upsert
 from tests.conftest import rows
 
@@ -646,6 +648,49 @@ def test_clustered_files_have_disjoint_ranges(spark, folder):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
 
 
+def groups_with(folder, column, value):
+    """Row groups whose range holds a value, and all."""
+    hit = total = 0
+    for file in pathlib.Path(folder.removeprefix("file:")).glob("*.parquet"):
+        found = pq.ParquetFile(file)
+        at = found.schema_arrow.get_field_index(column)
+        for i in range(found.metadata.num_row_groups):
+            seen = found.metadata.row_group(i).column(at).statistics
+            hit, total = hit + (seen.min <= value <= seen.max), total + 1
+    return hit, total
+
+
+def test_a_filter_on_the_second_column_skips_row_groups(spark, folder):
+    """Ids and categories that have nothing to do with each other; a range of ids reads few row groups, and so does a category."""
+    df = spark.range(0, 64_000, 1, 8).select("id", F.concat(F.lit("category "), F.pmod(F.xxhash64("id"), F.lit(50)).cast("string")).alias("c"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        interleaved(df, ["id", "c"]).write.parquet(f"{folder}/z")
+        clustered(df, ["id", "c"]).write.parquet(f"{folder}/plain")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert rows(spark.read.parquet(f"{folder}/z").agg(F.count("*"), F.sum("id"))) == rows(df.agg(F.count("*"), F.sum("id")))
+    hit, total = groups_with(f"{folder}/plain", "c", "category 17")
+    assert hit == total
+    for column, value in (("id", 31_000), ("c", "category 17")):
+        hit, total = groups_with(f"{folder}/z", column, value)
+        assert total > 40 and hit <= total / 3
+
+
+def test_ranks_and_interleaving(spark):
+    bounds = [3, 5, 9]
+    df = spark.createDataFrame([(v,) for v in (None, -1, 3, 4, 5, 8, 9, 100)], "v int")
+    assert [r[0] for r in df.select(range_rank("v", bounds)).collect()] == [0, 0, 1, 1, 2, 2, 3, 3]
+    assert [r[0] for r in df.select(range_rank("v", [])).collect()] == [0] * 8
+    grid = spark.range(64).select((F.col("id") % 8).alias("x"), F.floor(F.col("id") / 8).alias("y"))
+    got = {(r["x"], r["y"]): r["z"] for r in grid.select("x", "y", z_value(grid, ["x", "y"], 3).alias("z")).collect()}
+    assert got == {(x, y): sum((x >> b & 1) << 2 * b + 1 | (y >> b & 1) << 2 * b for b in range(3)) for x in range(8) for y in range(8)}
+    assert interleaved(grid.limit(0), ["x", "y"]).count() == 0
+    assert interleaved(grid.select(F.lit(None).cast("string").alias("x"), F.lit(1).alias("y")), ["x", "y"]).count() == 64
+
+
 def test_rebuild_and_csv(spark, lake, folder):
     name = lake.name("analytics", "dim_customers")
     columns = spark.table(name).columns

@@ -134,3 +134,38 @@ def test_gate(spark):
     with pytest.raises(QualityError, match="email"):
         enforce({"rows": 3, "nulls_email": 2}, "users", ["email"])
     enforce({"rows": 3, "nulls_email": 0}, "users", ["email"])
+
+
+def sold(spark, seed, n=600):
+    rng = random.Random(seed)
+    data = [(i, rng.choice([None, -7, -1, 0, 5, 32_767, 32_768, 10**9, rng.randrange(40), rng.randrange(10**6)]),
+             rng.choice([None, "1.10", "2.25", "-3.00"]),
+             rng.choice([None, *[datetime(2024, rng.randint(1, 3), rng.randint(1, 28), 12) for _ in range(9)]]))
+            for i in range(n)]
+    df = spark.createDataFrame(data, "order_id bigint, user_id bigint, total string, order_date timestamp")
+    return df.withColumn("total", F.col("total").cast("decimal(10,2)"))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_states_of_days_give_the_sales_of_any_span(spark, seed):
+    orders = sold(spark, seed)
+    names = ["order_count", "total_revenue_usd", "avg_order_value_usd", "unique_customers"]
+    states = sales.day_states(orders)
+    by_day = sales.merged_sales(states, F.col("sale_date")).select("span", *names)
+    assert rows(by_day) == rows(sales.daily_sales(orders).select("sale_date", *names))
+    for unit in ("week", "month", "year"):
+        merged = sales.merged_sales(states, F.date_trunc(unit, "sale_date")).select(F.to_date("span"), *names)
+        whole = orders.withColumn("order_date", F.date_trunc(unit, "order_date"))
+        assert rows(merged) == rows(sales.daily_sales(whole).select("sale_date", *names))
+
+
+def test_states_of_days_of_no_orders_and_of_nameless_ones(spark):
+    none = sold(spark, 0).limit(0)
+    assert sales.merged_sales(sales.day_states(none), F.col("sale_date")).count() == 0
+    nameless = sold(spark, 0).where("user_id is null")
+    assert rows(sales.merged_sales(sales.day_states(nameless), F.lit(1)).select("unique_customers")) == [(0,)]
+
+
+def test_states_are_built_before_the_shuffle(spark):
+    plan = plan_of(sales.day_states(sold(spark, 0)))
+    assert "partial_bitmap_construct_agg" in plan and plan.count("Exchange") == 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from medallion.contracts import ORDER_SOURCE_COLUMNS
 from medallion.plans.entities import transform_products, transform_users
 from medallion.sources import pages, relational
+from medallion.sources.paged import pages_of, record_count
 from medallion.sources.generator import generate_orders
 from tests.conftest import rows
 
@@ -241,3 +242,96 @@ def test_a_short_page_in_the_middle(spark, folder):
     plan = plan_of(pages.extract(form, kind, RUN, "/x", page_size=3))
     assert plan.split("Subquery")[0].count("parseJson") == 1
     assert "parseJson" not in plan_of(form.agg(F.min(F.when(F.col("n") < 3, F.col("page")))))
+
+
+def logged(folder, sizes, page_size):
+    """A fetch over pages of given sizes that notes what it was asked for."""
+    def fetch(offset, size, since):
+        with open(os.path.join(folder, f"{offset}"), "a") as f:
+            f.write(f"{size} {since.isoformat() if since else None}\n")
+        page = offset // page_size
+        if page >= len(sizes):
+            return None
+        return json.dumps({"users": [{"id": offset + i, "updated_at": f"2024-01-{page + 1:02d}"} for i in range(sizes[page])]})
+
+    return fetch
+
+
+def test_paged_source_reads_runs_of_pages(spark, tmp_path):
+    found = pages_of(spark, logged(str(tmp_path), [10] * 25 + [4, 10], 10), pages=40, run=4, page_size=10)
+    assert found.rdd.getNumPartitions() == 10
+    kept = found.select("page", "n").collect()
+    # the run of page 26 stops there; those behind the last page ask once
+    assert sorted(tuple(r) for r in kept) == [(i, 10) for i in range(1, 26)] + [(26, 4)]
+    asked = sorted(int(name) // 10 + 1 for name in os.listdir(tmp_path))
+    assert asked == [*range(1, 27), 29, 33, 37]
+    landed = pages.land_counted(found.select("page", "body"), str(tmp_path / "landed"))
+    ids = pages.extract(landed, "struct<id:bigint,updated_at:string>", RUN, "/users", page_size=10)
+    assert [r[0] for r in rows(ids.select("id").orderBy("id"))] != [] and ids.count() == 254
+    assert {r["id"] for r in ids.collect()} == set(range(254))
+
+
+def test_paged_source_asks_with_the_bound(spark, tmp_path):
+    since = datetime(2024, 1, 1, 12)
+    found = pages_of(spark, logged(str(tmp_path), [3, 1], 3), pages=2, since=since, run=1, page_size=3)
+    for _ in range(2):
+        got = found.where(F.col("n") < 3).collect()
+        assert [(r["page"], r["n"], r["since"]) for r in got] == [(2, 1, since)]
+    seen = {line for name in os.listdir(tmp_path) for line in (tmp_path / name).read_text().splitlines()}
+    assert len(seen) == 1 and seen.pop().startswith("3 2024-01-01T12:00:00")
+    assert found.where(F.col("since") == F.lit(datetime(2024, 1, 2))).count() == 0
+    everything = pages_of(spark, logged(str(tmp_path), [3, 1], 3), pages=2, run=1, page_size=3)
+    assert rows(everything.select("page", "since")) == [(1, None), (2, None)]
+
+
+def test_paged_source_without_pages_and_with_failures(spark):
+    assert pages_of(spark, lambda offset, size, since: None, pages=0).count() == 0
+    assert pages_of(spark, lambda offset, size, since: None, pages=3, run=1).count() == 0
+    assert rows(pages_of(spark, lambda offset, size, since: "no json", pages=2, run=2).select("page", "n")) == [(1, 0)]
+
+    def broken(offset, size, since):
+        raise OSError("source is down")
+
+    with pytest.raises(Exception, match="source is down"):
+        pages_of(spark, broken, pages=1).collect()
+    with pytest.raises(ValueError):
+        pages_of(spark, broken, pages=1, run=0)
+
+
+def test_counts_of_records_follow_the_envelope(spark):
+    bodies = ['[{"id": 1}, {"id": 2}]', '{"products": [{"id": 3}], "total": 1}', '{"products": {"id": 4}}',
+              '{"data": [], "users": [{"id": 5}]}', "7", '{"data": [', None, '{"posts": [1, 2], "items": [3]}', "null", '"text"']
+    assert [record_count(b) for b in bodies] == [r["n"] for r in opened(spark, bodies).orderBy("page").collect()]
+
+
+def test_id_cuts_balance_a_sparse_id_space(spark):
+    # nine tenths of the ids lie in a thousandth of the range, and one id is repeated; some are null
+    ids = spark.range(0, 10_000).select(F.when(F.col("id") % 10 > 0, F.col("id")).otherwise(F.col("id") * 1_000_003).alias("id"))
+    ids = ids.union(spark.range(50).select(F.lit(None).cast("bigint").alias("id")))
+    cuts = relational.id_cuts(ids, 8)
+    conditions = relational.id_predicates(cuts)
+    assert len(conditions) == 8 and cuts == sorted(cuts)
+    counts = [ids.where(c).count() for c in conditions]
+    assert sum(counts) == 10_050 and max(counts) < 1.1 * 10_050 / 8
+    even = ids.where(F.col("id") < 9_999 * 1_000_003 // 8).count()
+    assert even > 0.9 * 10_000  # what the first of eight even ranges would read
+
+
+def test_id_cuts_of_few_or_equal_ids(spark):
+    same = spark.range(100).select(F.lit(7).cast("bigint").alias("id"))
+    for ids, n in ((same, 100), (same.limit(0), 0), (spark.range(3), 3)):
+        for parts in (1, 2, 5):
+            conditions = relational.id_predicates(relational.id_cuts(ids, parts))
+            assert 1 <= len(conditions) <= parts
+            assert sum(ids.where(c).count() for c in conditions) == n
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_id_predicates_part_all_rows(spark, seed):
+    import random
+    draw = random.Random(seed)
+    ids = [draw.choice([None, draw.randint(-50, 50), draw.randint(-10**12, 10**12)]) for _ in range(200)]
+    cuts = sorted({draw.randint(-60, 60) for _ in range(draw.randint(1, 6))})
+    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
+    hits = df.select(*[F.coalesce(F.expr(c), F.lit(False)).cast("int").alias(f"c{i}") for i, c in enumerate(relational.id_predicates(cuts))])
+    assert {sum(r) for r in hits.collect()} == {1}

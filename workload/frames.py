@@ -310,6 +310,14 @@ def agg_daily_sales(spark: SparkSession, sf: str) -> DataFrame:
     return sales.daily_sales(clean)
 
 
+@query(f"""WITH {ORDERS_SOURCE}, spans AS (SELECT id AS order_id, date_trunc('month', created_at) AS order_date, total, user_id
+    FROM orders_source) {DAILY} FROM spans GROUP BY 1""")
+def monthly_sales_from_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Months merged from the states of their days; distinct customers are those of the orders."""
+    states = sales.day_states(_dated(spark, sf))
+    return sales.merged_sales(states, F.to_date(F.date_trunc("month", "sale_date"))).withColumnRenamed("span", "sale_date")
+
+
 def _dated(spark: SparkSession, sf: str) -> DataFrame:
     return entities.rename_orders(orders_source(spark, sf))
 

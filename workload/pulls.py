@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from medallion.contracts import USER_RECORD
 from medallion.functions.times import to_utc
 from medallion.sources import pages
+from medallion.sources.paged import pages_of
+from medallion.sources.relational import id_cuts, id_predicates
 from workload.adapters import (
     EVENT_TIES, PRODUCT_TIES, PRODUCTS_SOURCE, USER_TIES, USERS_SOURCE, as_pages, page_rows,
     products_source, table, users_source,
@@ -42,6 +44,36 @@ def scan_paged_json(spark: SparkSession, sf: str) -> DataFrame:
                        F.col("address.coordinates.lat").alias("lat"), "_page", "_pos")
 
 
+def fetch_landed(folder: str):
+    """A fetch for ``pages_of`` that finds its responses in the shared folder, a folder for each page."""
+    def fetch(offset: int, size: int, since: datetime | None) -> str | None:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(folder)
+        held = store.get_file_info(fs.FileSelector(f"{root}/page={offset // size + 1}", allow_not_found=True))
+        for file in held:
+            if file.size and not file.base_name.startswith(("_", ".")):
+                with store.open_input_stream(file.path) as stream:
+                    return stream.read().decode()
+        return None
+
+    return fetch
+
+
+@query(f"""WITH {USERS_SOURCE}, {page_rows('id', 'users_source', USER_TIES)}
+    SELECT id, email, username, _page, CAST(_pos AS INT) AS _pos FROM wanted""")
+def scan_paged_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The same records as a scan of landed pages, fetched run by run; more pages are asked for than there are."""
+    folder, landed = new_folder(spark), new_folder(spark)
+    responses = user_pages(spark, sf)
+    responses.write.partitionBy("page").text(folder)
+    last = spark.read.text(folder).agg(F.max("page")).first()[0]
+    pages_of(spark, fetch_landed(folder), pages=last + 5, run=4).select("page", "body", "n").write.parquet(landed)
+    landed = spark.read.schema("page bigint, body string, n int").parquet(landed)
+    rows = pages.typed(pages.explode_records(pages.keep_wanted_pages(pages.unwrap(landed), counts=landed)), USER_RECORD)
+    return rows.select("id", "email", "username", "_page", "_pos")
+
+
 # Eight shapes of a response, one per order: how many records each one holds.
 _BODY = """CASE o_orderkey % 8
     WHEN 0 THEN concat('[{"id": ', o_orderkey, '}, {"id": ', o_custkey, '}]')
@@ -141,3 +173,15 @@ def union_pages(spark: SparkSession, sf: str) -> DataFrame:
     products = table(spark, sf, "part").selectExpr(
         "p_partkey AS id", "p_name AS title", "p_brand AS brand", "'products' AS pull")
     return pages.union_pulls(users, products).select("id", "title", "brand", "pull")
+
+
+@query("""SELECT 16 AS parts, count(*) AS n, count(*) AS in_one_part, true AS balanced FROM orders""")
+def split_by_id_quantiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts of a JDBC read of orders whose ids are squares, so that even ranges would hold unlike numbers of rows."""
+    ids = table(spark, sf, "orders").select((F.col("o_orderkey") * F.col("o_orderkey")).alias("id"))
+    conditions = id_predicates(id_cuts(ids, 16))
+    held = [F.coalesce(F.expr(c), F.lit(False)) for c in conditions]
+    found = ids.agg(F.count("*").alias("n"), F.count_if(sum(h.cast("int") for h in held) == 1).alias("in_one_part"),
+                    F.greatest(*[F.count_if(h) for h in held]).alias("largest"))
+    return found.select(F.lit(len(conditions)).alias("parts"), "n", "in_one_part",
+                        (F.col("largest") <= 1.1 * F.col("n") / len(conditions) + 1).alias("balanced"))

@@ -3,7 +3,7 @@
 Every call works in a lake of its own, so calls do not disturb each other.
 """
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -334,6 +334,19 @@ def grow_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return lake.table("raw", USERS.table).select("user_id", "email", "full_name", "phone_masked", "sk_user", "_loaded_at")
 
 
+@query(f"""WITH {ORDERS_SQL} SELECT order_id, user_id, total, updated_at,
+    CASE WHEN order_id % 10 = 0 THEN {T2} ELSE {T1} END AS _transformed_at,
+    CASE WHEN order_id % 10 = 0 THEN {T2} ELSE {T1} END AS _loaded_at FROM orders_clean""")
+def overlapping_pull(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders that were committed behind the mark are caught by a pull that overlaps the one before; the others stay."""
+    lake = new_lake(spark, entities={"orders": ORDERS})
+    source = orders_source(spark, sf)
+    for n, (ts, rows) in enumerate(((RUN_1, source.where("pmod(id, 10) > 0")), (RUN_2, source))):
+        run_incremental(lake, {"orders": lambda mark, rows=rows: extract_orders(rows, mark)}, f"inc_{n}", ts,
+                        overlap=timedelta(days=40_000))
+    return lake.table("raw", ORDERS.table).select("order_id", "user_id", "total", "updated_at", "_transformed_at", "_loaded_at")
+
+
 @query("""SELECT event_id, ts, user_id, event_type, value FROM events""")
 def repeated_batch(spark: SparkSession, sf: str) -> DataFrame:
     """A batch of a stream that comes again, with other values, after its commit: it counts once."""
