@@ -3,8 +3,9 @@
 A line's quote level is the number of ``>`` at its beginning.  Runs of lines of one level are passages; passages and
 their lines are normalised (letters and digits, lower-cased, single spaces) and hashed.  What messages write
 themselves is hashed likewise, by line, paragraph and whole; the earliest author of a hash in the conversation
-is its original.  A message answers the message that most characters of its first-level quotes come from.
-DataFrame functions only.
+is its original.  A message answers the message that most characters of its first-level quotes come from.  Depths
+and the order of replies come from pointer doubling over numbers (list ranking of each thread's Euler tour), so a
+message is a constant number of rows however long its thread is.  DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -25,9 +26,13 @@ def _normal(text: Column) -> Column:
 
 
 def messages(chat: DataFrame) -> DataFrame:
-    """``msg, conv_id, turn, role, text``: rows of ``chat`` with ids; rows equal in all four count once, a null text is empty."""
-    rows = chat.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text")).distinct()
-    return stored(rows.withColumn("msg", F.monotonically_increasing_id()))
+    """``msg, conv_id, turn, role, text, tie``: rows of ``chat`` with ids, repeats too; a null text is empty.
+
+    Rows of one turn are told apart by ``tie``, a hash of role and text, so that no order depends on ids.
+    """
+    rows = chat.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
+    tie = F.xxhash64(F.coalesce("role", F.lit("")), "text")
+    return stored(rows.withColumns({"tie": tie, "msg": F.monotonically_increasing_id()}))
 
 
 def parsed_lines(found: DataFrame) -> DataFrame:
@@ -58,53 +63,88 @@ def _units(rows: DataFrame) -> DataFrame:
 def link(found: DataFrame, rows: DataFrame) -> DataFrame:
     """``msg, level, hash, chars, origin``: quoted passages and lines, with the message of the same conversation that
     wrote them first, if that is an earlier turn."""
-    heads = found.select("msg", "conv_id", "turn")
+    heads = found.select("msg", "conv_id", "turn", "tie")
     units = _units(rows.where("level >= 0"))
     wholes = found.select("msg", F.lit(0).alias("level"), _normal(F.col("text")).alias("unit")).where("unit != ''")
     wholes = wholes.select("msg", "level", F.xxhash64("unit", F.length("unit")).alias("hash"), F.length("unit").alias("chars"))
-    quoted = stored(units.where("level > 0").join(heads, "msg"))
+    quoted = stored(units.where("level > 0").join(heads.drop("tie"), "msg"))
     # only hashes that someone quotes; a common line is one row for each conversation, however often it stands there
     written = units.where("level = 0").union(wholes).join(quoted.select("hash").distinct(), "hash", "left_semi").join(heads, "msg")
-    first = written.groupBy("conv_id", "hash").agg(F.min(F.struct("turn", "msg")).alias("first"))
+    # who wrote it without a turn cannot be said to have been earlier
+    first = written.where("turn is not null").groupBy("conv_id", "hash").agg(F.min(F.struct("turn", "tie", "msg")).alias("first"))
     first = first.select(F.col("conv_id").alias("c"), F.col("hash").alias("h"), "first")
     same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("hash") == F.col("h")) & (F.col("first.turn") < F.col("turn"))
-    return quoted.join(first, same, "left").select("msg", "level", "hash", "chars", F.col("first.msg").alias("origin"))
+    return quoted.join(first, same, "left").select("msg", "level", "hash", "chars", F.col("first").alias("origin"))
 
 
 def parents(links: DataFrame) -> DataFrame:
     """``msg, parent``: where most characters of the outermost quotes come from; the latest message of equals."""
     weight = links.where("origin is not null and level = 1").groupBy("msg", "origin").agg(F.sum("chars").alias("chars"))
-    return weight.groupBy("msg").agg(F.max(F.struct("chars", "origin"))["origin"].alias("parent"))
+    return weight.groupBy("msg").agg(F.max(F.struct("chars", "origin"))["origin"]["msg"].alias("parent"))
 
 
-def threads(found: DataFrame, replies: DataFrame) -> DataFrame:
-    """``msg, path``: turns (with ids) from the thread's first message down to each message.
+def roots(replies: DataFrame) -> DataFrame:
+    """``msg, root, depth`` of every reply.  Each round doubles the stretch to the ancestor that a row points to."""
+    state = stored(replies.select("msg", F.col("parent").alias("root"), F.lit(1).alias("depth"), F.lit(True).alias("open")))
+    while state.where("open").limit(1).count():
+        above = state.select(F.col("msg").alias("m"), F.col("root").alias("r"), F.col("depth").alias("d"))
+        state = stored(state.join(above, F.col("root") == F.col("m"), "left").select(
+            "msg", F.coalesce("r", "root").alias("root"), (F.col("depth") + F.coalesce("d", F.lit(0))).alias("depth"), F.col("d").isNotNull().alias("open")))
+    return state.drop("open")
+
 
-    Every round doubles the stretch of ancestors that a path covers, so rounds are the logarithm of the depth.
+def tour(found: DataFrame, replies: DataFrame) -> DataFrame:
+    """``msg, back``: how many messages of its thread stand at or behind a message, for threads that have replies.
+
+    A thread's tour enters a message (node ``2 * msg``), tours its answers in order of turn, and leaves it
+    (``2 * msg + 1``).  Pointer doubling sums up the entries from each node to the end: two rows a message, and rounds
+    as the logarithm of the longest thread.
     """
-    own = F.array(F.struct("turn", "msg"))
-    state = stored(found.select("msg", own.alias("path")).join(replies.select("msg", F.col("parent").alias("up")), "msg", "left"))
-    while state.where("up is not null").limit(1).count():
-        above = state.select(F.col("msg").alias("m"), F.col("path").alias("before"), F.col("up").alias("further"))
-        state = stored(state.join(above, F.col("up") == F.col("m"), "left").select(
-            "msg", F.when(F.col("before").isNull(), F.col("path")).otherwise(F.concat("before", "path")).alias("path"), F.col("further").alias("up")))
-    return state.select("msg", "path")
+    kids = replies.join(found.select("msg", "turn", "tie"), "msg")
+    kids = stored(running_start(kids, ["parent", "turn", "tie", "msg"], F.lit(1), "at"))
+    after = kids.select((F.col("at") - 1).alias("at"), F.col("msg").alias("next"), F.col("parent").alias("of"))
+    beside = kids.join(after, "at", "left").select("msg", "parent", F.when(F.col("of") == F.col("parent"), F.col("next")).alias("sibling"))
+    first = kids.groupBy("parent").agg(F.min_by("msg", "at").alias("kid"))
+    all_in = replies.select("msg").union(replies.select("parent")).distinct()
+    enter = all_in.join(first, F.col("msg") == F.col("parent"), "left").select(
+        (2 * F.col("msg")).alias("node"), F.coalesce(2 * F.col("kid"), 2 * F.col("msg") + 1).alias("to"), F.lit(1).cast("long").alias("back"))
+    leave = all_in.join(beside, "msg", "left").select(
+        2 * F.col("msg") + 1, F.coalesce(2 * F.col("sibling"), 2 * F.col("parent") + 1), F.lit(0).cast("long"))
+    state = stored(enter.union(leave))
+    while state.where("to is not null").limit(1).count():
+        ahead = state.select(F.col("node").alias("n"), F.col("to").alias("further"), F.col("back").alias("more"))
+        # ends of lists are kept out of the join, in which they would meet in one task
+        going = state.where("to is not null").join(ahead, F.col("to") == F.col("n")).select("node", F.col("further").alias("to"), (F.col("back") + F.col("more")).alias("back"))
+        state = stored(going.union(state.where("to is null").select("node", "to", "back")))
+    return state.where("node % 2 = 0").select((F.col("node") / 2).cast("long").alias("msg"), "back")
+
+
+def threads(found: DataFrame, replies: DataFrame) -> DataFrame:
+    """``msg, depth, begin, back``: how deep a message stands, its thread's first message (turn, tie, id), and its place
+    in the thread, counted from the end."""
+    heads = found.select("msg", F.struct("turn", "tie", "msg").alias("head"))
+    placed = roots(replies).join(heads.select(F.col("msg").alias("root"), F.col("head").alias("begin")), "root").select("msg", "depth", "begin")
+    return (heads.join(placed, "msg", "left").join(tour(found, replies), "msg", "left")
+            .select("msg", F.coalesce("depth", F.lit(0)).alias("depth"), F.coalesce("begin", "head").alias("begin"), F.coalesce("back", F.lit(1)).alias("back")))
 
 
 def conversations(chat: DataFrame) -> DataFrame:
     """One row for each message: ``conv_id, position, turn, role, depth, parent_turn, n_quotes, n_linked, body, chat``.
 
     ``position`` orders a conversation so that every message stands behind the one it answers and before later
-    threads; messages without a linked quote begin threads, in order of turn.  ``body`` is the text without quotes
-    and the lines that name their authors; ``chat`` is the body under its role.  Null turns come first, null
-    conversations are one of their own; quotes of later turns, or of none in the conversation, stay unlinked.
+    threads; messages without a linked quote begin threads, in order of turn, as do answers to one message.  ``body`` is the text without quotes
+    and the lines that name their authors; ``chat`` is the body under its role.  Null turns come first, and are
+    no originals; rows that are repeated stay messages of their own, and the turn, then a hash of role and text decides
+    between equals.  Null conversations are one of their own; quotes of later turns, or of none in the conversation,
+    stay unlinked.
     """
     found = messages(chat)
     # a message without a mark has no quotes; its lines need no parsing
     rows = parsed_lines(found.where(F.col("text").rlike(r"(?m)" + _MARK)))
     rows = stored(rows)
     plain = found.where(~F.col("text").rlike(r"(?m)" + _MARK))
-    lines = rows.union(parsed_lines(plain.join(found.join(rows.select("msg").distinct(), "msg", "left_semi").select("conv_id").distinct(), "conv_id", "left_semi")))
+    quoting = found.join(rows.select("msg").distinct(), "msg", "left_semi").select(F.col("conv_id").alias("c")).distinct()
+    lines = rows.union(parsed_lines(plain.join(quoting, F.col("conv_id").eqNullSafe(F.col("c")), "left_semi")))
     links = stored(link(found, lines))
     replies = stored(parents(links))
     paths = threads(found, replies)
@@ -117,14 +157,14 @@ def conversations(chat: DataFrame) -> DataFrame:
     full = (found.join(paths, "msg").join(bodies, "msg", "left").join(quotes, "msg", "left").join(linked, "msg", "left")
             .join(replies.join(above, "parent"), "msg", "left"))
     body = F.when(F.col("n_quotes").isNull(), F.col("text")).otherwise(F.trim(F.coalesce("left_over", F.lit(""))))
-    full = stored(full.select("conv_id", "turn", "role", "path", "parent_turn", F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
+    full = stored(full.select("conv_id", "turn", "role", "depth", "begin", "back", "parent_turn", F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
                               F.coalesce("n_linked", F.lit(0)).alias("n_linked"), body.alias("body"), "msg"))
-    ranked = running_start(full.select("msg", "conv_id", "path"), ["conv_id", "path"], F.lit(1), "rank").select("msg", "conv_id", "rank")
+    ranked = running_start(full.select("msg", "conv_id", "begin", "back"), ["conv_id", "begin", F.desc("back")], F.lit(1), "rank").select("msg", "conv_id", "rank")
     ranked = stored(ranked)
     starts = ranked.groupBy(F.col("conv_id").alias("c")).agg(F.min("rank").alias("start"))
     places = ranked.join(starts, F.col("conv_id").eqNullSafe(F.col("c"))).select("msg", (F.col("rank") - F.col("start")).alias("position"))
     return full.join(places, "msg").select(
-        "conv_id", "position", "turn", "role", (F.size("path") - 1).alias("depth"), "parent_turn", "n_quotes", "n_linked", "body",
+        "conv_id", "position", "turn", "role", "depth", "parent_turn", "n_quotes", "n_linked", "body",
         F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), "body").alias("chat"))
 
 

@@ -1,5 +1,8 @@
 import base64
 import hashlib
+import random
+import re
+import time
 import zlib
 from collections import Counter
 
@@ -161,7 +164,7 @@ def test_quotes_are_linked_and_removed(spark):
         (0, 0, None, 0, 0, CHAT[0][3]), (1, 1, 0, 1, 1, "Boil it."), (2, 2, 1, 3, 2, "How long?"),
         (4, 3, 2, 2, 2, "10 min"), (3, 1, 0, 1, 1, "Same."), (5, 0, None, 0, 0, "thanks")]
     rest = {(r["conv_id"], r["turn"], r["role"]): r for r in rows}
-    assert len(rows) == len(CHAT) - 1 and rest[2, 0, "user"]["body"] == "" and rest[None, 0, "user"]["n_linked"] == 0
+    assert len(rows) == len(CHAT) and rest[2, 0, "user"]["body"] == "" and rest[None, 0, "user"]["n_linked"] == 0
     assert rest[3, None, "user"]["parent_turn"] is None and rest[1, 1, "assistant"]["chat"] == "<|assistant|>\nBoil it."
 
 
@@ -171,6 +174,64 @@ def test_a_long_chain_of_replies(spark):
     assert sorted((r["turn"], r["depth"], r["position"], r["body"]) for r in rows) == [(i, i, i, f"line number {i} of it") for i in range(40)]
 
 
+def test_a_chain_of_replies_is_a_row_or_two_for_each(spark, monkeypatch):
+    """Stored tables of a chain of 600 replies hold a few rows a message, not its ancestors."""
+    sizes, kept = [], quotation.stored
+
+    def spy(df):
+        table = kept(df)
+        sizes.append(table.count())
+        return table
+
+    chat = [(7, i, "user", (f"> line number {i - 1} of it\n" if i else "") + f"line number {i} of it") for i in range(600)]
+    monkeypatch.setattr(quotation, "stored", spy)
+    rows = quotation.conversations(spark.createDataFrame(chat, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r["depth"], r["position"]) for r in rows) == [(i, i) for i in range(600)]
+    assert max(sizes) <= 4 * 600
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_threads_match_a_walk_over_random_replies(spark, seed):
+    draw, chat, replies_to = random.Random(seed), [], {}
+    for conv in (1, 2, None):
+        n = draw.choice([1, 12, 30])
+        for turn in range(n):
+            up = draw.randrange(turn) if turn and draw.random() < 0.7 else None
+            far = draw.randrange(turn) if turn and draw.random() < 0.3 else None  # a shorter quote of another one
+            replies_to[conv, turn] = up if up is not None else far
+            text = (f"> this is the long own line of message {up} and more\n" if up is not None else "") + "\n"
+            text += (f"> short {far}\n" if far is not None else "") + f"\nthis is the long own line of message {turn} and more\n\nshort {turn}"
+            chat.append((conv, turn, draw.choice("ab"), text))
+    draw.shuffle(chat)
+    df = spark.createDataFrame(chat, "conv_id long, turn long, role string, text string").repartition(5)
+    got = {(r["conv_id"], r["turn"]): (r["position"], r["depth"], r["parent_turn"]) for r in quotation.conversations(df).collect()}
+    want = {}
+    for conv in (1, 2, None):
+        turns, at = [t for c, t in replies_to if c == conv], iter(range(10**6))
+
+        def walk(turn, depth):
+            want[conv, turn] = (next(at), depth, replies_to[conv, turn])
+            for kid in turns:
+                if replies_to[conv, kid] == turn:
+                    walk(kid, depth + 1)
+
+        for turn in turns:
+            if replies_to[conv, turn] is None:
+                walk(turn, 0)
+    assert got == want
+
+
+def test_messages_without_a_turn_hide_no_original(spark):
+    chat = [(1, 0, "a", "the very first words"), (1, None, "c", "the very first words"), (1, 2, "b", "> the very first words\nyes"),
+            (1, None, "b", "> the very first words\nno turn"), (1, 5, "a", "ok"), (1, 5, "a", "ok"), (1, 5, "b", "ok")]
+    df = spark.createDataFrame(chat, "conv_id long, turn long, role string, text string")
+    runs = [sorted(tuple(r) for r in quotation.conversations(df.repartition(n)).select(
+        F.coalesce("turn", F.lit(-1)), "role", "position", "depth", F.coalesce("parent_turn", F.lit(-1)), "body").collect()) for n in (1, 4)]
+    assert runs[0] == runs[1] and len(runs[0]) == len(chat)
+    assert [(r[3], r[4]) for r in runs[0] if r[0] == 2] == [(1, 0)]
+    assert [r[4] for r in runs[0] if r[0] == -1] == [-1, -1]
+
+
 def test_given_and_no_conversations(spark):
     chat = spark.read.parquet(f"{SF}/conversations.parquet")
     rows = quotation.op2_quotation_linking(spark, SF).collect()
@@ -192,6 +253,38 @@ def planted(spark):
     return docs_of(spark, texts), true
 
 
+def plain_candidates(text):
+    found = set()
+    for at, line in enumerate((text or "").split("\n"), 1):
+        for m in re.finditer(secrets.CANDIDATE, line):
+            found.add((at, m.start() + 1, m.group(), line[max(0, m.start() - secrets.BEFORE):m.start()], line[m.end():m.end() + secrets.AFTER]))
+    return found
+
+
+def test_candidates_match_a_search_in_each_line(spark):
+    draw = random.Random(5)
+    texts = [None, "", "x" * 16, "é" * 20 + "a" * 40, "a" * 16 + "=" * 5 + "b" * 17]
+    for _ in range(60):
+        words = [draw.choice(["", " ", "\n", " é🙂 ", "==", ", ", "k: "]) + draw.choice("abZ9+/_-") * draw.choice([1, 5, 15, 16, 17, 40, 90]) for _ in range(draw.randrange(40))]
+        texts.append("".join(words))
+    docs = docs_of(spark, texts)
+    got = {}
+    for r in secrets.candidates(docs).collect():
+        got.setdefault(r["doc_id"], set()).add((r["line"], r["column"], r["value"], r["before"], r["after"]))
+    assert got == {i: f for i, f in enumerate(map(plain_candidates, texts)) if f}
+
+
+def test_many_candidates_in_a_line_cost_as_many_lines(spark):
+    def took(n):
+        docs = docs_of(spark, [" ".join(hashlib.sha1(str(i).encode()).hexdigest() for i in range(n))])
+        begun = time.time()
+        assert secrets.candidates(docs).agg(F.max("column")).first()[0] == 41 * (n - 1) + 1
+        return time.time() - begun
+
+    took(10)
+    assert took(32_000) < 20
+
+
 def test_the_forest_tells_secrets_from_others(spark):
     docs, true = planted(spark)
     found = secrets.scan(docs).collect()
