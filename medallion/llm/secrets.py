@@ -11,13 +11,14 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from medallion.llm.common import scratch_path, stored, table
 from medallion.llm.registry import query
 
-CANDIDATE = r"([A-Za-z0-9+/_\-]{16,}={0,2})"
+SHORTEST_VALUE = 16
+CANDIDATE = rf"([A-Za-z0-9+/_\-]{{{SHORTEST_VALUE},}}={{0,2}})"
 BEFORE, AFTER = 64, 32
 # Words of the dictionary: this long, this often in the corpus.
 SHORTEST, LONGEST, LEAST_COUNT = 3, 15, 5
@@ -62,20 +63,30 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     docs = docs.select("doc_id", "text", (F.col(path) if path else F.lit("")).cast("string").alias("path"))
     lines = (docs.where(F.col("text").rlike(CANDIDATE))
              .select("doc_id", "path", F.posexplode(F.split("text", "\n")).alias("at", "text")).where(F.col("text").rlike(CANDIDATE)))
-    start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<value:string,column:int>>").alias("found"))
-
-    def place(state, value):
-        at = F.call_function("locate", value, F.col("text"), state["at"])
-        return F.struct((at + F.length(value)).alias("at"),
-                        F.concat(state["found"], F.array(F.struct(value.alias("value"), at.alias("column")))).alias("found"))
-
-    found = lines.withColumn("hit", F.explode(F.aggregate(
-        F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(1)), start, place, lambda s: s["found"])))
-    column, size = F.col("hit.column"), F.length("hit.value")
-    reach = F.greatest(F.lit(1), column - BEFORE)
-    found = found.select(
-        "doc_id", F.coalesce("path", F.lit("")).alias("path"), (F.col("at") + 1).alias("line"), column.alias("column"), F.col("hit.value").alias("value"),
-        F.substring("text", reach, column - reach).alias("before"), F.substring("text", column + size, F.lit(AFTER)).alias("after"))
+    # A line is cut once: gap, value, gap, ..., gap.  Columns are running lengths of the pieces, and contexts come from
+    # the pieces next to a value, so a line of many candidates costs as much as as many lines.
+    lines = lines.select("doc_id", "path", "at", F.monotonically_increasing_id().alias("row"),
+                         F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(1)).alias("values"), F.split("text", CANDIDATE).alias("gaps"))
+    near = BEFORE // SHORTEST_VALUE + 1
+
+    def context(i):
+        # a gap and a value make up SHORTEST_VALUE characters or more
+        back = F.sequence(F.greatest(F.lit(0), i - near), i)
+        ahead = F.sequence(i + 1, F.least(i + 1 + AFTER // SHORTEST_VALUE + 1, F.size("gaps") - 1))
+        before = F.array_join(F.transform(back, lambda j: F.concat(
+            F.when(j > i - near, F.right(F.coalesce(F.get("values", j - 1), F.lit("")), F.lit(BEFORE))).otherwise(""),
+            F.right(F.get("gaps", j), F.lit(BEFORE)))), "")
+        after = F.array_join(F.transform(ahead, lambda j: F.concat(
+            F.left(F.get("gaps", j), F.lit(AFTER)), F.left(F.coalesce(F.get("values", j), F.lit("")), F.lit(AFTER)))), "")
+        return F.struct(F.get("values", i).alias("value"), F.length(F.get("gaps", i)).alias("gap"),
+                        F.right(before, F.lit(BEFORE)).alias("before"), F.left(after, F.lit(AFTER)).alias("after"))
+
+    hits = lines.select("doc_id", "path", "at", "row", F.posexplode(F.transform(F.sequence(F.lit(0), F.size("values") - 1), context)).alias("i", "hit"))
+    until = Window.partitionBy("row").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)  # the candidates of one line
+    passed = F.coalesce(F.sum(F.col("hit.gap") + F.length("hit.value")).over(until), F.lit(0))
+    found = hits.select(
+        "doc_id", F.coalesce("path", F.lit("")).alias("path"), (F.col("at") + 1).alias("line"),
+        (passed + F.col("hit.gap") + 1).cast("int").alias("column"), F.col("hit.value").alias("value"), "hit.before", "hit.after")
     return stored(found.distinct().withColumn("finding", F.monotonically_increasing_id()))
 
 
