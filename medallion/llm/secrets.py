@@ -1,8 +1,9 @@
 """Secret scan whose false positives a random forest removes; DataFrame functions and Spark ML only.
 
-Every run of 16 or more characters of base64, hex or identifier kind is a candidate.  The forest sees its length,
-its character transitions, how far the corpus's own dictionary covers it, its path and its neighbouring words, and
-is trained on labelled findings.  ``review`` labels the findings whose nature their form gives away; callers with
+Every run of 16 or more characters of base64, hex or identifier kind is a candidate, and so is whatever is assigned
+to a secret's name (``password = "hunter2!x"``) or stands as the password of an address (``user:hunter2@host``), of
+any length and with any signs.  The forest sees its length, its character transitions, how far the corpus's own
+dictionary covers it, its path and its neighbouring words, and is trained on labelled findings.  ``review`` labels the findings whose nature their form gives away; callers with
 reviewed findings pass those.
 """
 
@@ -18,7 +19,16 @@ from medallion.llm.common import scratch_path, stored, table
 from medallion.llm.registry import query
 
 SHORTEST_VALUE = 16
-CANDIDATE = rf"([A-Za-z0-9+/_\-]{{{SHORTEST_VALUE},}}={{0,2}})"
+# Names whose value is a candidate whatever it looks like.
+ASSIGNED_NAMES = ["password", "passwd", "passphrase", "pwd", "secret", "token", "apikey", "api_key", "api-key", "access_key", "private_key", "credential"]
+# What stands before such a value.  Looked for behind signs that few words have before them, so prose costs little.
+SIGN = r"(?<=[=:\s\"'])(?<=[=:]\s{0,2}[\"']{0,1})"
+ASSIGNMENT = SIGN + r"(?<=(?i:" + "|".join(ASSIGNED_NAMES) + r")[\"']{0,1}\s{0,2}[=:]\s{0,2}[\"']{0,1})"
+VALUE = r"[^\s\"'`,;&<>(){}\[\]]*[^\s\"'`,;&<>(){}\[\].:!?]"
+LOGIN = r"(?<=:)(?<=://[^\s/:@]{1,64}:)"
+CANDIDATE = rf"((?:{ASSIGNMENT}{VALUE}|{LOGIN}[^\s/@]+(?=@)|[A-Za-z0-9+/_\-]{{{SHORTEST_VALUE},}}={{0,2}}))"
+# A gap and the value after it are this long on average: an assigned value has its name before it.
+SHORTEST_PAIR = 4
 BEFORE, AFTER = 64, 32
 # Words of the dictionary: this long, this often in the corpus.
 SHORTEST, LONGEST, LEAST_COUNT = 3, 15, 5
@@ -67,12 +77,11 @@ def candidates(docs: DataFrame, path: str | None = None) -> DataFrame:
     # the pieces next to a value, so a line of many candidates costs as much as as many lines.
     lines = lines.select("doc_id", "path", "at", F.monotonically_increasing_id().alias("row"),
                          F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(1)).alias("values"), F.split("text", CANDIDATE).alias("gaps"))
-    near = BEFORE // SHORTEST_VALUE + 1
+    near = BEFORE // SHORTEST_PAIR + 1
 
     def context(i):
-        # a gap and a value make up SHORTEST_VALUE characters or more
         back = F.sequence(F.greatest(F.lit(0), i - near), i)
-        ahead = F.sequence(i + 1, F.least(i + 1 + AFTER // SHORTEST_VALUE + 1, F.size("gaps") - 1))
+        ahead = F.sequence(i + 1, F.least(i + 1 + AFTER // SHORTEST_PAIR + 1, F.size("gaps") - 1))
         before = F.array_join(F.transform(back, lambda j: F.concat(
             F.when(j > i - near, F.right(F.coalesce(F.get("values", j - 1), F.lit("")), F.lit(BEFORE))).otherwise(""),
             F.right(F.get("gaps", j), F.lit(BEFORE)))), "")
@@ -145,7 +154,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
             .withColumn("coverage", F.coalesce("covered", F.lit(0)) / size)
             .withColumn("in_path", (F.size(F.filter(segments, is_word)) >= 2).cast("double"))
             .withColumn("harmless_path", F.col("path").rlike(_any_of(HARMLESS_PATHS)).cast("double"))
-            .withColumn("secret_name", closest.rlike(_any_of(SECRET_NAMES)).cast("double"))
+            .withColumn("secret_name", (closest.rlike(_any_of(SECRET_NAMES)) | F.col("before").rlike(LOGIN + "$")).cast("double"))
             .withColumn("harmless_name", beside.rlike(_whole(HARMLESS_NAMES)).cast("double"))
             .withColumn("assigned", F.col("before").rlike(r"[=:]\s*[\"']?$").cast("double")).drop("covered"))
 
@@ -199,14 +208,21 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str | None =
 def redact(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``docs`` with every secret replaced by a mask, its columns and rows unchanged otherwise; ``n_chars`` follows.
 
-    Rows without an id are known by a hash of their text.
+    A secret is masked wherever its document holds it; one of fewer than ``SHORTEST_VALUE`` characters only where no
+    letter or digit stands beside it.  Rows without an id are known by a hash of their text.
     """
     key, own, held = "_medallion_key", "_medallion_id", "_medallion_values"
     keyed = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
     found = scan(keyed.withColumn("doc_id", F.col(key)), path=path)
     values = found.where("is_secret").groupBy(F.col("doc_id").alias(own)).agg(F.collect_set("value").alias(held))
     longest_first = F.array_sort(held, lambda a, b: F.length(b) - F.length(a))
-    clean = F.aggregate(longest_first, F.col("text"), lambda text, value: F.replace(text, value, F.lit(MASK)))
+
+    def masked(text, value):
+        quoted = F.concat(F.lit(r"\Q"), F.replace(value, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+        alone = F.concat(F.lit(r"(?<![\p{L}\p{N}])"), quoted, F.lit(r"(?![\p{L}\p{N}])"))
+        return F.when(F.length(value) < SHORTEST_VALUE, F.regexp_replace(text, alone, F.lit(MASK))).otherwise(F.replace(text, value, F.lit(MASK)))
+
+    clean = F.aggregate(longest_first, F.col("text"), masked)
     joined = keyed.join(values, F.col(key) == F.col(own), "left")
     fixed = joined.withColumn("text", F.when(F.col(held).isNull(), F.col("text")).otherwise(clean))
     if "n_chars" in docs.columns:

@@ -256,7 +256,7 @@ def planted(spark):
 def plain_candidates(text):
     found = set()
     for at, line in enumerate((text or "").split("\n"), 1):
-        for m in re.finditer(secrets.CANDIDATE, line):
+        for m in regex.finditer(secrets.CANDIDATE, line):
             found.add((at, m.start() + 1, m.group(), line[max(0, m.start() - secrets.BEFORE):m.start()], line[m.end():m.end() + secrets.AFTER]))
     return found
 
@@ -265,7 +265,7 @@ def test_candidates_match_a_search_in_each_line(spark):
     draw = random.Random(5)
     texts = [None, "", "x" * 16, "é" * 20 + "a" * 40, "a" * 16 + "=" * 5 + "b" * 17]
     for _ in range(60):
-        words = [draw.choice(["", " ", "\n", " é🙂 ", "==", ", ", "k: "]) + draw.choice("abZ9+/_-") * draw.choice([1, 5, 15, 16, 17, 40, 90]) for _ in range(draw.randrange(40))]
+        words = [draw.choice(["", " ", "\n", " é🙂 ", "==", ", ", "k: ", "pwd=", "token':", 'Secret" : "', "://u:", "@", "!"]) + draw.choice("abZ9+/_-") * draw.choice([1, 5, 15, 16, 17, 40, 90]) for _ in range(draw.randrange(40))]
         texts.append("".join(words))
     docs = docs_of(spark, texts)
     got = {}
@@ -274,6 +274,33 @@ def test_candidates_match_a_search_in_each_line(spark):
     assert got == {i: f for i, f in enumerate(map(plain_candidates, texts)) if f}
 
 
+def test_short_and_odd_secrets_are_found_where_they_are_assigned(spark):
+    """Assigned values and passwords of addresses, of any length and with any signs; elsewhere short words stay."""
+    lines, true = [], {}
+    for i in range(150):
+        digest = hashlib.sha1(str(i).encode()).hexdigest()
+        value, kind = [f"{digest[:6]}!x.{i}", f"Pw@{digest[:5]}", f"{digest[:7]}#{i}", "internal", digest][i % 5], i % 5
+        lines.append([f'password = "{value}"', f"db_passwd={value}, and more", f"see postgres://reader:{value}@host.example.org/base for it", f"the token: {value} one",
+                      f"commit sha {value} done"][kind])
+        if kind != 3:
+            true[value] = kind < 3
+    docs = docs_of(spark, ["some plain words before it, internal ones\n" + line for line in lines])
+    found = secrets.scan(docs)
+    got = {r["value"]: r["is_secret"] for r in found.collect()}
+    assert got == true | {"internal": False}
+    for r, line in zip(secrets.redact(docs).orderBy("doc_id").collect(), lines):
+        value = next((v for v in true if v in line), "internal")
+        assert r["text"].endswith(line.replace(value, secrets.MASK) if true.get(value) else line)
+
+
+def test_a_short_secret_is_masked_as_a_whole_word_only(spark):
+    docs = docs_of(spark, ["password=a1 but a1b2 and xa1 and (a1) stay", r"pwd=q\E1$ and q\E1$", "pwd= ", "password:", "token='' and secret=\"\""])
+    out = [r["text"] for r in secrets.redact(docs).orderBy("doc_id").collect()]
+    mask = secrets.MASK
+    assert out[0] == f"password={mask} but a1b2 and xa1 and ({mask}) stay" and out[1] == f"pwd={mask} and {mask}"
+    assert out[2:] == ["pwd= ", "password:", "token='' and secret=\"\""]
+
+
 def test_many_candidates_in_a_line_cost_as_many_lines(spark):
     def took(n):
         docs = docs_of(spark, [" ".join(hashlib.sha1(str(i).encode()).hexdigest() for i in range(n))])
