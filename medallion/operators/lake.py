@@ -36,6 +36,9 @@ BUILT_FROM = "medallion.built_from"
 DIGEST = "_digest"
 # Rows that the ranges of a Z-order are found in, and the bits of a column's rank.
 Z_SAMPLE, Z_BITS = 8192, 6
+# Bloom filters of keys: the smallest of several sizes that holds a row group's values.
+BLOOM = {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.candidates.number": "12",
+         "parquet.bloom.filter.max.bytes": str(8 << 20), "parquet.bloom.filter.fpp": "0.0001"}
 
 
 @dataclass(frozen=True)
@@ -154,9 +157,12 @@ class Lake:
 
 
 def write_step(df: DataFrame, path: str, metrics: list[Column] | None = None,
-               partitioned: bool = False) -> tuple[DataFrame, dict]:
+               partitioned: bool = False, keys: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:
     """Write a step of a load to a new folder; returns it read back, and metrics of its rows.
 
+    Row groups get a Bloom filter of each of the ``keys``, as small as its values allow, so that a look-up of few
+    keys skips those without any of them, however the keys are spread.
+
     The metrics sit on top of the last stage of the write, whose tasks report
     once each, so a lost executor does not count rows twice.
     """
@@ -164,6 +170,8 @@ def write_step(df: DataFrame, path: str, metrics: list[Column] | None = None,
     writer = df.observe(seen, *(metrics or gate_metrics([]))).write
     if partitioned:
         writer = writer.partitionBy(PART)
+    for key in keys:
+        writer = writer.options(**{f"parquet.bloom.filter.enabled#{key}": "true"}, **BLOOM)
     writer.parquet(path)
     return df.sparkSession.read.schema(nullable(df.schema)).parquet(path), seen.get
 
@@ -239,7 +247,7 @@ def replace(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Column,
             properties = {ROWS: seen["rows"], BUCKETS: lake.buckets_for(seen["rows"])}
             part = lake.part_of(entity, properties[BUCKETS])
         rows = laid_out(rows.withColumns({DIGEST: digest(entity), PART: part}), entity)
-        seen = write_step(rows, version.data, gate_metrics(list(entity.gate)), partitioned=True)[1]
+        seen = write_step(rows, version.data, gate_metrics(list(entity.gate)), partitioned=True, keys=entity.keys)[1]
         if check:
             check(seen)
         if seen["rows"]:

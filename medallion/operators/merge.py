@@ -29,6 +29,8 @@ from medallion.operators.lake import (BUCKETS, DIGEST, ROWS, Lake, complete, con
 from medallion.operators.quality import gate_metrics
 
 MATCHED, SAME, OLD_PART = "_matched", "_same", "_old_part"
+# Increments of up to so many rows look their keys up one by one; larger ones by their range.
+LOOKUP_KEYS = 1_000
 # Property of a table: the last merged batch of each stream.
 BATCH = "medallion.batch"
 
@@ -66,6 +68,22 @@ def _in_range(keys: list[str], stats: dict, schema: T.StructType) -> Column:
     return inside
 
 
+def _looked_up(entity: Entity, stage: DataFrame, stats: dict) -> Column:
+    """Lets the scan skip row groups whose Bloom filters or dictionaries hold none of the source keys.
+
+    The keys of a small increment only (``LOOKUP_KEYS``), counted when it was staged: they become a list in the plan.
+    The table's rows that match are the same with and without it.
+    """
+    inside = F.lit(True)
+    if stats["rows"] > LOOKUP_KEYS:
+        return inside
+    named = [k for k in entity.keys if isinstance(stage.schema[k].dataType, (T.IntegralType, T.StringType))]
+    rows = stage.where(~null_key(list(entity.keys))).select(*named).collect() if named else []
+    for key in named:
+        inside &= F.col(key).isin(sorted({r[key] for r in rows}))
+    return inside
+
+
 def _values(df: DataFrame) -> list[str]:
     """Partition names: as many as the table has partitions, at most."""
     return [r[0] for r in df.distinct().collect()]
@@ -115,13 +133,17 @@ def _load_first(lake: Lake, version: Version, rows: DataFrame, entity: Entity, d
     """The first rows of a table; their number sets its buckets."""
     buckets = lake.buckets_for(count)
     rows = complete(rows, entity.columns, defaults).withColumns({DIGEST: digest(entity), PART: lake.part_of(entity, buckets)})
-    write_step(laid_out(rows, entity), version.data, partitioned=True)
+    write_step(laid_out(rows, entity), version.data, partitioned=True, keys=entity.keys)
     commit(version, properties=seal | ({} if entity.date_key else {ROWS: count, BUCKETS: buckets}))
 
 
 def _target(lake: Lake, entity: Entity, stage: DataFrame, stats: dict, *columns) -> DataFrame:
-    """Target rows in the range of the source keys.  Only the named columns are scanned."""
+    """Target rows in the range of the source keys, of a small source with its keys, and of buckets that can hold them.
+    Only the named columns are scanned."""
     found = lake.spark.table(lake.raw(entity)).where(_in_range(list(entity.keys), stats, stage.schema))
+    found = found.where(_looked_up(entity, stage, stats))
+    if not entity.date_key:
+        found = found.where(F.col(PART).isin(lake.holders(stage, entity)))
     return found.select(*entity.keys, F.col(PART).alias(OLD_PART), *columns)
 
 
@@ -200,7 +222,7 @@ def prepare(lake: Lake, version: Version, entity: Entity, stage: DataFrame, stat
     kept = before.where(~null_key(keys)).join(keyed.select(*keys), keys, "left_anti")
     kept = kept.select(*table.columns).unionByName(before.where(null_key(keys)))
     kept = kept if entity.date_key else kept.withColumn(PART, part)
-    write_step(laid_out(kept.unionByName(changed), entity), version.data, partitioned=True)
+    write_step(laid_out(kept.unionByName(changed), entity), version.data, partitioned=True, keys=entity.keys)
     return touched, properties
 
 
@@ -239,6 +261,6 @@ def insert_if_absent(lake: Lake, df: DataFrame, entity: Entity, loaded_at: Colum
         if added["rows"]:
             before = table.where(F.col(PART).isin(touched))
             before = before if entity.date_key else before.withColumn(PART, part)
-            write_step(laid_out(before.unionByName(new), entity), version.data, partitioned=True)
+            write_step(laid_out(before.unionByName(new), entity), version.data, partitioned=True, keys=entity.keys)
             commit(version, touched, properties)
         return seen["rows"]

@@ -706,3 +706,63 @@ def test_rebuild_and_csv(spark, lake, folder):
     path = export_csv(nested, folder, "nested", T1)
     back = spark.read.option("header", True).option("escape", '"').csv(path).first()
     assert back["v"] == '["a \\"b\\"","c"]'
+
+
+def scanned(df):
+    """Rows that the scans of a frame read from files, after row groups were skipped."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if "Adaptive" in plan.nodeName() else plan
+    leaves, total = plan.collectLeaves(), 0
+    for i in range(leaves.size()):
+        metric = leaves.apply(i).metrics().get("numOutputRows")
+        total += metric.get().value() if metric.isDefined() else 0
+    return total
+
+
+@pytest.fixture
+def small_groups(spark):
+    settings = {"parquet.block.size": "8192", "parquet.page.size.row.check.min": "100", "parquet.page.size.row.check.max": "100"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("present", [3, 0])
+def test_a_look_up_of_random_keys_skips_row_groups_without_them(spark, lake, small_groups, present):
+    """Keys in no order, so that every row group spans nearly the whole range."""
+    n = 40_000
+    day = F.to_timestamp(F.lit("2024-01-05"))
+    # even keys are there, odd ones are not
+    data = spark.range(n, numPartitions=1).select((F.abs(F.hash("id")).cast("bigint") * 2).alias("k"), F.timestamp_add("second", F.col("id"), day).alias("d"),
+                                                  F.lit("v").alias("v"), F.lit(1).alias("w")).dropDuplicates(["k"])
+    replace(lake, data, ITEMS, instant(T1))
+    keys = [r["k"] for r in lake.table("raw", ITEMS.table).orderBy(F.hash("k")).limit(100).collect()]
+    wanted = keys[:present] + [k + 1 for k in keys[present:]]
+    files = [f for f in lake.spark.table(lake.raw(ITEMS)).inputFiles()]
+    groups = sum(pq.ParquetFile(f.removeprefix("file:").replace("///", "/").replace("//", "/")).num_row_groups for f in files)
+    assert groups >= 20
+    stage = frame(spark, [(k, "2024-01-05", "new", 2) for k in wanted])
+    stats = {"rows": len(wanted), "low_k": min(wanted), "high_k": max(wanted)}
+    found = merge._target(lake, ITEMS, stage, stats)
+    total = lake.table("raw", ITEMS.table).count()
+    assert {r["k"] for r in found.collect()} == set(keys[:present])
+    assert scanned(found) <= total * (present + 3) / groups * 1.5
+    # a large source is compared by its range alone
+    assert scanned(merge._target(lake, ITEMS, stage, stats | {"rows": merge.LOOKUP_KEYS + 1})) > total * 0.9
+    assert upsert(lake, stage, ITEMS, instant(T2)) == 100
+    assert lake.table("raw", ITEMS.table).count() == total + 100 - present
+    assert lake.table("raw", ITEMS.table).where("v = 'new'").count() == 100
+
+
+def test_a_look_up_reads_only_buckets_that_can_hold_the_keys(spark, make_lake):
+    lake = make_lake(entities={"pairs": PAIRS}, bucket_rows=50)
+    replace(lake, frame(spark, [(i, "2024-01-05", "a", 1) for i in range(800)]), PAIRS, instant(T1))
+    assert len(parts(lake, PAIRS)) == 16
+    stage = frame(spark, [(5, "2024-01-05", "a", 2), (None, "2024-01-05", "a", 2)])
+    stats = {"rows": merge.LOOKUP_KEYS + 1, "low_k": 0, "high_k": 799, "low_v": "a", "high_v": "a"}
+    found = merge._target(lake, PAIRS, stage.where("k is not null"), stats)
+    assert scanned(found) < 200 and (5, "a") in {(r["k"], r["v"]) for r in found.collect()}
+    assert merge._target(lake, PAIRS, stage.where("k is null"), stats | {"rows": 1}).count() == 0
