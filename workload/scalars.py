@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from medallion.functions import nested, numbers, text, times
 from medallion.functions.keys import surrogate_key
-from medallion.plans.entities import cast_timestamps, clean_products, default_status, flatten_address, \
-    flatten_name, split_name
+from medallion.plans.entities import apply_rules, clean_products, default_status, flatten_address, \
+    flatten_name, in_place, split_name
 from workload.adapters import (
     ORDERS_SOURCE, PRODUCTS_SOURCE, USERS_SOURCE, orders_source, products_source, table,
     users_source,
@@ -127,7 +127,7 @@ _TIME_TEXT = """CASE WHEN event_id % 10 = 0 THEN 'soon' WHEN event_id % 10 = 1 T
 def cast_timestamps_events(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "events").selectExpr(
         "event_id", f"{_TIME_TEXT.format(text='string')} AS updated_at", "ts AS created_at")
-    return cast_timestamps(df, ["updated_at", "created_at", "absent"])
+    return apply_rules(df, in_place(times.to_utc, "updated_at", "created_at", "absent"))
 
 
 @query("""SELECT o_orderkey AS id, year(o_orderdate) AS order_year,
