@@ -77,7 +77,9 @@ def _looked_up(entity: Entity, stage: DataFrame, stats: dict) -> Column:
     inside = F.lit(True)
     if stats["rows"] > LOOKUP_KEYS:
         return inside
-    named = [k for k in entity.keys if isinstance(stage.schema[k].dataType, (T.IntegralType, T.StringType))]
+    # where all rows have one value, the range is that value
+    named = [k for k in entity.keys if isinstance(stage.schema[k].dataType, (T.IntegralType, T.StringType))
+             and stats[f"low_{k}"] != stats[f"high_{k}"]]
     rows = stage.where(~null_key(list(entity.keys))).select(*named).collect() if named else []
     for key in named:
         inside &= F.col(key).isin(sorted({r[key] for r in rows}))
