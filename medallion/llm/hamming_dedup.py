@@ -164,18 +164,26 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return seen.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
-def _hopeful(pairs: DataFrame, stands: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` once each, without those whose sizes or signatures say that they are no links; stored."""
-    pairs = pairs.distinct()
-    for x in "ab":
-        pairs = pairs.join(stands.select(F.col("id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("signature").alias(f"s{x}")), x)
-    pairs = pairs.where("100 * least(na, nb) >= 75 * greatest(na, nb)").select("a", "b", "sa", "sb")
+def _against_hubs(members: DataFrame, hubs: DataFrame, stands: DataFrame, apart: str) -> DataFrame:
+    """Pairs ``a, b`` of members (``key, id, ...``) and the hubs of their keys (``key, hub, ...``), once each, without
+    those whose sizes or signatures say that they are no links; stored.
+
+    Sizes and signatures go with the rows of a key, so that no pair is looked up on its own; ``apart`` says which
+    member and hub meet.
+    """
+    looks = stands.select("id", "n_shingles", "signature")
+    hubs = hubs.join(looks.select(F.col("id").alias("hub"), F.col("n_shingles").alias("nh"), F.col("signature").alias("sh")), "hub")
+    if "signature" not in members.columns:
+        members = members.join(looks, "id")
+    pairs = (members.join(hubs, "key")
+             .where(f"({apart}) and 100 * least(n_shingles, nh) >= 75 * greatest(n_shingles, nh)")
+             .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"), F.col("signature").alias("sa"), F.col("sh").alias("sb")))
     return stored(arrow_map(pairs, _near, "a long, b long").distinct())
 
 
 def _more_hubs(rest: DataFrame, stands: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of further hubs of open keys (``key, place, id, component``) with the members of other components, and
-    the members left.
+    """Pairs of further hubs of open keys (``key, place, id, component, n_shingles, signature``) with the members of
+    other components, and the members left.
 
     Each component of a key sends one member, by a hash; at most ``HUBS`` of those are hubs.  A hub meets all
     members of other components, so it need not be met again.
@@ -185,9 +193,9 @@ def _more_hubs(rest: DataFrame, stands: DataFrame, turn: int) -> tuple[DataFrame
     sent = rest.groupBy("key", "component").agg(F.min_by("id", draw).alias("id"))
     hubs = sent.groupBy("key", F.pmod(of, F.lit(HUBS)).alias("slot")).agg(F.min_by(F.struct("id", "component"), of).alias("hub"))
     hubs = stored(hubs.select("key", F.col("hub.id").alias("hub"), F.col("hub.component").alias("of")))
-    pairs = rest.join(hubs, "key").where("component != of").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
+    pairs = _against_hubs(rest.select("key", "id", "component", "n_shingles", "signature"), hubs, stands, "component != of")
     left = rest.select("key", "place", "id").join(hubs.select("key", F.col("hub").alias("id")), ["key", "id"], "left_anti")
-    return _hopeful(pairs, stands), stored(left)
+    return pairs, stored(left)
 
 
 def _blocks(keys: DataFrame, found: DataFrame) -> DataFrame:
@@ -274,17 +282,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     .groupBy(F.col("doc_id").alias("id"), "mark")
                     .agg(F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")).drop("mark"))
     keys = arrow_map(stands, _keys, "id long, key long, place int")
-    hubs = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
+    hubs = stored(keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1"))
     shared = stored(keys.join(hubs, "key"))
 
-    star_links = stored(_confirm(docs, _hopeful(shared.where("a != id").select("a", F.col("id").alias("b")), stands)))
+    star = _against_hubs(shared.select("key", "id").distinct(), hubs.select("key", F.col("a").alias("hub")), stands, "id != hub")
+    star_links = stored(_confirm(docs, star))
     parts = components(star_links)
 
     # A hub has met all others of its key, so keys of two are done.
     rest = shared.where("n > 2 and id != a").select("key", "place", "id").distinct()
     for turn in range(TURNS + 1):
         found = stored(stands.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id")))
-        rest = rest.join(found.select("id", "component"), "id")
+        rest = rest.join(found.select("id", "component", "n_shingles", "signature"), "id")
         open_keys = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("key")
         rest = stored(rest.join(open_keys, "key", "left_semi"))
         if turn == TURNS or rest.isEmpty():

@@ -82,6 +82,31 @@ def test_all_near_signatures_share_a_key():
     assert all(set(i) & set(j) for i, j in zip(x, y, strict=True))
 
 
+def test_pairs_with_hubs_are_met_by_key(spark):
+    """Sizes and signatures go with a key's rows: its pairs are those near enough, with no pair looked up alone."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**16, hamming_dedup.SYMBOLS).astype(np.uint16)
+    looks = []
+    for i in range(60):
+        sign = base.copy()
+        sign[rng.choice(hamming_dedup.SYMBOLS, rng.integers(0, 30), replace=False)] ^= 1
+        looks.append((i, int(rng.integers(70, 110)), sign))
+    looks.append((7, 300, base))  # an id with two sets
+    stands = spark.createDataFrame([(i, n, s.tobytes()) for i, n, s in looks], "id long, n_shingles long, signature binary")
+    members = [(k, i) for k in range(3) for i in range(60) if (i + k) % 3]
+    hubs = [(k, h) for k in range(3) for h in (k + 1, 7)]
+    found = hamming_dedup._against_hubs(spark.createDataFrame(members, "key long, id long"),
+                                        spark.createDataFrame(hubs, "key long, hub long"), stands, "id != hub")
+    of = defaultdict(list)
+    for i, n, s in looks:
+        of[i].append((n, s))
+    want = {(min(i, h), max(i, h)) for k, i in members for kk, h in hubs if k == kk and i != h
+            for n, s in of[i] for nh, sh in of[h]
+            if 100 * min(n, nh) >= 75 * max(n, nh) and (s != sh).sum() <= hamming_dedup.FAR}
+    got = [tuple(r) for r in found.collect()]
+    assert sorted(got) == sorted(want) and len(set(got)) == len(got) and want
+
+
 def test_near_duplicates_of_odd_and_no_rows(spark):
     rows = hamming_dedup.near_duplicates(odd_docs(spark)).collect()
     assert len(rows) == len(ODD_TEXTS) + 3
